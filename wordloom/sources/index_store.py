@@ -1,0 +1,100 @@
+"""The index as stored tables: a base plus append-only generations of changes.
+
+``doc_index`` and ``postings`` are partitioned by generation and section, ``changes`` says
+which generation last touched an entry. A change costs what it writes; nothing stored is
+ever rewritten, and writing a generation twice leaves one copy. ``compact`` folds everything
+into a new base in a new folder.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wordloom.config import DOC_INDEX_SCHEMA, POSTINGS_SCHEMA, SearchConfig
+from wordloom.operators.indexing import build_dictionary, build_postings, merge_keywords
+from wordloom.operators.maintenance import drop_orphans
+
+SCHEMAS = {
+    "doc_index": DOC_INDEX_SCHEMA + ", gen LONG",
+    "postings": POSTINGS_SCHEMA + ", gen LONG",
+    "keywords": "keyword_id LONG, keyword STRING, soundex STRING, gen LONG",
+    "changes": "entry_id LONG, changed_at TIMESTAMP, change_id LONG, op STRING, gen LONG",
+}
+
+
+class IndexStore:
+    def __init__(self, spark: SparkSession, path: str, cfg: SearchConfig):
+        self.spark, self.path, self.cfg = spark, path.rstrip("/"), cfg
+
+    def stored(self, name: str) -> DataFrame:
+        return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.path}/{name}")
+
+    def write(self, name: str, rows: DataFrame, gen: int) -> None:
+        parts = ["gen", "section_id"] if "section_id" in rows.columns else ["gen"]
+        writer = rows.withColumn("gen", F.lit(gen).cast("long"))
+        if len(parts) == 2:
+            # Even files per section; AQE splits a section that is much larger than others.
+            writer = writer.hint("rebalance", "section_id")
+        (
+            writer.write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*parts)
+            .parquet(f"{self.path}/{name}")
+        )
+
+    def build(self, doc_index: DataFrame) -> None:
+        """Write the base (generation 0)."""
+        self.write("doc_index", doc_index, 0)
+        base = self.stored("doc_index").filter("gen = 0").drop("gen")
+        self.write("postings", build_postings(base, self.cfg), 0)
+        words = self.stored("postings").filter("gen = 0").select("keyword")
+        self.write("keywords", build_dictionary(words), 0)
+        none = self.spark.createDataFrame([], SCHEMAS["changes"]).drop("gen")
+        none.withColumn("gen", F.lit(0).cast("long")).write.mode("overwrite").parquet(
+            f"{self.path}/changes/gen=0"
+        )
+
+    def add_generation(self, gen: int, fresh: DataFrame, changes: DataFrame) -> None:
+        """Write one batch: index rows of fresh entries, and what changed.
+
+        ``changes`` has one ``(entry_id, changed_at, change_id, op)`` row per touched entry.
+        Changes are written last: until then readers still see the state before the batch.
+        """
+        self.write("doc_index", fresh, gen)
+        rows = self.stored("doc_index").filter(F.col("gen") == gen).drop("gen")
+        self.write("postings", build_postings(rows, self.cfg), gen)
+        words = self.stored("postings").filter(F.col("gen") == gen).select("keyword")
+        known = self.stored("keywords").filter(F.col("gen") != gen).drop("gen")
+        unseen = merge_keywords(words, known.limit(0)).join(known, "keyword", "left_anti")
+        self.write("keywords", unseen, gen)
+        self.write("changes", changes.select("entry_id", "changed_at", "change_id", "op"), gen)
+
+    def live(self, name: str) -> DataFrame:
+        """The current rows of ``doc_index`` or ``postings``.
+
+        An entry's rows come from the generation of its latest change by
+        ``(changed_at, change_id)``, so a change that arrives late cannot undo a newer one.
+        """
+        last = F.max(F.struct("changed_at", "change_id", "gen", "op")).alias("last")
+        winners = (
+            self.stored("changes")
+            .groupBy("entry_id")
+            .agg(last)
+            .select("entry_id", F.col("last.gen").alias("winner"), F.col("last.op").alias("op"))
+        )
+        rows = self.stored(name).join(winners, "entry_id", "left")
+        untouched = F.col("winner").isNull() & (F.col("gen") == 0)
+        current = (F.col("winner") == F.col("gen")) & (F.col("op") != "delete")
+        return rows.filter(untouched | current).drop("winner", "op", "gen")
+
+    def dictionary(self) -> DataFrame:
+        """Keywords some live entry uses."""
+        words = self.stored("keywords").drop("gen").dropDuplicates(["keyword"])
+        return drop_orphans(words, self.live("postings"))
+
+    def compact(self, path: str) -> "IndexStore":
+        """Fold base and generations into a new base below ``path``."""
+        target = IndexStore(self.spark, path, self.cfg)
+        target.build(self.live("doc_index"))
+        return target
