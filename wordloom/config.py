@@ -62,8 +62,6 @@ class SearchConfig:
     # Up to this many distinct words or phrases a batch is matched in one pass over the
     # texts; larger batches are matched through the token index.
     scan_terms: int = 64
-    # Texts above this size are counted word by word instead of keyword by keyword.
-    long_text_bytes: int = 32768
 
     def __post_init__(self):
         check_choice("mode", self.mode, MODES)

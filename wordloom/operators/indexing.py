@@ -3,14 +3,21 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wordloom.config import SearchConfig, SectionIndex
+from wordloom.config import POSTINGS_SCHEMA, SearchConfig, SectionIndex
 from wordloom.functions import text as tx
 
+# Texts counted before their rows are handed back to Spark.
+ROWS_PER_OUTPUT = 200
+
 
 def config_frame(spark: SparkSession, config: list[SectionIndex]) -> DataFrame:
     """The per-section settings as a table (one row per configured section)."""
@@ -102,7 +109,6 @@ def cleaned(doc_index: DataFrame) -> DataFrame:
     return doc_index.select(
         "entry_id",
         "section_id",
-        F.octet_length("data").alias("size"),
         tx.clean_text(F.col("data")).alias("text"),
     )
 
@@ -129,74 +135,64 @@ def tokenize(doc_index: DataFrame) -> DataFrame:
     )
 
 
-def keyword_counts(docs: DataFrame, cfg: SearchConfig) -> DataFrame:
-    """Per keyword counts inside each row: no shuffle, text is never copied per keyword."""
-    words = F.array_distinct(F.split("text", " "))
-    keywords = F.filter(words, lambda w: is_keyword(w, cfg))
-    prepared = docs.select(
-        "entry_id",
-        "section_id",
-        "text",
-        F.concat(F.lit(" "), F.replace("text", F.lit(" "), F.lit("  ")), F.lit(" ")).alias("padded"),
-        keywords.alias("keywords"),
-    )
-    counted = F.transform(
-        F.col("keywords"),
-        lambda w: F.struct(
-            w.alias("keyword"),
-            tx.count_substring(F.col("text"), w).alias("frequency"),
-            tx.count_substring(F.col("padded"), F.concat(F.lit(" "), w, F.lit(" "))).alias("tf"),
-        ),
-    )
-    return prepared.select("entry_id", "section_id", F.inline(counted))
-
-
-def keyword_counts_long(docs: DataFrame, cfg: SearchConfig) -> DataFrame:
-    """The same counts for very long texts, in time linear in their length.
+def substring_counts(text: str, keywords: list[str]) -> list[tuple[str, int, int]]:
+    """``(keyword, frequency, tf)`` of one text.
 
-    A keyword holds no space, so each of its occurrences lies inside one token: count every
-    part of every distinct token, and keep the parts that are tokens themselves.
+    A keyword holds no blank, so each of its occurrences lies inside one token: look up the
+    parts of every distinct token among the keywords. Linear in the text, where counting
+    keyword by keyword reads the whole text once for each of them.
     """
-    tokens = (
-        docs.select("entry_id", "section_id", F.explode(F.split("text", " ")).alias("token"))
-        .groupBy("entry_id", "section_id", "token")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    longest = cfg.max_word_length - 1
-    windows = F.regexp_extract_all(
-        "token", F.lit(f"(?=(.{{{cfg.min_word_length},{longest}}}))"), F.lit(1)
-    )
-    parts = F.transform(
-        windows,
-        lambda win: F.transform(
-            F.sequence(F.lit(cfg.min_word_length), F.char_length(win)),
-            lambda n: F.left(win, n),
-        ),
-    )
-    parts = tokens.select(
-        "entry_id", "section_id", "token", "n",
-        F.explode(F.array_distinct(F.flatten(parts))).alias("keyword"),
-    ).filter(is_keyword(F.col("keyword"), cfg))
-    return (
-        parts.groupBy("entry_id", "section_id", "keyword")
-        .agg(
-            F.sum(F.col("n") * tx.count_substring(F.col("token"), F.col("keyword"))).alias("frequency"),
-            F.sum(F.when(F.col("token") == F.col("keyword"), F.col("n"))).alias("tf"),
-        )
-        .filter(F.col("tf").isNotNull())
-    )
+    tokens = Counter(text.split(" "))
+    wanted = set(keywords)
+    sizes = sorted({len(k) for k in wanted})
+    frequency = dict.fromkeys(keywords, 0)
+    for token, n in tokens.items():
+        length = len(token)
+        parts = {
+            token[i : i + size]
+            for size in sizes
+            if size <= length
+            for i in range(length - size + 1)
+        }
+        for part in parts & wanted:
+            frequency[part] += n * token.count(part)
+    return [(k, frequency[k], tokens[k]) for k in keywords]
+
+
+def count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for start in range(0, batch.num_rows, ROWS_PER_OUTPUT):
+            part = batch.slice(start, ROWS_PER_OUTPUT).to_pydict()
+            counted = [substring_counts(t, k) for t, k in zip(part["text"], part["keywords"])]
+            sizes = [len(c) for c in counted]
+            rows = [row for c in counted for row in c]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.repeat(part["entry_id"], sizes), pa.int64()),
+                    pa.array(np.repeat(part["section_id"], sizes), pa.int32()),
+                    pa.array([r[0] for r in rows], pa.string()),
+                    pa.array([r[1] for r in rows], pa.int32()),
+                    pa.array([r[2] for r in rows], pa.int32()),
+                ],
+                names=["entry_id", "section_id", "keyword", "frequency", "tf"],
+            )
 
 
 def build_postings(doc_index: DataFrame, cfg: SearchConfig) -> DataFrame:
-    """(entry, keyword) rows: ``frequency`` counts substrings, ``tf`` whole tokens."""
-    size = F.octet_length("data")
-    short = keyword_counts(cleaned(doc_index.filter(size <= cfg.long_text_bytes)), cfg)
-    long = keyword_counts_long(cleaned(doc_index.filter(size > cfg.long_text_bytes)), cfg)
-    columns = [
-        "entry_id", "section_id", "keyword",
-        F.col("frequency").cast("int").alias("frequency"), F.col("tf").cast("int").alias("tf"),
-    ]
-    return short.select(*columns).unionByName(long.select(*columns))
+    """(entry, keyword) rows: ``frequency`` counts substrings, ``tf`` whole tokens.
+
+    One narrow pass over the texts, without any shuffle. Cleaning and the keyword tests are
+    built-in expressions; only the counting runs on Arrow batches, since no built-in looks
+    words up in a set.
+    """
+    words = F.array_distinct(F.split("text", " "))
+    docs = cleaned(doc_index).select(
+        "entry_id",
+        "section_id",
+        "text",
+        F.filter(words, lambda w: is_keyword(w, cfg)).alias("keywords"),
+    )
+    return docs.mapInArrow(count_batches, POSTINGS_SCHEMA)
 
 
 def with_ids(keywords: DataFrame) -> DataFrame:

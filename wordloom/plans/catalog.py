@@ -454,9 +454,11 @@ def match_stemmed(spark, sf_dir):
     ready, tables = prepared(spark, sf_dir, STEMMED)
     words = src.load_queries(spark).filter("keywords rlike '^[a-z+]'")
     endings = F.explode(F.array(F.lit(""), F.lit("ed"), F.lit("ing"), F.lit("s")))
-    queries = words.select(
-        F.concat_ws("-", "qid", endings).alias("qid"), "keywords", "sections"
-    ).withColumn("keywords", F.concat("keywords", F.regexp_replace("qid", "^[0-9]+-?", "")))
+    queries = words.select("qid", "keywords", "sections", endings.alias("ending")).select(
+        F.concat_ws("-", "qid", "ending").alias("qid"),
+        F.concat("keywords", "ending").alias("keywords"),
+        "sections",
+    )
     again = querytext.classify(querytext.apply_synonyms(queries, tables.synonyms), STEMMED)
     hits = matching.match_terms(
         tables.doc_index,

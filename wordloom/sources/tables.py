@@ -22,6 +22,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def read_texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of texts in at least as many partitions as there are cores.
+
+    Text work is heavy per row, so a table that comes as a few small files is spread out
+    once; tables of many files are left as they are read.
+    """
+    texts = read(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return texts if texts.rdd.getNumPartitions() >= cores else texts.repartition(cores)
+
+
 def section_of(source):
     return F.substring(source, 4, 10).cast("int") + 1
 
@@ -41,7 +52,7 @@ def load_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = read(spark, sf_dir, "documents")
+    documents = read_texts(spark, sf_dir, "documents")
     created = read(spark, sf_dir, "events").select(
         F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("creation_date")
     )
@@ -56,7 +67,7 @@ def load_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_page_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "pages").select(
+    return read_texts(spark, sf_dir, "pages").select(
         (F.col("page_id") + PAGE_ID_BASE).alias("entry_id"),
         F.lit(PAGE_SECTION).alias("section_id"),
         "url",
