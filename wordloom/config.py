@@ -13,9 +13,7 @@ WEIGHT_FACTORS = {0: 4.0, 1: 2.0, 2: 1.0, 3: 0.5, 4: 0.25}
 WEIGHT_LABELS = {0: "Highest", 1: "High", 2: "Medium (none)", 3: "Low", 4: "Lowest"}
 DEFAULT_WEIGHTING = 2
 
-DOC_INDEX_SCHEMA = (
-    "entry_id LONG, section_id INT, creation_date TIMESTAMP, data STRING, data_lc STRING"
-)
+DOC_INDEX_SCHEMA = "entry_id LONG, section_id INT, data STRING, data_lc STRING"
 POSTINGS_SCHEMA = "entry_id LONG, section_id INT, keyword STRING, frequency INT, tf INT"
 LOG_SCHEMA = (
     "id LONG, date TIMESTAMP, keywords STRING, keywords_manipulated STRING, "

@@ -122,4 +122,6 @@ def stem_vocabulary(words: DataFrame, column: str = "keyword") -> DataFrame:
         "w", F.when(F.endswith(w, F.lit("ll")) & (measure(w) > 1), without(w, 1)).otherwise(w)
     )
     stem = F.when(F.octet_length(column) <= 2, F.col(column)).otherwise(F.lower("w"))
-    return df.withColumn("stem", stem).drop("w", "cut", "suffix", "base")
+    # A generated column: conditions on the stem stay above it, where pushing them down
+    # would write the whole chain of steps into them.
+    return df.select(*words.columns, F.explode(F.array(stem)).alias("stem"))

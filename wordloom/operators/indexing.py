@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from wordloom.config import POSTINGS_SCHEMA, SearchConfig, SectionIndex
 from wordloom.functions import text as tx
+from wordloom.session import local_table
 
 # Texts counted before their rows are handed back to Spark.
 ROWS_PER_OUTPUT = 200
@@ -21,8 +22,9 @@ ROWS_PER_OUTPUT = 200
 
 def config_frame(spark: SparkSession, config: list[SectionIndex]) -> DataFrame:
     """The per-section settings as a table (one row per configured section)."""
-    rows = [(c.section_id, list(c.fields), c.weighting, dict(c.filters)) for c in config]
-    return spark.createDataFrame(
+    rows = [(c.section_id, list(c.fields), c.weighting, list(c.filters.items())) for c in config]
+    return local_table(
+        spark,
         rows,
         "section_id INT, fields ARRAY<STRING>, weighting INT, filters MAP<STRING,STRING>",
     )
@@ -95,13 +97,10 @@ def select_fields(entries: DataFrame, config: list[SectionIndex], out: str = "da
 
 
 def build_doc_index(entries: DataFrame, config: list[SectionIndex]) -> DataFrame:
-    """One row per indexed entry: its text, and the lower-cased text searches run on.
-
-    ``creation_date`` is kept beside the text, so that searches need no join to entries.
-    """
+    """One row per indexed entry: its text, and the lower-cased text searches run on."""
     kept = apply_index_filters(entries, config)
     return select_fields(kept, config).select(
-        "entry_id", "section_id", "creation_date", "data", F.lower("data").alias("data_lc")
+        "entry_id", "section_id", "data", F.lower("data").alias("data_lc")
     )
 
 
@@ -225,5 +224,5 @@ def build_token_index(doc_index: DataFrame) -> DataFrame:
     """Blank-separated pieces of the lower-cased text, for matching large query batches."""
     pieces = F.split("data_lc", r"\s+")
     return doc_index.select(
-        "entry_id", "section_id", "creation_date", F.explode(pieces).alias("token")
+        "entry_id", "section_id", F.explode(pieces).alias("token")
     ).filter(F.col("token") != "")

@@ -17,19 +17,29 @@ from wordloom.functions import text as tx
 from wordloom.functions.scoring import bm25
 from wordloom.functions.stem import stem_vocabulary
 from wordloom.operators.indexing import build_token_index, keyword_totals
+from wordloom.session import settled, stored
 
-ENTRY = ["entry_id", "section_id", "creation_date"]
+ENTRY = ["entry_id", "section_id"]
+# Section ids fetched to narrow a scan; beyond, hits are only narrowed after matching.
+MAX_SECTIONS = 10000
 
 
 def join_entries(index: DataFrame, entries: DataFrame) -> DataFrame:
     """Index text with the section and creation date of its entry."""
     text = index.select("entry_id", "data", "data_lc")
-    return text.join(entries.select(*ENTRY), "entry_id")
+    return text.join(entries.select("entry_id", "section_id", "creation_date"), "entry_id")
 
 
 def in_sections(index: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Entries in any section some query asks for (prunes partitions of a stored index)."""
-    return index.join(resolved.select("section_id").distinct(), "section_id", "left_semi")
+    """Entries in any section some query asks for.
+
+    The ids become literals, so partitions of a stored index are pruned and no join ever
+    moves the texts.
+    """
+    ids = resolved.select("section_id").distinct().limit(MAX_SECTIONS + 1).collect()
+    if len(ids) > MAX_SECTIONS:
+        return index
+    return index.filter(F.col("section_id").isin([r["section_id"] for r in ids]))
 
 
 def scan_hits(index: DataFrame, terms: list[str], whole: bool) -> DataFrame:
@@ -85,8 +95,8 @@ def indexed_hits(index: DataFrame, tokens: DataFrame, terms: DataFrame, whole: b
     """Term hits through the token index; phrases are verified on the candidate texts."""
     blank = F.rlike("term", F.lit(r"\s"))
     words = terms.filter(~blank)
-    vocabulary = tokens.select("token").distinct()
-    pairs = vocabulary_matches(vocabulary, words, whole)
+    vocabulary = stored(tokens.select("token").distinct(), "vocabulary")
+    pairs = stored(vocabulary_matches(vocabulary, words, whole), "word-matches")
     word_hits = (
         tokens.join(pairs, "token")
         .groupBy(*ENTRY, "term")
@@ -96,6 +106,8 @@ def indexed_hits(index: DataFrame, tokens: DataFrame, terms: DataFrame, whole: b
     # A phrase of three words or more holds a whole token between its blanks; its rarest one
     # picks the candidates. Shorter phrases use their longest word as a part of a token.
     phrases = terms.filter(blank)
+    if phrases.isEmpty():
+        return word_hits
     parts = F.split("term", r"\s+")
     inner = phrases.select("term", F.explode(F.slice(parts, 2, F.size(parts) - 2)).alias("token"))
     token_count = tokens.join(inner.select("token").distinct(), "token", "left_semi").groupBy(
@@ -120,7 +132,7 @@ def indexed_hits(index: DataFrame, tokens: DataFrame, terms: DataFrame, whole: b
         .join(two, "term")
         .select("entry_id", F.col("phrase").alias("term"))
     )
-    candidates = long_candidates.unionByName(short_candidates).distinct()
+    candidates = stored(long_candidates.unionByName(short_candidates).distinct(), "candidates")
     text = F.col("data_lc")
     phrase_hits = (
         index.join(candidates, "entry_id")
@@ -146,7 +158,8 @@ def term_hits(
     first = [r["term"] for r in distinct.limit(cfg.scan_terms + 1).collect()]
     if len(first) <= cfg.scan_terms:
         return scan_hits(index, sorted(first), whole) if first else no_hits(index)
-    return indexed_hits(index, build_token_index(index) if tokens is None else tokens, distinct, whole)
+    tokens = build_token_index(index) if tokens is None else tokens
+    return indexed_hits(index, tokens, stored(distinct, "terms"), whole)
 
 
 def no_hits(index: DataFrame) -> DataFrame:
@@ -204,18 +217,20 @@ def match_terms(
     # Queries that only exclude start from every entry of their sections.
     needs = terms.groupBy("qid").agg(F.count_if(~F.col("excluded")).alias("needed"))
     pick = needs.filter(F.col("needed") == 0).join(resolved.select("qid", "section_id"), "qid")
-    base = index.select(*ENTRY).join(pick, "section_id").select(
-        "qid",
-        *ENTRY,
-        F.lit(None).cast("string").alias("term"),
-        F.lit(None).cast("boolean").alias("excluded"),
-        F.lit(False).alias("ok"),
-        F.lit(0).alias("n"),
-        F.lit(False).alias("located"),
-    )
+    pick = settled(pick.select("qid", "section_id"), "exclude-only")
+    if not pick.isEmpty():
+        base = index.select(*ENTRY).join(pick, "section_id").select(
+            "qid",
+            *ENTRY,
+            F.lit(None).cast("string").alias("term"),
+            F.lit(None).cast("boolean").alias("excluded"),
+            F.lit(False).alias("ok"),
+            F.lit(0).alias("n"),
+            F.lit(False).alias("located"),
+        )
+        rows = rows.unionByName(base)
     per_entry = (
-        rows.unionByName(base)
-        .groupBy("qid", *ENTRY)
+        rows.groupBy("qid", *ENTRY)
         .agg(
             F.count_if(included & F.col("ok")).alias("included"),
             F.count_if(F.col("excluded") & F.col("ok")).alias("forbidden"),
@@ -294,7 +309,7 @@ def match_fulltext(
     Words marked + must occur, words marked - must not; without any + word at least one
     unsigned word must occur. The words of a phrase must stand together in the text.
     """
-    keyed = query_keywords(terms, dictionary)
+    keyed = stored(query_keywords(terms, dictionary), "query-keywords")
     rows = (
         postings.select("entry_id", "section_id", "keyword")
         .join(keyed.select("qid", "sign", "word", "phrase", "keyword"), "keyword")
@@ -310,6 +325,7 @@ def match_fulltext(
         .agg(F.count_distinct("word").alias("words"))
         .join(phrase_size, ["qid", "sign", "phrase", "words"], "left_semi")
     )
+    candidates = stored(candidates, "candidates")
     spaced = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
     phrase_rows = (
         candidates.join(index.select("entry_id", "data"), "entry_id")
@@ -360,9 +376,10 @@ def fulltext_relevance(
     corpus = lengths.agg(
         F.count(F.lit(1)).alias("docs"), F.avg("doc_len").alias("avg_len")
     )
+    words = stored(words.join(frequency, "keyword"), "query-words")
     rows = (
         postings.select("entry_id", "section_id", "keyword", "tf")
-        .join(words.join(frequency, "keyword"), "keyword")
+        .join(words, "keyword")
         .join(resolved.select("qid", "section_id"), ["qid", "section_id"], "left_semi")
         .join(lengths, "entry_id")
     )

@@ -32,14 +32,23 @@ def query_settings(queries: DataFrame, cfg: SearchConfig) -> DataFrame:
 
 
 def add_scores(
-    hits: DataFrame, settings: DataFrame, index_config: DataFrame, as_of: Column, base: str = "occurrences"
+    hits: DataFrame,
+    settings: DataFrame,
+    index_config: DataFrame,
+    dates: DataFrame,
+    as_of: Column,
+    base: str = "occurrences",
 ) -> DataFrame:
-    """``score`` = base score x section weight, divided by age for ``score-recency``."""
+    """``score`` = base score x section weight, divided by age for ``score-recency``.
+
+    Creation dates are joined to hits here, ids only, rather than to the texts beforehand.
+    """
     aged = F.when(
         F.col("sort") == "score-recency", recency_divisor(as_of, F.col("creation_date"))
     ).otherwise(1.0)
     return (
         add_weight(hits, index_config)
+        .join(dates.select("entry_id", "creation_date"), "entry_id")
         .join(settings, "qid")
         .withColumn("score", F.col(base) * F.col("weight") / aged)
     )

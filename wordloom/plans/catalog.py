@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,7 +23,7 @@ from wordloom.operators import (
     suggest,
 )
 from wordloom.plans import search as plans
-from wordloom.session import shared_folder
+from wordloom.session import local_table, settled, shared_folder, stored
 from wordloom.sources import index_store
 from wordloom.sources import logs as log_files
 from wordloom.sources import tables as src
@@ -45,7 +47,7 @@ def stamp(name: str) -> Column:
 
 
 def doc_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return indexing.build_doc_index(src.load_entries(spark, sf_dir), src.SECTION_CONFIG)
+    return indexing.build_doc_index(src.load_contents(spark, sf_dir), src.SECTION_CONFIG)
 
 
 def posting_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,10 +56,13 @@ def posting_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def search_tables(spark: SparkSession, sf_dir: str, cfg: SearchConfig = CFG) -> plans.Tables:
     index = doc_rows(spark, sf_dir)
-    postings = indexing.build_postings(index, cfg) if cfg.mode == "fulltext" else None
+    postings = None
+    if cfg.mode == "fulltext":
+        postings = stored(indexing.build_postings(index, cfg), "postings")
     return plans.Tables(
         doc_index=index,
-        sections=src.load_sections(spark, sf_dir),
+        entries=src.load_dates(spark, sf_dir),
+        sections=settled(src.load_sections(spark, sf_dir), "sections"),
         index_config=indexing.config_frame(spark, src.SECTION_CONFIG),
         synonyms=src.load_synonyms(spark),
         postings=postings,
@@ -109,8 +114,7 @@ def load_entries(spark, sf_dir):
 def doc_index(spark, sf_dir):
     path = shared_folder(spark, "doc-index")
     doc_rows(spark, sf_dir).write.partitionBy("section_id").parquet(path)
-    stored = spark.read.parquet(path)
-    return stored.select("entry_id", "section_id", "data", "data_lc", stamp("creation_date"))
+    return spark.read.parquet(path).select("entry_id", "section_id", "data", "data_lc")
 
 
 def log_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -145,13 +149,13 @@ def export_logs_csv(spark, sf_dir):
 def indexed_sections_only(spark, sf_dir):
     ids = ["entry_id", "section_id"]
     pages = src.load_page_entries(spark, sf_dir).select(*ids)
-    entries = src.load_entries(spark, sf_dir).select(*ids).unionByName(pages)
+    entries = src.load_contents(spark, sf_dir).select(*ids).unionByName(pages)
     return indexing.indexed_sections_only(entries, src.SECTION_CONFIG)
 
 
 @query
 def index_filters(spark, sf_dir):
-    entries = src.load_entries(spark, sf_dir)
+    entries = src.load_contents(spark, sf_dir)
     handle = F.concat(F.lit("src"), (F.col("section_id") - 1).cast("string"))
     entries = entries.withColumn("tags", F.array("lang", handle))
     return indexing.apply_index_filters(entries, src.FILTERED_CONFIG).select("entry_id", "section_id", "lang")
@@ -159,7 +163,7 @@ def index_filters(spark, sf_dir):
 
 @query
 def included_fields(spark, sf_dir):
-    entries = src.load_entries(spark, sf_dir)
+    entries = src.load_contents(spark, sf_dir)
     return indexing.select_fields(entries, src.FIELDS_CONFIG).select("entry_id", "section_id", "data")
 
 
@@ -236,8 +240,8 @@ def substring_frequency(spark, sf_dir):
 def postings(spark, sf_dir):
     path = shared_folder(spark, "postings")
     posting_rows(spark, sf_dir).write.partitionBy("section_id").parquet(path)
-    stored = spark.read.parquet(path)
-    return stored.select("entry_id", "section_id", "keyword", "frequency", "tf")
+    rows = spark.read.parquet(path)
+    return rows.select("entry_id", "section_id", "keyword", "frequency", "tf")
 
 
 # Index maintenance
@@ -245,7 +249,7 @@ def postings(spark, sf_dir):
 
 def changed_entries(spark: SparkSession, sf_dir: str, last: DataFrame) -> DataFrame:
     """Content after the changes: the note of the change is added to the text."""
-    entries = src.load_entries(spark, sf_dir)
+    entries = src.load_contents(spark, sf_dir)
     notes = last.select("entry_id", "note")
     return entries.join(notes, "entry_id").withColumn("text", F.concat_ws(" ", "text", "note"))
 
@@ -286,7 +290,7 @@ def delete_section(spark, sf_dir):
 
 @query
 def reindex_sections(spark, sf_dir):
-    entries = src.load_entries(spark, sf_dir)
+    entries = src.load_contents(spark, sf_dir)
     grown = entries.withColumn("text", F.concat_ws(" ", "text", "lang"))
     after = maintenance.reindex_sections(doc_rows(spark, sf_dir), grown, src.SECTION_CONFIG, [2, 5])
     return after.select("entry_id", "section_id", "data")
@@ -406,8 +410,8 @@ def match_like_batch(spark, sf_dir):
     """One query per word of the user turns: matched through the vocabulary."""
     tables = search_tables(spark, sf_dir)
     words = src.load_user_words(spark, sf_dir).withColumn("sections", F.lit(""))
-    parsed = querytext.classify(words, CFG, "keywords")
-    resolved = querytext.resolve_sections(words, tables.sections, CFG)
+    parsed = settled(querytext.classify(words, CFG, "keywords"), "queries")
+    resolved = settled(querytext.resolve_sections(words, tables.sections, CFG), "query-sections")
     hits = matching.match_terms(
         tables.doc_index, querytext.query_terms(parsed), resolved, CFG, "like"
     )
@@ -421,8 +425,8 @@ def match_phrases(spark, sf_dir):
     """Every benchmark passage as a quoted phrase."""
     tables = search_tables(spark, sf_dir)
     phrases = src.load_phrases(spark, sf_dir).withColumn("sections", F.lit(""))
-    parsed = querytext.classify(phrases, CFG, "keywords")
-    resolved = querytext.resolve_sections(phrases, tables.sections, CFG)
+    parsed = settled(querytext.classify(phrases, CFG, "keywords"), "queries")
+    resolved = settled(querytext.resolve_sections(phrases, tables.sections, CFG), "query-sections")
     hits = matching.match_terms(
         tables.doc_index, querytext.query_terms(parsed), resolved, CFG, "like"
     )
@@ -451,21 +455,16 @@ def match_fulltext(spark, sf_dir):
 
 @query
 def match_stemmed(spark, sf_dir):
-    ready, tables = prepared(spark, sf_dir, STEMMED)
+    tables = search_tables(spark, sf_dir, STEMMED)
     words = src.load_queries(spark).filter("keywords rlike '^[a-z+]'")
     endings = F.explode(F.array(F.lit(""), F.lit("ed"), F.lit("ing"), F.lit("s")))
-    queries = words.select("qid", "keywords", "sections", endings.alias("ending")).select(
-        F.concat_ws("-", "qid", "ending").alias("qid"),
-        F.concat("keywords", "ending").alias("keywords"),
-        "sections",
-    )
-    again = querytext.classify(querytext.apply_synonyms(queries, tables.synonyms), STEMMED)
-    hits = matching.match_terms(
-        tables.doc_index,
-        querytext.query_terms(again),
-        querytext.resolve_sections(queries, tables.sections, STEMMED),
-        STEMMED,
+    queries = (
+        words.withColumn("ending", endings)
+        .withColumn("qid", F.concat_ws("-", "qid", "ending"))
+        .withColumn("keywords", F.concat("keywords", "ending"))
     )
+    ready = plans.prepare(queries, tables, STEMMED)
+    hits = matching.match_terms(tables.doc_index, ready.terms, ready.resolved, STEMMED)
     return hits.select(
         "qid", "entry_id", "keywords_matched", F.col("occurrences").cast("long").alias("occurrences")
     )
@@ -510,9 +509,11 @@ def fulltext_relevance(spark, sf_dir):
     tables = search_tables(spark, sf_dir, FULLTEXT)
     turns = src.load_user_turns(spark, sf_dir).withColumn("sections", F.lit(""))
     terms = matching.boolean_terms(turns, FULLTEXT, "keywords")
-    resolved = querytext.resolve_sections(turns, tables.sections, FULLTEXT)
+    resolved = settled(
+        querytext.resolve_sections(turns, tables.sections, FULLTEXT), "query-sections"
+    )
     return matching.fulltext_relevance(tables.postings, tables.dictionary, terms, resolved).select(
-        "qid", "entry_id", F.round("relevance", 4).alias("relevance")
+        "qid", "entry_id", "relevance"
     )
 
 
@@ -567,7 +568,8 @@ def search_fulltext(spark, sf_dir):
 @query
 def hydrate_entries(spark, sf_dir):
     page = plans.search(src.load_queries(spark), search_tables(spark, sf_dir), CFG, as_of())
-    hydrated = ranking.hydrate(page, src.load_entries(spark, sf_dir))
+    page = stored(page.select("qid", "rank", "entry_id"), "page")
+    hydrated = ranking.hydrate(page, src.load_contents(spark, sf_dir))
     return hydrated.select("qid", "rank", "entry_id", "lang", "n_chars", "text")
 
 
@@ -579,13 +581,13 @@ def filter_by_hits(spark, sf_dir):
 
 @query
 def filter_section(spark, sf_dir):
-    """Every query as a filter on the section src2; src3 entries are not indexed there."""
+    """Every query as a filter on one section of which only labelled entries are indexed."""
     tables = search_tables(spark, sf_dir)
     half = tables.doc_index.join(
         src.read(spark, sf_dir, "labels").select(F.col("doc_id").alias("entry_id")), "entry_id", "left_semi"
     )
     only = src.load_queries(spark).withColumn("sections", F.lit("src2"))
-    tables = plans.Tables(half, tables.sections, tables.index_config, tables.synonyms)
+    tables = replace(tables, doc_index=half)
     return plans.filter_section(only, src.load_entries(spark, sf_dir), tables, CFG)
 
 
@@ -594,6 +596,7 @@ def excerpt_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries = src.load_queries(spark)
     ready = plans.prepare(queries, tables, CFG)
     page = ranking.paginate(plans.scored_hits(ready, tables, CFG, as_of()), plans.rank_value())
+    page = stored(page.select("qid", "entry_id"), "page")
     return excerpts.hit_texts(page, querytext.highlight_stems(ready.parsed), tables.doc_index)
 
 
@@ -750,14 +753,15 @@ def stream_log_groups(spark, sf_dir):
 def index_size(spark, sf_dir):
     sections = src.load_sections(spark, sf_dir)
     config = [c for c in src.SECTION_CONFIG if c.section_id != 20]
-    index = indexing.build_doc_index(src.load_entries(spark, sf_dir).filter("section_id != 19"), config)
+    index = indexing.build_doc_index(src.load_contents(spark, sf_dir).filter("section_id != 19"), config)
     return reports.index_size(sections, indexing.config_frame(spark, config), index)
 
 
 @query
 def index_summary(spark, sf_dir):
     config = [c for c in src.FIELDS_CONFIG if c.section_id != 20]
-    labels = spark.createDataFrame(
+    labels = local_table(
+        spark,
         [("text", "Text", 1), ("lang", "Language", 2), ("n_chars", "Length", 3)],
         "element_name STRING, label STRING, position INT",
     )

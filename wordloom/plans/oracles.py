@@ -332,8 +332,7 @@ def add(name: str, *ctes: str, select: str) -> None:
 
 add("load_entries", ENTRIES, select=f"""SELECT entry_id, section_id, lang, text, n_chars,
   {stamp('creation_date')} AS creation_date FROM entries""")
-add("doc_index", *INDEX, select=f"""SELECT entry_id, section_id, data, data_lc,
-  {stamp('creation_date')} AS creation_date FROM idx""")
+add("doc_index", *INDEX, select="SELECT entry_id, section_id, data, data_lc FROM idx")
 add(
     "append_log", *SEARCH, LIKE, LOGS,
     """handles AS (SELECT q.qid, string_agg(DISTINCT r.handle, ',' ORDER BY r.handle) AS sections FROM q
@@ -404,7 +403,6 @@ add("synonym_upsert", PART_SYN, select="""SELECT sha1(word) AS hash, word, synon
   SELECT word, synonyms FROM part_syn WHERE word NOT IN (SELECT p_brand FROM part WHERE p_type = 'ECONOMY')
     AND word NOT IN (SELECT p_brand FROM part WHERE p_size = 50)
   UNION ALL SELECT DISTINCT 'New ' || p_brand, lower(p_brand) FROM part WHERE p_type = 'ECONOMY')""")
-ORACLES["synonym_upsert"] = ORACLES["synonym_upsert"].replace("sha1(word)", "sha1(word)")
 add("apply_synonyms", TURNS, MARKED, SYN, LOOKUP, adjusted("marked"), select="SELECT qid, adjusted FROM adj")
 add("classify_keywords", TURNS, MARKED, "adj AS (SELECT qid, keywords AS adjusted FROM marked)", CLASSES,
     select="SELECT qid, class, word FROM classes")
@@ -459,7 +457,7 @@ add("section_weighting", *SEARCH, LIKE, select=f"""SELECT qid, entry_id, {WEIGHT
 add("recency_decay", ENTRIES, select=f"SELECT entry_id, round(1 / {AGE}, 6) AS decay FROM entries")
 add("fulltext_relevance", SECTIONS, *WORDS, DICT, TURNS, "q AS (SELECT qid, keywords, '' AS sections FROM turns)",
     resolved(), boolean_terms("q", "keywords"), RELEVANCE,
-    select="SELECT qid, entry_id, round(relevance, 4) AS relevance FROM relevant")
+    select="SELECT qid, entry_id, relevance FROM relevant")
 add("sort_modes", *LIKE_PAGE, select="SELECT qid, CAST(rank AS INTEGER) AS rank, entry_id FROM page_rows")
 add("paginate", *SEARCH, LIKE, SETTINGS, ranked(),
     select="SELECT qid, CAST(rank AS INTEGER) AS rank, entry_id FROM ranked WHERE rank BETWEEN 6 AND 10")
@@ -492,16 +490,19 @@ hl AS (SELECT qid, word AS k, 0 AS side, i * 10 AS i FROM phrases WHERE NOT neg
       (SELECT qid, unnest(string_split(r, ' ')) AS w, generate_subscripts(string_split(r, ' '), 1) AS i FROM rest)
       WHERE w NOT LIKE '-%') p JOIN stems s ON s.word = p.word,
     LATERAL (SELECT p.word AS k, 0 AS j UNION ALL SELECT s.stem, 1) x),
-hl_first AS (SELECT qid, k, min((side, i)) AS at FROM hl GROUP BY qid, k),
-joined AS (SELECT qid, trim(string_agg(k, ' ' ORDER BY at), '"') AS j FROM hl_first GROUP BY qid),
+hl_first AS (SELECT qid, k, min((side, i)) AS place FROM hl GROUP BY qid, k),
+joined AS (SELECT qid, trim(string_agg(k, ' ' ORDER BY place), '"') AS j FROM hl_first GROUP BY qid),
 kws AS (SELECT qid, k, min(i) AS i FROM (SELECT qid, unnest(f) AS k, generate_subscripts(f, 1) AS i FROM
   (SELECT qid, regexp_extract_all(' ' || {punct('j')}, ' ([^" ]+)', 1) AS f FROM joined))
   WHERE k NOT LIKE 'OR%' AND length(k) >= 3 GROUP BY qid, k),
 texts AS (SELECT p.qid, p.entry_id, ' ' || {no_tags("replace(replace(regexp_replace(regexp_replace(trim(i.data, " + WS + "), chr(10), '', 'g'), '\\s{2,}', ' ', 'g'), '<', ' <'), '>', '> ')")} || ' ' AS text
   FROM page_rows p JOIN idx i ON i.entry_id = p.entry_id)"""
-RANGES = """places AS (SELECT t.qid, t.entry_id, t.text, k.i AS k, length(k.k) AS size, unnest(list_filter(range(0, length(t.text)),
-    lambda x: substr(lower(t.text), x + 1, length(k.k)) = k.k)) AS p
-  FROM texts t JOIN kws k ON k.qid = t.qid),
+RANGES = """letters AS (SELECT entry_id, text, unnest(range(0, length(text))) AS p,
+    lower(unnest(string_split(text, ''))) AS c FROM (SELECT DISTINCT entry_id, text FROM texts)),
+runs AS (SELECT entry_id, p, string_agg(c, '') OVER (PARTITION BY entry_id ORDER BY p
+    ROWS BETWEEN CURRENT ROW AND 29 FOLLOWING) AS run FROM letters),
+places AS (SELECT t.qid, t.entry_id, t.text, k.i AS k, r.p FROM texts t JOIN kws k ON k.qid = t.qid
+  JOIN runs r ON r.entry_id = t.entry_id AND starts_with(r.run, k.k)),
 numbered AS (SELECT *, row_number() OVER (PARTITION BY qid, entry_id, k ORDER BY p) AS n,
   greatest(0, p - 125) AS lo, substr(text, p + 1, 125) AS tail FROM places),
 cut AS (SELECT *, lo + instr(substr(text, lo + 1), ' ') - 1 AS a,

@@ -18,16 +18,22 @@ from wordloom.operators.querytext import (
     resolve_sections,
     section_errors,
 )
+from wordloom.session import settled, stored
 
 
 @dataclass(frozen=True)
 class Tables:
-    """What a search reads; ``postings`` and ``dictionary`` only in full-text mode."""
+    """What a search reads.
+
+    Of ``entries`` only id and creation date are used. ``postings`` and ``dictionary`` are
+    needed in full-text mode, ``tokens`` spares large batches the splitting of the texts.
+    """
 
     doc_index: DataFrame
     sections: DataFrame
     index_config: DataFrame
     synonyms: DataFrame
+    entries: DataFrame
     postings: DataFrame | None = None
     dictionary: DataFrame | None = None
     tokens: DataFrame | None = None
@@ -44,12 +50,12 @@ class Prepared:
 
 
 def prepare(queries: DataFrame, tables: Tables, cfg: SearchConfig) -> Prepared:
-    parsed = classify(apply_synonyms(queries, tables.synonyms), cfg)
+    parsed = settled(classify(apply_synonyms(queries, tables.synonyms), cfg), "queries")
     return Prepared(
         parsed,
         query_terms(parsed),
-        resolve_sections(queries, tables.sections, cfg),
-        ranking.query_settings(queries, cfg),
+        settled(resolve_sections(parsed, tables.sections, cfg), "query-sections"),
+        ranking.query_settings(parsed, cfg),
     )
 
 
@@ -71,19 +77,18 @@ def scored_hits(prepared: Prepared, tables: Tables, cfg: SearchConfig, as_of: Co
         relevance = matching.fulltext_relevance(
             tables.postings, tables.dictionary, terms, prepared.resolved
         )
-        dates = tables.doc_index.select("entry_id", "creation_date")
-        hits = (
-            hits.join(relevance.drop("section_id"), ["qid", "entry_id"])
-            .join(dates, "entry_id")
-            .withColumn("keywords_matched", F.lit(1))
+        hits = hits.join(relevance.drop("section_id"), ["qid", "entry_id"]).withColumn(
+            "keywords_matched", F.lit(1)
         )
         return ranking.add_scores(
-            hits, prepared.settings, tables.index_config, as_of, "relevance"
+            hits, prepared.settings, tables.index_config, tables.entries, as_of, "relevance"
         )
     hits = matching.match_terms(
         tables.doc_index, prepared.terms, prepared.resolved, cfg, cfg.mode, tables.tokens
     )
-    return ranking.add_scores(hits, prepared.settings, tables.index_config, as_of)
+    return ranking.add_scores(
+        hits, prepared.settings, tables.index_config, tables.entries, as_of
+    )
 
 
 def rank_value() -> Column:
@@ -110,7 +115,11 @@ def with_handles(page: DataFrame, sections: DataFrame) -> DataFrame:
 
 
 def page_excerpts(page: DataFrame, prepared: Prepared, tables: Tables, cfg: SearchConfig) -> DataFrame:
-    """Excerpts for a page of hits only, never for all hits."""
+    """Excerpts for a page of hits only, never for all hits.
+
+    The page is stored first: of a known size, it is broadcast to the texts.
+    """
+    page = stored(page.select("qid", "entry_id"), "page")
     parsed = highlight_stems(prepared.parsed) if cfg.stem_words else prepared.parsed
     return excerpts(hit_texts(page, parsed, tables.doc_index), cfg.excerpt_length)
 

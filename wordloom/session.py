@@ -5,7 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
+
+# Rows of query-side data that may pass through the driver.
+LOCAL_ROWS = 5000
 
 # AQE turns measured-small join sides into broadcasts, splits skewed join partitions and
 # merges small ones; runtime filters trim the big side of shuffled joins.
@@ -54,3 +60,31 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
 def shuffle_width(spark: SparkSession) -> int:
     """How many ways a hot group is spread: the cluster's own shuffle width."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small fixed table; its size is known to the planner, so joins to it broadcast it."""
+    struct = T.StructType.fromDDL(schema)
+    records = [dict(zip(struct.names, row)) for row in rows]
+    return spark.createDataFrame(
+        pa.Table.from_pylist(records, schema=to_arrow_schema(struct)), schema=struct
+    )
+
+
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to the shared folder and read back.
+
+    Computed once however often they are used, safe against lost executors, and of a size
+    the planner knows: joins broadcast them only below Spark's own threshold.
+    """
+    path = shared_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settled(df: DataFrame, purpose: str) -> DataFrame:
+    """Query-side rows computed once: a local table up to ``LOCAL_ROWS``, else stored."""
+    first = df.limit(LOCAL_ROWS + 1).toArrow()
+    if first.num_rows <= LOCAL_ROWS:
+        return df.sparkSession.createDataFrame(first, schema=df.schema)
+    return stored(df, purpose)

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.config import QUERY_SCHEMA, SearchConfig, SectionIndex
+from wordloom.session import local_table
 
 PAGE_SECTION = 100
 PAGE_ID_BASE = 1_000_000_000
@@ -51,21 +52,27 @@ def load_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def load_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = read_texts(spark, sf_dir, "documents")
-    created = read(spark, sf_dir, "events").select(
-        F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("creation_date")
-    )
-    return documents.join(created, "doc_id").select(
+def load_contents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries with their content columns: a plain scan, no join moves the texts."""
+    return read_texts(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("entry_id"),
         section_of(F.col("source")).alias("section_id"),
         "lang",
         "text",
         "n_chars",
-        "creation_date",
     )
 
 
+def load_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read(spark, sf_dir, "events").select(
+        F.col("event_id").alias("entry_id"), F.col("ts").cast("timestamp").alias("creation_date")
+    )
+
+
+def load_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return load_contents(spark, sf_dir).join(load_dates(spark, sf_dir), "entry_id")
+
+
 def load_page_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_texts(spark, sf_dir, "pages").select(
         (F.col("page_id") + PAGE_ID_BASE).alias("entry_id"),
@@ -226,8 +233,8 @@ QUERIES = [
 
 
 def load_synonyms(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(SYNONYMS, "word STRING, synonyms STRING")
+    return local_table(spark, SYNONYMS, "word STRING, synonyms STRING")
 
 
 def load_queries(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(QUERIES, QUERY_SCHEMA)
+    return local_table(spark, QUERIES, QUERY_SCHEMA)
