@@ -26,13 +26,6 @@ def shuffled_columns(plan):
     return "\n".join(names)
 
 
-@pytest.mark.parametrize("name", [n for n in catalog.QUERIES if not n.startswith("stream")])
-def test_no_nested_loops(spark, sf_dir, name):
-    plan = catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
-    assert "CartesianProduct" not in plan
-    assert "BroadcastNestedLoopJoin" not in plan
-
-
 @pytest.mark.parametrize("name", ["match_like", "match_regexp", "search", "hydrate_entries"])
 def test_texts_are_not_shuffled_by_key(spark, sf_dir, name):
     moved = shuffled_columns(final_plan(catalog.QUERIES[name](spark, sf_dir)))

@@ -31,7 +31,9 @@ PUNCTUATION_PASSES = (
 )
 
 # Tokens that look like code are not keywords.
-CODE_TOKEN = r"^lt;|&gt$|&lt;|&gt;|=|^\$|^/|->|::"
+CODE_STARTS = ("lt;", "$", "/")
+CODE_ENDS = ("&gt",)
+CODE_PARTS = ("&lt;", "&gt;", "=", "->", "::")
 
 # A comment, an empty tag, or a tag whose quoted attributes may hold ">"; an unclosed one
 # runs to the end. Possessive throughout, so long tags need no deep recursion.
@@ -46,7 +48,8 @@ def trimmed(col: Column) -> Column:
 
 
 def strip_tags(col: Column, replacement: str = "") -> Column:
-    return F.regexp_replace(col, MARKUP, replacement)
+    has_markup = F.contains(col, F.lit("<"))
+    return F.when(has_markup, F.regexp_replace(col, MARKUP, replacement)).otherwise(col)
 
 
 def character(code: Column) -> Column:

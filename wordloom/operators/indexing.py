@@ -119,7 +119,15 @@ def length_gate(word: Column, cfg: SearchConfig) -> Column:
 
 
 def is_code_token(word: Column) -> Column:
-    return F.rlike(word, F.lit(tx.CODE_TOKEN))
+    """Whether a token looks like markup, code or a path."""
+    found = F.lit(False)
+    for start in tx.CODE_STARTS:
+        found |= F.startswith(word, F.lit(start))
+    for end in tx.CODE_ENDS:
+        found |= F.endswith(word, F.lit(end))
+    for part in tx.CODE_PARTS:
+        found |= F.contains(word, F.lit(part))
+    return found
 
 
 def is_keyword(word: Column, cfg: SearchConfig) -> Column:
@@ -207,6 +215,12 @@ def build_dictionary(postings: DataFrame) -> DataFrame:
     return with_ids(postings.select("keyword").distinct())
 
 
+def dictionary_of(doc_index: DataFrame, cfg: SearchConfig) -> DataFrame:
+    """The dictionary straight from the texts, where no postings are stored."""
+    words = tokenize(doc_index).select(F.col("token").alias("keyword")).distinct()
+    return with_ids(words.filter(is_keyword(F.col("keyword"), cfg)))
+
+
 def merge_keywords(tokens: DataFrame, keywords: DataFrame) -> DataFrame:
     """The dictionary with the unseen words of ``tokens`` added."""
     fresh = tokens.select("keyword").distinct().join(keywords, "keyword", "left_anti")

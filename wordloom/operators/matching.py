@@ -16,7 +16,7 @@ from wordloom.config import SearchConfig, check_choice
 from wordloom.functions import text as tx
 from wordloom.functions.scoring import bm25
 from wordloom.functions.stem import stem_vocabulary
-from wordloom.operators.indexing import build_token_index, keyword_totals
+from wordloom.operators.indexing import build_token_index, cleaned, keyword_totals
 from wordloom.session import settled, stored
 
 ENTRY = ["entry_id", "section_id"]
@@ -257,7 +257,8 @@ def boolean_terms(queries: DataFrame, cfg: SearchConfig, column: str = "adjusted
     """``(qid, sign, word, prefix, phrase)`` of a boolean full-text query.
 
     ``sign`` is ``+``, ``-`` or empty; ``phrase`` holds the cleaned quoted text on each of
-    its words, and ``prefix`` marks words written with a trailing ``*``.
+    its words (a single quoted word is just a word), and ``prefix`` marks words written with
+    a trailing ``*``.
     """
     raw = F.explode(F.regexp_extract_all(F.lower(column), F.lit(r'[+-]?"[^"]+"|[^ "]+'), F.lit(0)))
     items = queries.select("qid", raw.alias("raw")).select(
@@ -271,7 +272,7 @@ def boolean_terms(queries: DataFrame, cfg: SearchConfig, column: str = "adjusted
         "qid",
         "sign",
         "prefix",
-        F.when(F.col("quoted"), F.col("body")).alias("phrase"),
+        F.when(F.col("quoted") & F.contains("body", F.lit(" ")), F.col("body")).alias("phrase"),
         F.explode(F.split("body", " ")).alias("word"),
     )
     size = F.octet_length("word")
@@ -327,9 +328,11 @@ def match_fulltext(
     )
     candidates = stored(candidates, "candidates")
     spaced = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
+    texts = cleaned(index.join(candidates.select("entry_id"), "entry_id", "left_semi"))
     phrase_rows = (
-        candidates.join(index.select("entry_id", "data"), "entry_id")
-        .filter(F.contains(spaced(tx.clean_text(F.col("data"))), spaced(F.col("phrase"))))
+        texts.drop("section_id")
+        .join(candidates, "entry_id")
+        .filter(F.contains(spaced(F.col("text")), spaced(F.col("phrase"))))
         .select("qid", "entry_id", "section_id", "sign", F.col("phrase").alias("item"), F.lit(True).alias("quoted"))
     )
     word_rows = rows.filter("phrase is null").select(

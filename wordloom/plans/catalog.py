@@ -54,6 +54,10 @@ def posting_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indexing.build_postings(doc_rows(spark, sf_dir), CFG)
 
 
+def dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return indexing.dictionary_of(doc_rows(spark, sf_dir), CFG)
+
+
 def search_tables(spark: SparkSession, sf_dir: str, cfg: SearchConfig = CFG) -> plans.Tables:
     index = doc_rows(spark, sf_dir)
     postings = None
@@ -225,7 +229,7 @@ def code_token_filter(spark, sf_dir):
 
 @query
 def keyword_dictionary(spark, sf_dir):
-    known = indexing.build_dictionary(posting_rows(spark, sf_dir))
+    known = dictionary(spark, sf_dir)
     pages = text_words(src.load_page_entries(spark, sf_dir), "html")
     merged = indexing.merge_keywords(pages.withColumnRenamed("word", "keyword"), known)
     return merged.select("keyword", "soundex")
@@ -278,7 +282,7 @@ def delete_entries(spark, sf_dir):
 
 @query
 def orphan_keywords(spark, sf_dir):
-    rows = posting_rows(spark, sf_dir)
+    rows = stored(posting_rows(spark, sf_dir), "postings")
     left = maintenance.delete_entries(rows, deleted_ids(spark, sf_dir))
     return maintenance.drop_orphans(indexing.build_dictionary(rows), left).select("keyword")
 
@@ -366,7 +370,7 @@ def stem_words(spark, sf_dir):
 
 @query
 def stem_dictionary(spark, sf_dir):
-    return stem_vocabulary(indexing.build_dictionary(posting_rows(spark, sf_dir))).select("keyword", "stem")
+    return stem_vocabulary(dictionary(spark, sf_dir)).select("keyword", "stem")
 
 
 QUERIES["stem_vocabulary"] = QUERIES.pop("stem_dictionary")
@@ -619,13 +623,12 @@ QUERIES["excerpts"] = QUERIES.pop("excerpt_html")
 @query
 def soundalikes(spark, sf_dir):
     words = text_words(src.read(spark, sf_dir, "benchmark"), "text")
-    return suggest.soundalikes(words, indexing.build_dictionary(posting_rows(spark, sf_dir)))
+    return suggest.soundalikes(words, dictionary(spark, sf_dir))
 
 
 @query
 def closest_alternative(spark, sf_dir):
-    dictionary = indexing.build_dictionary(posting_rows(spark, sf_dir))
-    return suggest.closest_alternative(turn_words(spark, sf_dir), dictionary)
+    return suggest.closest_alternative(turn_words(spark, sf_dir), dictionary(spark, sf_dir))
 
 
 def typed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -635,7 +638,7 @@ def typed_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def suggested(spark: SparkSession, sf_dir: str, words: DataFrame) -> DataFrame:
-    totals = indexing.keyword_totals(posting_rows(spark, sf_dir))
+    totals = stored(indexing.keyword_totals(posting_rows(spark, sf_dir)), "keyword-totals")
     found = suggest.suggest_prefix(words, totals.select("keyword").distinct())
     resolved = querytext.resolve_sections(words, src.load_sections(spark, sf_dir), SearchConfig())
     return suggest.suggest_frequency(found, totals, resolved)
@@ -643,8 +646,7 @@ def suggested(spark: SparkSession, sf_dir: str, words: DataFrame) -> DataFrame:
 
 @query
 def suggest_prefix(spark, sf_dir):
-    dictionary = indexing.build_dictionary(posting_rows(spark, sf_dir))
-    return suggest.suggest_prefix(typed_words(spark, sf_dir), dictionary)
+    return suggest.suggest_prefix(typed_words(spark, sf_dir), dictionary(spark, sf_dir))
 
 
 @query
