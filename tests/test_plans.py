@@ -26,7 +26,10 @@ def shuffled_columns(plan):
     return "\n".join(names)
 
 
-@pytest.mark.parametrize("name", ["match_like", "match_regexp", "search", "hydrate_entries"])
+@pytest.mark.parametrize(
+    "name",
+    ["match_like", "match_regexp", "match_fulltext", "search", "hydrate_entries", "upsert_entries"],
+)
 def test_texts_are_not_shuffled_by_key(spark, sf_dir, name):
     moved = shuffled_columns(final_plan(catalog.QUERIES[name](spark, sf_dir)))
     assert not re.search(r"\b(data|data_lc|text)#", moved)

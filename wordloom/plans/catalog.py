@@ -261,7 +261,8 @@ def changed_entries(spark: SparkSession, sf_dir: str, last: DataFrame) -> DataFr
 @query
 def upsert_entries(spark, sf_dir):
     changes = src.change_rows(src.read(spark, sf_dir, "events"))
-    content = changed_entries(spark, sf_dir, maintenance.latest_changes(changes))
+    last = stored(maintenance.latest_changes(changes), "last-changes")
+    content = changed_entries(spark, sf_dir, last)
     after = maintenance.apply_changes(doc_rows(spark, sf_dir), changes, content, src.SECTION_CONFIG)
     return after.select("entry_id", "section_id", "data")
 
@@ -269,7 +270,7 @@ def upsert_entries(spark, sf_dir):
 def deleted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Entries labelled toxic go."""
     toxic = src.read(spark, sf_dir, "labels").filter("toxic = 1")
-    return toxic.select(F.col("doc_id").alias("entry_id")).distinct()
+    return stored(toxic.select(F.col("doc_id").alias("entry_id")).distinct(), "ids")
 
 
 @query
@@ -600,8 +601,7 @@ def excerpt_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     queries = src.load_queries(spark)
     ready = plans.prepare(queries, tables, CFG)
     page = ranking.paginate(plans.scored_hits(ready, tables, CFG, as_of()), plans.rank_value())
-    page = stored(page.select("qid", "entry_id"), "page")
-    return excerpts.hit_texts(page, querytext.highlight_stems(ready.parsed), tables.doc_index)
+    return plans.page_texts(page, ready, tables, CFG)
 
 
 @query

@@ -117,11 +117,16 @@ def with_handles(page: DataFrame, sections: DataFrame) -> DataFrame:
 def page_excerpts(page: DataFrame, prepared: Prepared, tables: Tables, cfg: SearchConfig) -> DataFrame:
     """Excerpts for a page of hits only, never for all hits.
 
-    The page is stored first: of a known size, it is broadcast to the texts.
+    The page is stored first: of a known size, it is broadcast to the texts. The texts of
+    its hits are stored in turn, so that the index is read once.
     """
+    return excerpts(page_texts(page, prepared, tables, cfg), cfg.excerpt_length)
+
+
+def page_texts(page: DataFrame, prepared: Prepared, tables: Tables, cfg: SearchConfig) -> DataFrame:
     page = stored(page.select("qid", "entry_id"), "page")
     parsed = highlight_stems(prepared.parsed) if cfg.stem_words else prepared.parsed
-    return excerpts(hit_texts(page, parsed, tables.doc_index), cfg.excerpt_length)
+    return stored(hit_texts(page, parsed, tables.doc_index), "page-texts")
 
 
 def filter_section(

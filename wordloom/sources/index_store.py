@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from wordloom.config import DOC_INDEX_SCHEMA, POSTINGS_SCHEMA, SearchConfig
 from wordloom.operators.indexing import build_dictionary, build_postings, merge_keywords
 from wordloom.operators.maintenance import drop_orphans
+from wordloom.session import stored
 
 SCHEMAS = {
     "doc_index": DOC_INDEX_SCHEMA + ", gen LONG",
@@ -83,7 +84,8 @@ class IndexStore:
             .agg(last)
             .select("entry_id", F.col("last.gen").alias("winner"), F.col("last.op").alias("op"))
         )
-        rows = self.stored(name).join(winners, "entry_id", "left")
+        # Stored, so that a usual number of changes is broadcast and the texts stay in place.
+        rows = self.stored(name).join(stored(winners, "winners"), "entry_id", "left")
         untouched = F.col("winner").isNull() & (F.col("gen") == 0)
         current = (F.col("winner") == F.col("gen")) & (F.col("op") != "delete")
         return rows.filter(untouched | current).drop("winner", "op", "gen")
