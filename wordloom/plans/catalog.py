@@ -731,7 +731,7 @@ def recent_searches(spark, sf_dir):
 
 @query
 def already_logged(spark, sf_dir):
-    """Purchases and views of the last ten days against the log before them."""
+    """The searches of the last ten days against the log before them."""
     rows = src.load_search_logs(spark, sf_dir)
     start = F.lit("2024-01-21").cast("timestamp")
     new = rows.filter(F.col("date") >= start).select("id", "keywords", "sections", "session_id")
