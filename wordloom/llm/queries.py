@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.llm import bpe, exact_dedup, fingerprints, packing
+from wordloom.llm import (
+    bpe,
+    exact_dedup,
+    fingerprints,
+    license_scan,
+    packing,
+    sharding,
+    url_filter,
+)
 from wordloom.llm.common import read
 
 
@@ -25,10 +33,35 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(encoded, vocabulary))
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(read(spark, sf_dir, "documents"))
 
 
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards equal in bytes, from shards that a hash of the source has filled unevenly."""
+    docs = read(spark, sf_dir, "documents")
+    old = F.pmod(F.xxhash64("source"), F.lit(sharding.SHARDS))
+    placed = sharding.reshard(docs, old)
+    return placed.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "old_shard",
+    )
+
+
+def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(read(spark, sf_dir, "pages"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Sequences of at most 1024 tokens, each document closed by id 0."""
     vocabulary, pattern = byte_bpe()
@@ -46,9 +79,15 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_license_scan": op2_license_scan,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_sharding": op4_sharding,
+    "op5_url_filter": op5_url_filter,
     "op7_packing": op7_packing,
     "op8_fingerprints": op8_fingerprints,
 }
 
-ORACLES: dict[str, str] = {"op3_exact_dedup": exact_dedup.DECISIONS_SQL}
+ORACLES: dict[str, str] = {
+    "op2_license_scan": license_scan.SCAN_SQL,
+    "op3_exact_dedup": exact_dedup.DECISIONS_SQL,
+}
