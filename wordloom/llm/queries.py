@@ -12,6 +12,7 @@ from wordloom.llm import (
     exact_dedup,
     fingerprints,
     license_scan,
+    minhash_dedup,
     packing,
     sharding,
     url_filter,
@@ -77,6 +78,10 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_next(read(spark, sf_dir, "documents"))
 
 
+def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.near_copies(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_license_scan": op2_license_scan,
@@ -85,9 +90,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_filter": op5_url_filter,
     "op7_packing": op7_packing,
     "op8_fingerprints": op8_fingerprints,
+    "op9_minhash_dedup": op9_minhash_dedup,
 }
 
 ORACLES: dict[str, str] = {
     "op2_license_scan": license_scan.SCAN_SQL,
     "op3_exact_dedup": exact_dedup.DECISIONS_SQL,
+    "op9_minhash_dedup": minhash_dedup.NEAR_SQL,
 }
