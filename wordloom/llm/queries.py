@@ -13,6 +13,7 @@ from wordloom.llm import (
     fingerprints,
     license_scan,
     minhash_dedup,
+    ngram_lm,
     packing,
     sharding,
     url_filter,
@@ -82,6 +83,10 @@ def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.near_copies(read(spark, sf_dir, "documents"))
 
 
+def op10_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_lm.score(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_license_scan": op2_license_scan,
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_packing": op7_packing,
     "op8_fingerprints": op8_fingerprints,
     "op9_minhash_dedup": op9_minhash_dedup,
+    "op10_ngram_lm": op10_ngram_lm,
 }
 
 ORACLES: dict[str, str] = {
