@@ -34,6 +34,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # 32 bands of 4 positions: a pair at similarity 0.8 shares no band once in 2 * 10**7 times.
 POSITIONS, ROWS = 128, 4
 BANDS = POSITIONS // ROWS
+# Words of a shingle.
+WIDTH = 5
 # Linked from this many hundredths of similarity on.
 PERCENT = 80
 # Different heads that a class meets in the first comparison.
@@ -92,7 +94,7 @@ def lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(offsets, joined.view(np.int64))
 
 
-def sketches(docs: DataFrame) -> DataFrame:
+def sketches(docs: DataFrame, width: int) -> DataFrame:
     """``doc_id, n, set_key, bands``: the size of a text's set, a key equal for equal sets only
     (128 bits of hash), and its bands, none for an empty set."""
 
@@ -100,7 +102,7 @@ def sketches(docs: DataFrame) -> DataFrame:
         import xxhash
 
         for part in portions(batches, "text"):
-            sets = [shingle_set(t) for t in part.column("text").to_pylist()]
+            sets = [shingle_set(t, width) for t in part.column("text").to_pylist()]
             made: list[np.ndarray] = [np.empty(0, np.uint64)] * len(sets)
             group: list[int] = []
             for i, s in enumerate(sets):
@@ -138,14 +140,14 @@ def likely(rows: DataFrame, wanted: DataFrame, key: str, out: str) -> DataFrame:
     return probed(rows, key, stored(bitmaps, "near-filter"), bits, out)
 
 
-def full_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """``doc_id, shingles`` of the wanted ids; only texts that are likely wanted are shuffled."""
     chosen = likely(docs, wanted, "doc_id", "likely").filter("likely")
     chosen = chosen.select("doc_id", "text").join(wanted, "doc_id", "left_semi")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in portions(batches, "text"):
-            sets = [shingle_set(t) for t in part.column("text").to_pylist()]
+            sets = [shingle_set(t, width) for t in part.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), lists(sets)], ["doc_id", "shingles"])
 
     return chosen.mapInArrow(run, "doc_id long, shingles array<long>")
@@ -269,17 +271,19 @@ def remaining_links(rows: DataFrame, labels: DataFrame, sets: DataFrame, sketch:
     return grid.groupBy("key", "line", "column").applyInArrow(links_in_block, "a long, b long").distinct()
 
 
-def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_copies(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH
+) -> DataFrame:
     """One row for each document: ``doc_id, n_shingles, component_id, kept``.
 
-    Documents are linked when their sets of two-word shingles have a similarity of 0.8 or more;
+    Documents are linked when their sets of word shingles have a similarity of 0.8 or more;
     a component is named by its smallest id, which is kept. Null and empty texts have an empty set
     and are linked with nothing. Ids are taken to be unique: rows that repeat an id and its text get
     the same result each. Rows without an id are linked with nothing, get a null component and are
     kept. Other columns play no part, an empty table gives no rows.
     """
     rows = texts(docs, key, text)
-    sketch = stored(sketches(rows), "near-sketches")
+    sketch = stored(sketches(rows, width), "near-sketches")
     named = sketch.filter("n > 0 AND doc_id IS NOT NULL")
     classes = stored(
         named.groupBy("set_key").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies")),
@@ -296,7 +300,7 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     )
     buckets = stored(heads.filter("members > 1"), "near-heads")
     members = stored(banded.join(buckets.select("key"), "key", "left_semi"), "near-members")
-    sets = stored(full_sets(rows, members.select("doc_id").distinct()), "near-sets")
+    sets = stored(full_sets(rows, members.select("doc_id").distinct(), width), "near-sets")
     pairs = stored(first_pairs(members, buckets), "near-pairs")
     linked = stored(confirmed(pairs, sets), "near-links")
     labels = components(linked)
@@ -324,11 +328,13 @@ def near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     )
 
 
-def drop_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_near_copies(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = WIDTH
+) -> DataFrame:
     """The rows, all their columns, of the documents that stay. Rows whose key is surely not among
     those that go are not shuffled. Null keys stay."""
     gone = stored(
-        near_copies(docs, key, text).filter("NOT kept").select("doc_id"), "near-gone"
+        near_copies(docs, key, text, width).filter("NOT kept").select("doc_id"), "near-gone"
     )
     rows = docs.withColumn("__key", F.col(f"`{key}`").cast("long"))
     marked = likely(rows, gone, "__key", "__likely")

@@ -16,6 +16,7 @@ from wordloom.llm import (
     ngram_lm,
     packing,
     sharding,
+    toxicity,
     url_filter,
 )
 from wordloom.llm.common import read
@@ -64,6 +65,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(read(spark, sf_dir, "pages"))
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Sequences of at most 1024 tokens, each document closed by id 0."""
     vocabulary, pattern = byte_bpe()
@@ -80,7 +85,8 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash_dedup.near_copies(read(spark, sf_dir, "documents"))
+    """Linked by sets of two-word shingles."""
+    return minhash_dedup.near_copies(read(spark, sf_dir, "documents"), width=2)
 
 
 def op10_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_sharding": op4_sharding,
     "op5_url_filter": op5_url_filter,
+    "op6_toxicity": op6_toxicity,
     "op7_packing": op7_packing,
     "op8_fingerprints": op8_fingerprints,
     "op9_minhash_dedup": op9_minhash_dedup,

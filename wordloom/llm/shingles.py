@@ -1,4 +1,4 @@
-"""Words and word-pair shingles of whole texts as 64-bit hashes, for code that runs in workers."""
+"""Words and word shingles of whole texts as 64-bit hashes, for code that runs in workers."""
 
 from __future__ import annotations
 
@@ -13,7 +13,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Words whose hashes a worker remembers.
 REMEMBERED = 400_000
-LONE = np.uint64(0x9E3779B97F4A7C15)
+# Sets texts that are one short shingle apart from shingles of full width.
+LONE = 0x9E3779B97F4A7C15
 
 
 class Hashes(dict):
@@ -44,9 +45,16 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_set(text: str) -> np.ndarray:
-    """Sorted hashes of the distinct two-word shingles; a lone word is a shingle of its own."""
+def shingle_set(text: str, width: int) -> np.ndarray:
+    """Sorted hashes of the distinct shingles of ``width`` words; a text with fewer words is one
+    shingle as a whole, one without words has none."""
     words = word_hashes(text)
-    if len(words) < 2:
-        return mixed(words ^ LONE)
-    return np.unique(mixed(words[:-1] + mixed(words[1:])))
+    if not len(words):
+        return words
+    if len(words) < width:
+        words, width = words ^ np.uint64(LONE * len(words) & (1 << 64) - 1), len(words)
+    last = len(words) - width
+    joined = words[width - 1 :]
+    for place in range(width - 2, -1, -1):
+        joined = words[place : place + last + 1] + mixed(joined)
+    return np.unique(mixed(joined))
