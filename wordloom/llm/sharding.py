@@ -1,9 +1,11 @@
 """Resharding by minimum-cost flow: new capacities with the fewest bytes moved.
 
-Documents lie in old shards, each cut into a fixed number of blocks by a hash of the id. Sums for
-each block, a table of fixed size, go to the driver, which solves the flow between the shards that
-have too much and those that have too little, and gives every block its targets. At the two ends
-of a transfer a block is cut between documents. Rows are then numbered within their new shards.
+Documents lie in old shards, each cut into a fixed number of blocks by the magnitude of the size,
+large documents first, and a hash of the id. Sums for each block, a table of bounded size, go to
+the driver, which solves the flow between the shards that have too much and those that have too
+little, and gives every block its targets. A shard keeps its first blocks, so that cuts fall among
+smaller documents. At the two ends of a transfer a block is cut between documents. Rows are then
+numbered within their new shards.
 """
 
 from __future__ import annotations
@@ -21,8 +23,9 @@ from wordloom.session import local_table
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SHARDS = 16
-# Blocks in an old shard.
-BLOCKS = 256
+# Magnitudes of sizes, from 2**23 bytes and more to 1, and blocks of one magnitude in a shard.
+MAGNITUDES = 24
+BLOCKS = 64
 
 
 def capacities(total: int, shards: int) -> list[int]:
@@ -125,8 +128,8 @@ def reshard(
 ) -> DataFrame:
     """``doc_id, size, text_crc32, old_shard, block, shard, slot`` of every document.
 
-    ``old`` gives the shard a document lies in now. New shards are equal in bytes, but for less
-    than one document at each cut. Slots run from 0 in each shard, by old shard, block and id. The
+    ``old`` gives the shard a document lies in now. New shards are equal in bytes, but for half
+    a document at each cut. Slots run from 0 in each shard, by old shard, block and id. The
     size is the text's UTF-8 bytes plus 1; null texts count as empty. Rows that repeat get a slot
     each; null ids come first in their block; other columns play no part; an empty table gives no
     rows.
@@ -138,8 +141,10 @@ def reshard(
         (F.octet_length(data) + 1).cast("long").alias("size"),
         F.crc32(data).alias("text_crc32"),
         F.coalesce(old.cast("int"), F.lit(0)).alias("old_shard"),
-        F.pmod(F.xxhash64(f"`{key}`", F.lit(1)), F.lit(blocks)).cast("int").alias("block"),
     )
+    magnitude = F.greatest(F.lit(0), MAGNITUDES - 1 - F.floor(F.log2("size")))
+    way = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(blocks))
+    rows = rows.withColumn("block", (magnitude * blocks + way).cast("int"))
     rows = stored(rows, "shard-sizes")
     sums = rows.groupBy("old_shard", "block").agg(F.sum("size").alias("size")).collect()
     sized = [(r["old_shard"], r["block"], r["size"]) for r in sums]
@@ -156,7 +161,8 @@ def reshard(
     begins = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1))
     placed = rows.withColumn("begin", F.coalesce(begins, F.lit(0)))
     placed = placed.join(F.broadcast(plan), ["old_shard", "block"])
-    reached = F.filter("stretches", lambda s: s["from"] <= F.col("begin"))
+    # A document goes where its middle byte lies.
+    reached = F.filter("stretches", lambda s: s["from"] * 2 <= F.col("begin") * 2 + F.col("size"))
     placed = stored(
         placed.select(
             "doc_id", "size", "text_crc32", "old_shard", "block", "begin",
