@@ -9,7 +9,16 @@ from wordloom.config import SearchConfig, SectionIndex
 from wordloom.functions import text as tx
 from wordloom.functions.scoring import weight_factor
 from wordloom.functions.stem import stem_vocabulary
-from wordloom.operators import excerpts, indexing, logs, maintenance, querytext, ranking, suggest
+from wordloom.operators import (
+    excerpts,
+    indexing,
+    logs,
+    maintenance,
+    matching,
+    querytext,
+    ranking,
+    suggest,
+)
 from wordloom.session import local_table
 
 CFG = SearchConfig()
@@ -284,3 +293,83 @@ def test_bad_settings():
     for bad in ({"mode": "x"}, {"default_sort": "x"}, {"default_direction": "x"}, {"default_per_page": 0}):
         with pytest.raises(ValueError):
             SearchConfig(**bad)
+
+
+def test_entities_with_any_number_of_zeros(spark):
+    assert one(spark, "&#0000000065;&#x000000000042;&#0;", tx.decode_entities) == "AB&#0;"
+
+
+def test_missing_keywords_are_an_empty_query(spark):
+    queries = local_table(spark, [(1, None), (2, "uk")], "qid INT, keywords STRING")
+    synonyms = local_table(spark, [("United Kingdom", "uk")], "word STRING, synonyms STRING")
+    out = querytext.apply_synonyms(queries, synonyms).orderBy("qid").collect()
+    assert [r["adjusted"] for r in out] == ["", "United Kingdom"]
+
+
+def test_repeated_phrases_are_one(spark):
+    queries = local_table(spark, [(1, '"a b" x "a b" -"c d" -"c d"')], "qid INT, adjusted STRING")
+    row = querytext.classify(queries, CFG).first()
+    assert row["include_phrase"] == ["a b"] and row["exclude_phrase"] == ["c d"]
+
+
+def test_sections_as_an_array(spark):
+    sections = local_table(
+        spark, [(1, "a", "A"), (2, "b", "B")], "section_id INT, handle STRING, name STRING"
+    )
+    cfg = SearchConfig(default_sections="a,b")
+    typed = local_table(
+        spark, [(1, ["b", " a"]), (2, []), (3, None), (4, ["c"])], "qid INT, sections ARRAY<STRING>"
+    )
+    got = querytext.resolve_sections(typed, sections, cfg)
+    assert sorted((r["qid"], r["pos"], r["handle"]) for r in got.collect()) == [
+        (1, 0, "b"), (1, 1, "a"), (2, 0, "a"), (2, 1, "b"), (3, 0, "a"), (3, 1, "b"),
+    ]
+
+
+FULL_TEXTS = [
+    (1, 1, "foo or what is it here"), (2, 1, "foo is not it"), (3, 1, "x=y foo bar"),
+    (4, 1, "foo x=y bar"), (5, 2, "foo is it"),
+]
+
+
+@pytest.mark.parametrize(
+    "typed, entries",
+    [
+        ('+"is it" foo', [1]),
+        ('"is it"', [1]),
+        ('"x=y foo"', [3]),
+        ('-"is it" foo', [2, 3, 4]),
+        ('+"is it" +"x=y foo"', []),
+        ("+is foo", [1, 2, 3, 4]),
+    ],
+)
+def test_full_text_phrases_of_any_words(spark, typed, entries):
+    index = local_table(
+        spark, [(*row, row[2]) for row in FULL_TEXTS], "entry_id LONG, section_id INT, data STRING, data_lc STRING"
+    )
+    postings = indexing.build_postings(index, CFG)
+    terms = matching.boolean_terms(local_table(spark, [(1, typed)], "qid INT, adjusted STRING"), CFG)
+    resolved = local_table(spark, [(1, 1)], "qid INT, section_id INT")
+    hits = matching.match_fulltext(postings, indexing.build_dictionary(postings), index, terms, resolved)
+    assert sorted(r["entry_id"] for r in hits.collect()) == entries
+
+
+def test_a_token_of_a_million_characters(spark):
+    text = "ab " + "xab" * 350_000
+    index = spark.createDataFrame([(1, 1, text, text)], "entry_id LONG, section_id INT, data STRING, data_lc STRING")
+    words = spark.createDataFrame([(2, 1, "xab abx " + text, "")], index.schema)
+    rows = indexing.build_postings(index.unionByName(words), SearchConfig(min_word_length=2)).collect()
+    found = {(r["entry_id"], r["keyword"]): (r["frequency"], r["tf"]) for r in rows}
+    assert found[1, "ab"] == (350_001, 1)
+    assert found[2, "xab"] == (350_001, 1)
+    assert found[2, "abx"] == (350_000, 1)
+
+
+def test_log_ids_follow_the_log(spark):
+    from wordloom.sources.logs import run_rows
+
+    adjusted = local_table(spark, [(1, "a", "a"), (2, "b", "b")], "qid INT, keywords STRING, adjusted STRING")
+    resolved = local_table(spark, [(1, 0, "s"), (2, 0, "s")], "qid INT, pos INT, handle STRING")
+    totals = local_table(spark, [(1, 5, 1), (2, 0, 1)], "qid INT, total LONG, page INT")
+    out = run_rows(adjusted, resolved, totals, F.current_timestamp(), F.lit("s"), F.lit(1000))
+    assert sorted(r["id"] for r in out.collect()) == [1001, 1002]

@@ -1,11 +1,13 @@
 """Properties of the physical plans."""
 
+import os
 import re
 
 import pytest
 
 from wordloom.operators import indexing, logs, matching
 from wordloom.plans import catalog
+from wordloom.session import TEXT_PARTITIONS
 from wordloom.sources import tables as src
 
 
@@ -43,22 +45,45 @@ def test_postings_are_one_narrow_pass(spark, sf_dir, tmp_path):
     assert plan.count("MapInArrow") == 1
 
 
-def test_sections_prune_partitions(spark, sf_dir, tmp_path):
+def test_sections_keep_the_texts_in_place(spark, sf_dir, tmp_path):
     path = str(tmp_path / "index")
     catalog.doc_rows(spark, sf_dir).write.partitionBy("section_id").parquet(path)
     prepared, _ = catalog.prepared(spark, sf_dir)
-    few = prepared.resolved.filter("section_id <= 2")
-    plan = final_plan(matching.in_sections(spark.read.parquet(path), few))
-    assert re.search(r"PartitionFilters: \[[^\]]*section_id", plan)
-    assert "ReadSchema: struct<entry_id:bigint,data:string,data_lc:string>" in plan
+    plan = final_plan(matching.in_sections(spark.read.parquet(path), prepared.resolved))
+    assert "BroadcastHashJoin" in plan
+    assert not re.search(r"\b(data|data_lc|text)#", shuffled_columns(plan))
+
+
+def test_no_text_is_dealt_out_unless_asked(spark, sf_dir):
+    spark.conf.unset(TEXT_PARTITIONS)
+    try:
+        for name in ("search", "match_like", "load_entries"):
+            assert "RoundRobin" not in final_plan(catalog.QUERIES[name](spark, sf_dir)), name
+    finally:
+        spark.conf.set(TEXT_PARTITIONS, "4")
+
+
+def test_pages_are_cut_before_the_shuffle(spark, sf_dir):
+    assert "WindowGroupLimit" in final_plan(catalog.QUERIES["search"](spark, sf_dir))
+
+
+def test_no_driver_loops_in_operators():
+    folder = os.path.join(os.path.dirname(indexing.__file__))
+    for name in os.listdir(folder):
+        if name.endswith(".py"):
+            with open(os.path.join(folder, name)) as file:
+                text = file.read()
+            assert not re.search(r"\.(collect|toArrow|toPandas|isEmpty)\(", text), name
 
 
 def test_scan_reads_only_what_it_needs(spark, sf_dir, tmp_path):
     path = str(tmp_path / "index")
     catalog.doc_rows(spark, sf_dir).write.partitionBy("section_id").parquet(path)
-    plan = final_plan(matching.scan_hits(spark.read.parquet(path), ["the"], False))
-    assert "ReadSchema: struct<entry_id:bigint,data_lc:string>" in plan
-    assert "Exchange" not in plan
+    terms = spark.sql("SELECT 'the' AS term")
+    plan = matching.scan_hits(spark.read.parquet(path), terms, False)
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<entry_id:bigint,data_lc:string>" in text
+    assert not re.search(r"Exchange (hash|Round|range)", text)
 
 
 def test_log_page_is_a_top_k(spark, sf_dir):

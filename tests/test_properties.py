@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from wordloom.operators import indexing, logs, maintenance, matching, querytext, ranking
 from wordloom.plans import catalog, search
-from wordloom.session import local_table, settled, shared_folder
+from wordloom import session
+from wordloom.session import local_table, shared_folder
 from wordloom.sources import index_store
 from wordloom.sources import tables as src
 from wordloom.streaming import index_feed, log_feed
@@ -29,7 +30,7 @@ def ready(spark, sf_dir):
 def test_index_matching_equals_scanning(spark, ready, mode):
     prepared, tables = ready
     columns = ("qid", "entry_id", "keywords_matched", "occurrences")
-    wide, narrow = replace(CFG, scan_terms=1000), replace(CFG, scan_terms=0)
+    wide, narrow = replace(CFG, method="scan"), replace(CFG, method="tokens")
     match = lambda cfg: matching.match_terms(
         tables.doc_index, prepared.terms, prepared.resolved, cfg, mode
     )
@@ -45,7 +46,7 @@ def test_index_matching_of_odd_terms(spark):
     terms = ["aa", "a", "of the", "the of the", "x  y", "x y", " lead", "ünï", "ï ç", "b|c(", "aaa", "f the  e"]
     table = local_table(spark, [(t,) for t in terms], "term STRING")
     for whole in (False, True):
-        scan = matching.scan_hits(index, terms, whole)
+        scan = matching.scan_hits(index, table, whole)
         found = matching.indexed_hits(index, indexing.build_token_index(index), table, whole)
         columns = ("entry_id", "term", "n", "ok")
         want = [r for r in rows(scan, *columns)]
@@ -73,7 +74,7 @@ def test_pages_join_to_the_whole_result(spark, sf_dir):
     pages = []
     for page in range(1, len(want) // 40 + 2):
         hits = scored.withColumn("page", F.lit(page)).withColumn("per_page", F.lit(40))
-        pages += [r["entry_id"] for r in ranking.paginate(hits, search.rank_value()).orderBy("rank").collect()]
+        pages += [r["entry_id"] for r in ranking.paginate(hits, search.rank_value(), 40 * page).orderBy("rank").collect()]
     assert pages == want
 
 
@@ -145,11 +146,133 @@ def test_log_stream_equals_batch(spark, sf_dir):
     assert rows(log_feed.stored_log_groups(spark, path), *columns) == want
 
 
-def test_settled_beyond_the_bound_is_stored(spark):
-    wide = spark.range(6000).withColumn("x", F.col("id") % 7)
-    again = settled(wide, "wide")
-    assert again.count() == 6000 and again.inputFiles()
-    assert not settled(wide.filter("id < 10"), "few").inputFiles()
+class Cluster:
+    """A session that looks like one on a cluster without a shared folder."""
+
+    class conf:
+        get = staticmethod(lambda key, default=None: default)
+
+    class sparkContext:
+        master, applicationId = "yarn", "app-1"
+
+
+def test_a_cluster_needs_a_shared_folder(spark):
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(Cluster, "x")
+    folder = session.run_folder(spark)
+    assert shared_folder(spark, "x").startswith(f"{folder}/x-")
+
+
+def test_every_section_counts_however_many(spark):
+    index = spark.range(30_000).select(
+        F.col("id").alias("entry_id"), F.col("id").cast("int").alias("section_id"),
+        F.lit("a").alias("data"), F.lit("a").alias("data_lc"),
+    )
+    resolved = index.filter("section_id % 2 = 0").select(F.lit(1).alias("qid"), "section_id")
+    kept = matching.in_sections(index, resolved)
+    assert kept.columns == index.columns
+    assert kept.agg(F.count("*"), F.max(F.col("section_id") % 2)).first()[:] == (15_000, 0)
+
+
+def store_of(spark, rows_, name):
+    store = index_store.IndexStore(spark, shared_folder(spark, name), CFG)
+    store.build(local_table(spark, rows_, "entry_id LONG, section_id INT, data STRING, data_lc STRING"))
+    return store
+
+
+def change(spark, entry_id, day, op):
+    stamp = F.to_timestamp(F.lit(f"2024-01-{day:02d}"))
+    return spark.range(1).select(
+        F.lit(entry_id).cast("long").alias("entry_id"), stamp.alias("changed_at"),
+        F.lit(day).cast("long").alias("change_id"), F.lit(op).alias("op"),
+    )
+
+
+def index_rows(spark, rows_):
+    return local_table(spark, rows_, "entry_id LONG, section_id INT, data STRING, data_lc STRING")
+
+
+def test_replayed_batch_after_a_move_between_sections(spark):
+    store = store_of(spark, [(1, 1, "old text", "old text")], "moved")
+    for section in (2, 3):
+        fresh = index_rows(spark, [(1, section, "new text", "new text")])
+        store.add_generation(5, fresh, change(spark, 1, 5, "edit"))
+    assert rows(store.live("doc_index"), "entry_id", "section_id") == [(1, 3)]
+    assert {r["section_id"] for r in store.live("postings").collect()} == {3}
+
+
+def test_an_older_change_loses_after_compaction(spark):
+    store = store_of(spark, [(1, 1, "old", "old"), (2, 1, "other", "other")], "older")
+    store.add_generation(7, index_rows(spark, [(1, 1, "newer", "newer")]), change(spark, 1, 9, "edit"))
+    store.add_generation(8, index_rows(spark, []), change(spark, 2, 9, "delete"))
+    small = store.compact(shared_folder(spark, "compacted"))
+    small.add_generation(3, index_rows(spark, []), change(spark, 1, 2, "delete"))
+    small.add_generation(4, index_rows(spark, [(2, 1, "late", "late")]), change(spark, 2, 2, "edit"))
+    assert rows(small.live("doc_index"), "entry_id", "data") == [(1, "newer")]
+
+
+def test_generations_of_another_checkpoint_are_other_ones():
+    names = {index_feed.generation_of(c, b) for c in ("a", "b", "a/x") for b in range(50)}
+    assert len(names) == 150 and min(names) > 0
+    assert index_feed.generation_of("a/", 1) == index_feed.generation_of("a", 1)
+
+
+def test_stored_maintenance(spark, sf_dir):
+    store = index_store.IndexStore(spark, shared_folder(spark, "index"), CFG)
+    store.build(catalog.doc_rows(spark, sf_dir))
+    at = lambda day: F.to_timestamp(F.lit(f"2024-03-{day:02d}"))
+    store.delete_section(3, 1, at(1))
+    assert rows(store.live("doc_index"), "entry_id", "section_id", "data") == rows(catalog.delete_section(spark, sf_dir))
+    entries = src.load_contents(spark, sf_dir).withColumn("text", F.concat_ws(" ", "text", "lang"))
+    entries = entries.filter("entry_id % 7 <> 0")
+    store.reindex_sections(entries, src.SECTION_CONFIG, [2, 3, 5], 2, at(2))
+    want = maintenance.reindex_sections(catalog.doc_rows(spark, sf_dir), entries, src.SECTION_CONFIG, [2, 3, 5])
+    assert rows(store.live("doc_index"), "entry_id", "section_id", "data") == rows(want, "entry_id", "section_id", "data")
+
+
+@pytest.mark.parametrize("folder", [False, True])
+def test_streams_read_a_file_or_a_folder(spark, sf_dir, folder):
+    path = shared_folder(spark, "stream-in")
+    events = src.read(spark, sf_dir, "events")
+    if folder:
+        events.repartition(3).write.parquet(f"{path}/events.parquet")
+    source = path if folder else sf_dir
+    groups = shared_folder(spark, "groups")
+    feed = log_feed.stream_log_groups(
+        src.log_rows(catalog.event_stream(spark, source)), groups, shared_folder(spark, "c"), {"availableNow": True}
+    )
+    feed.awaitTermination()
+    want = rows(logs.log_groups(src.load_search_logs(spark, sf_dir)), "keywords", "session_id", "results")
+    assert rows(log_feed.stored_log_groups(spark, groups), "keywords", "session_id", "results") == want
+
+
+def test_settings_that_no_search_knows(spark, ready):
+    _, tables = ready
+    odd = src.load_queries(spark).filter("qid = 1").withColumn("sort", F.lit("nosuch"))
+    with pytest.raises(ValueError, match="sort"):
+        search.search(odd, tables, CFG, catalog.as_of(), strict=True)
+    odd = src.load_queries(spark).filter("qid = 1").withColumn("direction", F.lit("sideways"))
+    with pytest.raises(ValueError, match="direction"):
+        search.search(odd, tables, CFG, catalog.as_of(), strict=True)
+
+
+def test_append_settings_mark_the_words(spark, sf_dir):
+    cfg = replace(catalog.FULLTEXT, append_all_words_required=True, append_wildcard=True)
+    tables = catalog.search_tables(spark, sf_dir, cfg)
+    queries = src.load_queries(spark).filter("qid = 2")
+    terms = matching.boolean_terms(search.prepare(queries, tables, cfg).parsed, cfg)
+    assert rows(terms, "sign", "word", "prefix") == [("+", "the", True), ("+", "tion", True)]
+
+
+def test_search_run_gives_what_the_parts_give(spark, sf_dir):
+    tables = catalog.search_tables(spark, sf_dir)
+    tables = replace(tables, dictionary=catalog.dictionary(spark, sf_dir))
+    queries = src.load_queries(spark)
+    run = search.search_run(queries, tables, CFG, catalog.as_of(), F.lit("s"), F.lit(100))
+    assert rows(run.page, "qid", "rank", "entry_id") == rows(catalog.sort_modes(spark, sf_dir))
+    assert rows(run.totals) == rows(catalog.found_rows(spark, sf_dir))
+    assert rows(run.excerpts, "qid", "entry_id", "excerpt") == rows(catalog.excerpt_html(spark, sf_dir), "qid", "entry_id", "excerpt")
+    assert {r["id"] for r in run.log.collect()} == {100 + q[0] for q in src.QUERIES if q[0] != 13}
 
 
 def test_highlight_has_stems(spark):

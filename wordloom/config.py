@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 MODES = ("like", "regexp", "fulltext")
+METHODS = ("scan", "tokens")
 SORTS = ("score", "score-recency", "date", "id")
 DIRECTIONS = ("asc", "desc")
 
@@ -49,20 +50,20 @@ class SearchConfig:
     min_word_length: int = 3
     max_word_length: int = 30
     stem_words: bool = True
-    build_entries: bool = False
     mode: str = "like"
-    log_keywords: bool = True
     suggest_limit: int = 50
+    # Full text: unsigned words are required, or match as beginnings of words.
     append_all_words_required: bool = False
     append_wildcard: bool = False
     # Whether a word's stem also counts as a match (off: only the word itself).
     match_stems: bool = False
-    # Up to this many distinct words or phrases a batch is matched in one pass over the
-    # texts; larger batches are matched through the token index.
-    scan_terms: int = 64
+    # How words are found: "scan" tests every one on every text, for batches of few words;
+    # "tokens" goes through the vocabulary and a token index, for any number.
+    method: str = "scan"
 
     def __post_init__(self):
         check_choice("mode", self.mode, MODES)
+        check_choice("method", self.method, METHODS)
         check_choice("sort", self.default_sort, SORTS)
         check_choice("direction", self.default_direction, DIRECTIONS)
         if self.default_per_page <= 0:

@@ -23,8 +23,9 @@ def substring_counts(text: str, keywords: list[str]) -> list[tuple[str, int, int
     """``(keyword, frequency, tf)`` of one text.
 
     A keyword holds no blank, so each of its occurrences lies inside one token: look up the
-    parts of every distinct token among the keywords. Linear in the text, where counting
-    keyword by keyword reads the whole text once for each of them.
+    parts of every distinct token among the keywords, as they are cut. Linear in the text, where
+    counting keyword by keyword reads the whole text once for each of them, and no more memory
+    than the keywords take, however long a token is.
     """
     tokens = Counter(text.split(" "))
     wanted = set(keywords)
@@ -32,13 +33,13 @@ def substring_counts(text: str, keywords: list[str]) -> list[tuple[str, int, int
     frequency = dict.fromkeys(keywords, 0)
     for token, n in tokens.items():
         length = len(token)
-        parts = {
-            token[i : i + size]
-            for size in sizes
-            if size <= length
-            for i in range(length - size + 1)
-        }
-        for part in parts & wanted:
+        found = set()
+        for size in sizes:
+            for i in range(length - size + 1):
+                part = token[i : i + size]
+                if part in wanted:
+                    found.add(part)
+        for part in found:
             frequency[part] += n * token.count(part)
     return [(k, frequency[k], tokens[k]) for k in keywords]
 

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 # Whitespace that counts when trimming stored values.
 WHITESPACE = " \t\n\r\0\x0b"
 
-# The character classes of the punctuation cleaner.
+# The character classes and the passes of the punctuation cleaner.
 URL_BRACKETS = r"\[\]\(\)"
 URL_BEFORE_SPACE = r":;'_\*%@&?!" + URL_BRACKETS
 URL_AFTER_SPACE = r"\.,:;'\-_\*@&/\\\?!#" + URL_BRACKETS
@@ -61,7 +61,7 @@ def decode_entities(col: Column) -> Column:
     """Numeric character references to characters; impossible ones stay as written."""
 
     def decode_piece(piece: Column) -> Column:
-        digits = F.regexp_extract(piece, r"(?i)^(x[0-9a-f]{1,8}|[0-9]{1,9});", 1)
+        digits = F.regexp_extract(piece, r"(?i)^(x0*[0-9a-f]{1,8}|0*[0-9]{1,9});", 1)
         is_hex = F.lower(F.substring(digits, 1, 1)) == "x"
         code = F.when(is_hex, F.conv(F.regexp_replace(digits, "^[xX]", ""), 16, 10))
         code = F.coalesce(code, F.nullif(digits, F.lit(""))).try_cast("long")

@@ -186,8 +186,26 @@ def keyword_totals(postings: DataFrame) -> DataFrame:
 
 
 def build_token_index(doc_index: DataFrame) -> DataFrame:
-    """Blank-separated pieces of the lower-cased text, for matching large query batches."""
-    pieces = F.split("data_lc", r"\s+")
-    return doc_index.select(
-        "entry_id", "section_id", F.explode(pieces).alias("token")
-    ).filter(F.col("token") != "")
+    """``(entry_id, section_id, token, times)``: the distinct blank-separated pieces of each
+    lower-cased text, for matching large query batches.
+
+    Counted inside each row, on its sorted pieces, so nothing is shuffled.
+    """
+    pieces = F.filter(F.split("data_lc", r"\s+"), lambda w: w != "")
+    # An exploded array of one is computed once, whatever reads it.
+    rows = doc_index.select(
+        "entry_id", "section_id", F.explode(F.array(F.array_sort(pieces))).alias("pieces")
+    )
+    first = F.filter(
+        F.transform("pieces", lambda w, i: F.struct(w.alias("token"), i.alias("at"))),
+        lambda p: (p["at"] == 0) | (p["token"] != F.col("pieces")[F.greatest(p["at"] - 1, F.lit(0))]),
+    )
+    rows = rows.select(
+        "entry_id", "section_id", F.size("pieces").alias("size"), F.explode(F.array(first)).alias("first")
+    )
+    following = lambda i: F.coalesce(F.get("first", i + 1)["at"], F.col("size"))
+    counted = F.transform(
+        "first",
+        lambda p, i: F.struct(p["token"].alias("token"), (following(i) - p["at"]).alias("times")),
+    )
+    return rows.select("entry_id", "section_id", F.inline(counted))

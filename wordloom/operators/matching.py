@@ -1,10 +1,10 @@
 """Which entries match which queries.
 
 Every mode first finds *term hits*: ``(term, entry, n)`` rows saying how often a word or
-phrase occurs in an entry. Small batches find them in one pass over the texts with the terms
-as literals; larger ones match the terms against the vocabulary and reach the entries by an
-equi-join on tokens. Both ways give the same rows. One aggregation by (query, entry) then
-applies the boolean rules.
+phrase occurs in an entry. The caller says how: ``method="scan"`` tests all terms on every text
+in one pass, for batches of few terms; ``method="tokens"`` matches the terms against the
+vocabulary and reaches the entries by an equi-join on tokens, for any number. Both ways give the
+same rows. One aggregation by (query, entry) then applies the boolean rules.
 """
 
 from __future__ import annotations
@@ -16,12 +16,16 @@ from wordloom.config import SearchConfig, check_choice
 from wordloom.functions import text as tx
 from wordloom.functions.scoring import bm25
 from wordloom.functions.stem import stem_vocabulary
-from wordloom.operators.indexing import build_token_index, cleaned, keyword_totals
-from wordloom.session import settled, stored
+from wordloom.operators.indexing import (
+    build_token_index,
+    cleaned,
+    is_keyword,
+    keyword_totals,
+    length_gate,
+)
+from wordloom.session import stored
 
 ENTRY = ["entry_id", "section_id"]
-# Section ids fetched to narrow a scan; beyond, hits are only narrowed after matching.
-MAX_SECTIONS = 10000
 
 
 def join_entries(index: DataFrame, entries: DataFrame) -> DataFrame:
@@ -31,27 +35,30 @@ def join_entries(index: DataFrame, entries: DataFrame) -> DataFrame:
 
 
 def in_sections(index: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Entries in any section some query asks for.
+    """Entries in any section some query asks for, however many those are.
 
-    The ids become literals, so partitions of a stored index are pruned and no join ever
-    moves the texts.
+    The distinct ids are a table of at most one row per section; below Spark's own threshold it
+    is broadcast and prunes the partitions of a stored index, so the texts stay in place.
     """
-    ids = resolved.select("section_id").distinct().limit(MAX_SECTIONS + 1).collect()
-    if len(ids) > MAX_SECTIONS:
-        return index
-    return index.filter(F.col("section_id").isin([r["section_id"] for r in ids]))
+    ids = resolved.select("section_id").filter("section_id IS NOT NULL").distinct()
+    return index.join(ids, "section_id", "left_semi").select(*index.columns)
 
 
-def scan_hits(index: DataFrame, terms: list[str], whole: bool) -> DataFrame:
-    """Term hits by one pass over the texts: no join, no shuffle."""
+def scan_hits(index: DataFrame, terms: DataFrame, whole: bool) -> DataFrame:
+    """Term hits by one pass over the texts: no join, no shuffle of texts.
+
+    All terms are one array in every task, so this way is for batches of few terms.
+    """
     text = F.col("data_lc")
-    found = F.filter(F.array(*[F.lit(t) for t in terms]), lambda t: F.contains(text, t))
+    listed = terms.agg(F.array_sort(F.collect_set("term")).alias("terms")).scalar()
+    rows = index.select(*ENTRY, "data_lc", listed.alias("terms"))
+    found = F.filter("terms", lambda t: F.contains(text, t))
     hit = lambda t: F.struct(
         t.alias("term"),
         tx.count_substring(text, t).alias("n"),
         (tx.has_whole_word(text, t) if whole else F.lit(True)).alias("ok"),
     )
-    return index.select(*ENTRY, F.inline(F.transform(found, hit)))
+    return rows.select(*ENTRY, F.inline(F.transform(found, hit)))
 
 
 def grams(word: Column, size: int) -> Column:
@@ -100,14 +107,12 @@ def indexed_hits(index: DataFrame, tokens: DataFrame, terms: DataFrame, whole: b
     word_hits = (
         tokens.join(pairs, "token")
         .groupBy(*ENTRY, "term")
-        .agg(F.sum("n").cast("int").alias("n"), F.max("ok").alias("ok"))
+        .agg(F.sum(F.col("n") * F.col("times")).cast("int").alias("n"), F.max("ok").alias("ok"))
     )
 
     # A phrase of three words or more holds a whole token between its blanks; its rarest one
     # picks the candidates. Shorter phrases use their longest word as a part of a token.
     phrases = terms.filter(blank)
-    if phrases.isEmpty():
-        return word_hits
     parts = F.split("term", r"\s+")
     inner = phrases.select("term", F.explode(F.slice(parts, 2, F.size(parts) - 2)).alias("token"))
     token_count = tokens.join(inner.select("token").distinct(), "token", "left_semi").groupBy(
@@ -150,24 +155,17 @@ def indexed_hits(index: DataFrame, tokens: DataFrame, terms: DataFrame, whole: b
 def term_hits(
     index: DataFrame, terms: DataFrame, cfg: SearchConfig, whole: bool, tokens: DataFrame | None = None
 ) -> DataFrame:
-    """Hits of each distinct term; the size of the batch decides between the two ways.
+    """Hits of each distinct term, found in the way that the settings name.
 
-    Only the bounded list ``scan_terms + 1`` is ever fetched to look at that size.
+    ``tokens`` is a token index prepared with the texts; without one it is built and stored.
     """
     distinct = terms.select("term").distinct()
-    first = [r["term"] for r in distinct.limit(cfg.scan_terms + 1).collect()]
-    if len(first) <= cfg.scan_terms:
-        return scan_hits(index, sorted(first), whole) if first else no_hits(index)
-    tokens = build_token_index(index) if tokens is None else tokens
+    if cfg.method == "scan":
+        return scan_hits(index, distinct, whole)
+    tokens = stored(build_token_index(index), "tokens") if tokens is None else tokens
     return indexed_hits(index, tokens, stored(distinct, "terms"), whole)
 
 
-def no_hits(index: DataFrame) -> DataFrame:
-    return index.limit(0).select(
-        *ENTRY, F.lit("").alias("term"), F.lit(0).alias("n"), F.lit(True).alias("ok")
-    )
-
-
 def with_stem_probes(terms: DataFrame) -> DataFrame:
     """``(qid, term, excluded, probe)``: included words are also looked up by their stem."""
     single = terms.filter(~F.col("excluded") & ~F.contains("term", F.lit(" ")))
@@ -217,18 +215,16 @@ def match_terms(
     # Queries that only exclude start from every entry of their sections.
     needs = terms.groupBy("qid").agg(F.count_if(~F.col("excluded")).alias("needed"))
     pick = needs.filter(F.col("needed") == 0).join(resolved.select("qid", "section_id"), "qid")
-    pick = settled(pick.select("qid", "section_id"), "exclude-only")
-    if not pick.isEmpty():
-        base = index.select(*ENTRY).join(pick, "section_id").select(
-            "qid",
-            *ENTRY,
-            F.lit(None).cast("string").alias("term"),
-            F.lit(None).cast("boolean").alias("excluded"),
-            F.lit(False).alias("ok"),
-            F.lit(0).alias("n"),
-            F.lit(False).alias("located"),
-        )
-        rows = rows.unionByName(base)
+    base = index.select(*ENTRY).join(pick.select("qid", "section_id"), "section_id").select(
+        "qid",
+        *ENTRY,
+        F.lit(None).cast("string").alias("term"),
+        F.lit(None).cast("boolean").alias("excluded"),
+        F.lit(False).alias("ok"),
+        F.lit(0).alias("n"),
+        F.lit(False).alias("located"),
+    )
+    rows = rows.unionByName(base)
     per_entry = (
         rows.groupBy("qid", *ENTRY)
         .agg(
@@ -257,8 +253,9 @@ def boolean_terms(queries: DataFrame, cfg: SearchConfig, column: str = "adjusted
     """``(qid, sign, word, prefix, phrase)`` of a boolean full-text query.
 
     ``sign`` is ``+``, ``-`` or empty; ``phrase`` holds the cleaned quoted text on each of
-    its words (a single quoted word is just a word), and ``prefix`` marks words written with
-    a trailing ``*``.
+    its keywords (a single quoted word is just a word), and ``prefix`` marks words written with
+    a trailing ``*``. Words that are no keywords play no part, but a phrase stays an item even
+    if none of its words is one: it then has one row, without a word.
     """
     raw = F.explode(F.regexp_extract_all(F.lower(column), F.lit(r'[+-]?"[^"]+"|[^ "]+'), F.lit(0)))
     items = queries.select("qid", raw.alias("raw")).select(
@@ -268,17 +265,15 @@ def boolean_terms(queries: DataFrame, cfg: SearchConfig, column: str = "adjusted
         (~F.contains("raw", F.lit('"')) & F.endswith("raw", F.lit("*"))).alias("prefix"),
         F.trim(tx.strip_punctuation(F.regexp_replace("raw", r'^[+-]|"', ""))).alias("body"),
     )
-    words = items.select(
-        "qid",
-        "sign",
-        "prefix",
-        F.when(F.col("quoted") & F.contains("body", F.lit(" ")), F.col("body")).alias("phrase"),
-        F.explode(F.split("body", " ")).alias("word"),
+    items = items.filter("body != ''").withColumn(
+        "phrase", F.when(F.col("quoted") & F.contains("body", F.lit(" ")), F.col("body"))
     )
-    size = F.octet_length("word")
-    return words.filter(
-        (F.char_length("word") >= cfg.min_word_length) & (size < cfg.max_word_length)
-    ).distinct()
+    words = F.split("body", " ")
+    wanted = F.when(
+        F.col("phrase").isNotNull(), F.filter(words, lambda w: is_keyword(w, cfg))
+    ).otherwise(F.filter(words, lambda w: length_gate(w, cfg)))
+    rows = items.select("qid", "sign", "prefix", "phrase", F.explode_outer(wanted).alias("word"))
+    return rows.filter("word IS NOT NULL OR phrase IS NOT NULL").distinct()
 
 
 def query_keywords(terms: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -320,13 +315,18 @@ def match_fulltext(
     phrase_size = terms.filter("phrase is not null").groupBy("qid", "sign", "phrase").agg(
         F.count_distinct("word").alias("words")
     )
+    places = ["qid", "sign", "phrase", "entry_id", "section_id"]
     candidates = (
         rows.filter("phrase is not null")
-        .groupBy("qid", "sign", "phrase", "entry_id", "section_id")
+        .groupBy(*places)
         .agg(F.count_distinct("word").alias("words"))
         .join(phrase_size, ["qid", "sign", "phrase", "words"], "left_semi")
+        .select(*places)
     )
-    candidates = stored(candidates, "candidates")
+    # A phrase without keywords can stand in any text of its query's sections.
+    bare = phrase_size.filter("words = 0").join(resolved.select("qid", "section_id"), "qid")
+    anywhere = index.select("entry_id", "section_id").join(bare, "section_id").select(*places)
+    candidates = stored(candidates.unionByName(anywhere), "candidates")
     spaced = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
     texts = cleaned(index.join(candidates.select("entry_id"), "entry_id", "left_semi"))
     phrase_rows = (
@@ -372,7 +372,8 @@ def fulltext_relevance(
     Corpus numbers come from the whole index. Rounded to six places, so equal texts rank
     equally whatever the order of summation.
     """
-    words = query_keywords(terms.filter("sign != '-'"), dictionary).select("qid", "keyword").distinct()
+    asked = terms.filter("sign != '-' AND word IS NOT NULL")
+    words = query_keywords(asked, dictionary).select("qid", "keyword").distinct()
     totals = keyword_totals(postings) if totals is None else totals
     frequency = totals.groupBy("keyword").agg(F.sum("entries").alias("df"))
     lengths = postings.groupBy("entry_id").agg(F.sum("tf").alias("doc_len"))

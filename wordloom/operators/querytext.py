@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wordloom.config import SearchConfig
 from wordloom.functions import text as tx
@@ -45,11 +46,13 @@ def merge_synonyms(synonyms: DataFrame, edits: DataFrame, deletes: DataFrame) ->
 def apply_synonyms(queries: DataFrame, synonyms: DataFrame) -> DataFrame:
     """Add ``adjusted``: words equal to a synonym replaced, a leading + or - kept.
 
-    Where a term belongs to several replacements the first one in word order is used.
+    Where a term belongs to several replacements the first one in word order is used. Missing
+    keywords count as empty.
     """
     lookup = explode_synonyms(synonyms).groupBy("term").agg(F.min("word").alias("word"))
+    keywords = F.coalesce("keywords", F.lit(""))
     words = queries.select(
-        "qid", F.posexplode(F.split(tx.trimmed(F.col("keywords")), " ")).alias("pos", "raw")
+        "qid", F.posexplode(F.split(tx.trimmed(keywords), " ")).alias("pos", "raw")
     ).select(
         "qid",
         "pos",
@@ -81,7 +84,8 @@ def classify(
     Only included words pass the length test.
     """
     text = F.col(column)
-    found = F.regexp_extract_all(text, F.lit(PHRASE), F.lit(0))
+    # The first match of a phrase stands for all its copies.
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(PHRASE), F.lit(0)))
     df = queries.withColumn("found", found)
 
     def taken_before(match: Column, at: Column) -> Column:
@@ -180,12 +184,16 @@ def expand_boolean(queries: DataFrame, require_all: bool, wildcard: bool) -> Dat
 def resolve_sections(queries: DataFrame, sections: DataFrame, cfg: SearchConfig) -> DataFrame:
     """``(qid, section_id, handle, name, pos)`` of each query's known sections.
 
-    An empty list falls back to the default one; unknown handles drop out.
+    ``sections`` is text with commas or an array of handles. An empty list falls back to the
+    default one; unknown handles drop out.
     """
-    wanted = F.when(
-        F.coalesce(F.col("sections"), F.lit("")) == "", F.lit(cfg.default_sections)
-    ).otherwise(F.col("sections"))
-    handles = queries.select("qid", F.posexplode(F.split(wanted, ",")).alias("pos", "handle"))
+    given = F.col("sections")
+    if not isinstance(queries.schema["sections"].dataType, T.ArrayType):
+        given = F.when(given != "", F.split(given, ","))
+    wanted = F.when(F.size(F.coalesce(given, F.array())) > 0, given).otherwise(
+        F.split(F.lit(cfg.default_sections), ",")
+    )
+    handles = queries.select("qid", F.posexplode(wanted).alias("pos", "handle"))
     return (
         handles.withColumn("handle", tx.trimmed(F.col("handle")))
         .groupBy("qid", "handle")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wordloom.config import SearchConfig
+from wordloom.config import DIRECTIONS, SORTS, SearchConfig
 from wordloom.functions.scoring import recency_divisor, weight_factor
 from wordloom.session import shuffle_width
 
@@ -31,6 +31,21 @@ def query_settings(queries: DataFrame, cfg: SearchConfig) -> DataFrame:
     )
 
 
+def setting_errors(queries: DataFrame) -> DataFrame:
+    """``(qid, error)`` of queries that ask for an unknown sort or direction."""
+    sort, direction = F.lower("sort"), F.lower("direction")
+    error = F.when(~sort.isin(*SORTS), "Invalid search sort").when(
+        ~direction.isin(*DIRECTIONS), "Invalid search direction"
+    )
+    return queries.select("qid", error.alias("error")).filter("error IS NOT NULL")
+
+
+def deepest_rank(settings: DataFrame) -> int:
+    """The last rank that any query of a batch asks for: one number out of its settings."""
+    last = F.greatest(F.lit(0), F.col("page") - 1) * F.col("per_page") + F.col("per_page")
+    return settings.agg(F.max(last).alias("last")).first()["last"] or 0
+
+
 def add_scores(
     hits: DataFrame,
     settings: DataFrame,
@@ -67,11 +82,13 @@ def sort_keys(rank_value: Column) -> list[Column]:
     return [sign * whole, sign * score, F.col("entry_id")]
 
 
-def paginate(scored: DataFrame, rank_value: Column) -> DataFrame:
+def paginate(scored: DataFrame, rank_value: Column, deepest: int) -> DataFrame:
     """The rows of each query's page, with their ``rank`` over all its hits.
 
     Every query is first cut down in as many slots as the cluster shuffles into, so that a
-    query matching a large part of all entries is never sorted in one task.
+    query matching a large part of all entries is never sorted in one task. ``deepest`` is a
+    rank that no page exceeds: hits beyond it are cut before they are shuffled. The last step
+    sees at most slots times ``deepest`` rows of a query.
     """
     first = F.greatest(F.lit(0), (F.col("page") - 1) * F.col("per_page"))
     last = first + F.col("per_page")
@@ -82,6 +99,7 @@ def paginate(scored: DataFrame, rank_value: Column) -> DataFrame:
     return (
         scored.withColumn("slot", F.pmod(F.xxhash64("entry_id"), F.lit(slots)))
         .withColumn("rank", F.row_number().over(by_slot))
+        .filter(F.col("rank") <= deepest)
         .filter(F.col("rank") <= last)
         .withColumn("rank", F.row_number().over(by_query))
         .filter((F.col("rank") > first) & (F.col("rank") <= last))

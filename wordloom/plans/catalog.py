@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordloom.config import SearchConfig
@@ -23,13 +23,15 @@ from wordloom.operators import (
     suggest,
 )
 from wordloom.plans import search as plans
-from wordloom.session import local_table, settled, shared_folder, stored
+from wordloom.session import local_table, shared_folder, stored
 from wordloom.sources import index_store
 from wordloom.sources import logs as log_files
 from wordloom.sources import tables as src
 from wordloom.streaming import index_feed, log_feed
 
 CFG = src.CONFIG
+# For batches of any number of words.
+BATCH = replace(CFG, method="tokens")
 QUERIES: dict = {}
 
 
@@ -66,7 +68,7 @@ def search_tables(spark: SparkSession, sf_dir: str, cfg: SearchConfig = CFG) ->
     return plans.Tables(
         doc_index=index,
         entries=src.load_dates(spark, sf_dir),
-        sections=settled(src.load_sections(spark, sf_dir), "sections"),
+        sections=stored(src.load_sections(spark, sf_dir), "sections"),
         index_config=indexing.config_frame(spark, src.SECTION_CONFIG),
         synonyms=src.load_synonyms(spark),
         postings=postings,
@@ -125,7 +127,8 @@ def log_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     ready, tables = prepared(spark, sf_dir)
     hits = matching.match_terms(tables.doc_index, ready.terms, ready.resolved, CFG, "like")
     totals = ranking.found_rows(hits, ready.settings)
-    return log_files.run_rows(ready.parsed, ready.resolved, totals, as_of(), F.lit("s1"))
+    last = src.load_search_logs(spark, sf_dir).agg(F.max("id").alias("id")).scalar()
+    return log_files.run_rows(ready.parsed, ready.resolved, totals, as_of(), F.lit("s1"), last)
 
 
 @query
@@ -302,10 +305,12 @@ def reindex_sections(spark, sf_dir):
 
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a stream; the table may be one file or a folder of files.
+
+    A pattern, since a stream takes a plain path for a folder only.
+    """
     schema = src.read(spark, sf_dir, "events").schema
-    return (
-        spark.readStream.schema(schema).option("pathGlobFilter", "events*.parquet").parquet(sf_dir)
-    )
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
 
 
 @query
@@ -415,10 +420,10 @@ def match_like_batch(spark, sf_dir):
     """One query per word of the user turns: matched through the vocabulary."""
     tables = search_tables(spark, sf_dir)
     words = src.load_user_words(spark, sf_dir).withColumn("sections", F.lit(""))
-    parsed = settled(querytext.classify(words, CFG, "keywords"), "queries")
-    resolved = settled(querytext.resolve_sections(words, tables.sections, CFG), "query-sections")
+    parsed = stored(querytext.classify(words, CFG, "keywords"), "queries")
+    resolved = stored(querytext.resolve_sections(words, tables.sections, CFG), "query-sections")
     hits = matching.match_terms(
-        tables.doc_index, querytext.query_terms(parsed), resolved, CFG, "like"
+        tables.doc_index, querytext.query_terms(parsed), resolved, BATCH, "like"
     )
     return hits.groupBy("qid").agg(
         F.count(F.lit(1)).alias("hits"), F.sum("occurrences").cast("long").alias("occurrences")
@@ -430,10 +435,10 @@ def match_phrases(spark, sf_dir):
     """Every benchmark passage as a quoted phrase."""
     tables = search_tables(spark, sf_dir)
     phrases = src.load_phrases(spark, sf_dir).withColumn("sections", F.lit(""))
-    parsed = settled(querytext.classify(phrases, CFG, "keywords"), "queries")
-    resolved = settled(querytext.resolve_sections(phrases, tables.sections, CFG), "query-sections")
+    parsed = stored(querytext.classify(phrases, CFG, "keywords"), "queries")
+    resolved = stored(querytext.resolve_sections(phrases, tables.sections, CFG), "query-sections")
     hits = matching.match_terms(
-        tables.doc_index, querytext.query_terms(parsed), resolved, CFG, "like"
+        tables.doc_index, querytext.query_terms(parsed), resolved, BATCH, "like"
     )
     return hits.select("qid", "entry_id")
 
@@ -461,7 +466,7 @@ def match_fulltext(spark, sf_dir):
 @query
 def match_stemmed(spark, sf_dir):
     tables = search_tables(spark, sf_dir, STEMMED)
-    words = src.load_queries(spark).filter("keywords rlike '^[a-z+]'")
+    words = src.load_queries(spark)
     endings = F.explode(F.array(F.lit(""), F.lit("ed"), F.lit("ing"), F.lit("s")))
     queries = (
         words.withColumn("ending", endings)
@@ -510,16 +515,17 @@ def recency_decay(spark, sf_dir):
 
 @query
 def fulltext_relevance(spark, sf_dir):
-    """Every user turn, whole, as free text."""
+    """Every user turn, whole, as free text: its twenty most relevant entries."""
     tables = search_tables(spark, sf_dir, FULLTEXT)
     turns = src.load_user_turns(spark, sf_dir).withColumn("sections", F.lit(""))
     terms = matching.boolean_terms(turns, FULLTEXT, "keywords")
-    resolved = settled(
+    resolved = stored(
         querytext.resolve_sections(turns, tables.sections, FULLTEXT), "query-sections"
     )
-    return matching.fulltext_relevance(tables.postings, tables.dictionary, terms, resolved).select(
-        "qid", "entry_id", "relevance"
-    )
+    scores = matching.fulltext_relevance(tables.postings, tables.dictionary, terms, resolved)
+    order = Window.partitionBy("qid").orderBy(F.desc("relevance"), "entry_id")
+    best = scores.withColumn("rank", F.row_number().over(order)).filter("rank <= 20")
+    return best.select("qid", "rank", "entry_id", "relevance")
 
 
 def page_rows(spark: SparkSession, sf_dir: str, cfg: SearchConfig = CFG) -> DataFrame:
@@ -546,7 +552,7 @@ def sort_modes(spark, sf_dir):
 def paginate(spark, sf_dir):
     """Page two of every query, five hits each."""
     hits = scored(spark, sf_dir).withColumn("page", F.lit(2)).withColumn("per_page", F.lit(5))
-    return ranking.paginate(hits, plans.rank_value()).select("qid", "rank", "entry_id")
+    return ranking.paginate(hits, plans.rank_value(), 10).select("qid", "rank", "entry_id")
 
 
 @query
@@ -570,6 +576,63 @@ def search_fulltext(spark, sf_dir):
     return page_rows(spark, sf_dir, FULLTEXT).drop("keywords_matched")
 
 
+def stored_tables(spark: SparkSession, sf_dir: str) -> plans.Tables:
+    """The tables of a stored index, after one generation of changes."""
+    store = index_store.IndexStore(spark, shared_folder(spark, "index"), CFG)
+    store.build(doc_rows(spark, sf_dir))
+    store.delete_entries(deleted_ids(spark, sf_dir), 1, as_of())
+    return store.tables(
+        sections=stored(src.load_sections(spark, sf_dir), "sections"),
+        index_config=indexing.config_frame(spark, src.SECTION_CONFIG),
+        synonyms=src.load_synonyms(spark),
+        entries=src.load_dates(spark, sf_dir),
+    )
+
+
+@query
+def search_stored(spark, sf_dir):
+    """The inline queries over a stored index from which the toxic entries were deleted."""
+    page = plans.search(src.load_queries(spark), stored_tables(spark, sf_dir), CFG, as_of())
+    return page.select("qid", "rank", "entry_id", "section", F.round("score", 6).alias("score"))
+
+
+@query
+def search_batch(spark, sf_dir):
+    """Every word of the user turns as a query: scored, and its first five hits."""
+    tables = search_tables(spark, sf_dir)
+    words = src.load_user_words(spark, sf_dir).select(
+        "qid",
+        F.col("keywords"),
+        F.lit("").alias("sections"),
+        F.lit("score").alias("sort"),
+        F.lit("desc").alias("direction"),
+        F.lit(1).alias("page"),
+        F.lit(5).alias("per_page"),
+    )
+    page = plans.search(words, replace(tables, synonyms=tables.synonyms.limit(0)), BATCH, as_of())
+    return page.select("qid", "rank", "entry_id", F.round("score", 6).alias("score"))
+
+
+@query
+def search_run(spark, sf_dir):
+    """Pages, totals, alternatives and log rows of the inline queries, from one run."""
+    tables = search_tables(spark, sf_dir)
+    tables = replace(tables, dictionary=dictionary(spark, sf_dir))
+    last = src.load_search_logs(spark, sf_dir).agg(F.max("id").alias("id")).scalar()
+    run = plans.search_run(src.load_queries(spark), tables, CFG, as_of(), F.lit("s1"), last)
+    per_query = run.page.groupBy("qid").agg(F.count("*").alias("shown"), F.min_by("entry_id", "rank").alias("first"))
+    texts = run.excerpts.groupBy("qid").agg(F.count("*").alias("excerpts"))
+    other = run.alternatives.groupBy("qid").agg(F.min_by("alternative", F.struct("distance", "word")).alias("alternative"))
+    logged = run.log.select(F.col("id").alias("log_id"), (F.col("id") - last).alias("qid"))
+    return (
+        run.totals.select("qid", "total")
+        .join(per_query, "qid", "left")
+        .join(texts, "qid", "left")
+        .join(other, "qid", "left")
+        .join(logged, "qid", "left")
+    )
+
+
 @query
 def hydrate_entries(spark, sf_dir):
     page = plans.search(src.load_queries(spark), search_tables(spark, sf_dir), CFG, as_of())
@@ -600,7 +663,7 @@ def excerpt_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = search_tables(spark, sf_dir)
     queries = src.load_queries(spark)
     ready = plans.prepare(queries, tables, CFG)
-    page = ranking.paginate(plans.scored_hits(ready, tables, CFG, as_of()), plans.rank_value())
+    page = plans.ranked_page(ready, plans.scored_hits(ready, tables, CFG, as_of()))
     return plans.page_texts(page, ready, tables, CFG)
 
 
@@ -622,8 +685,12 @@ QUERIES["excerpts"] = QUERIES.pop("excerpt_html")
 
 @query
 def soundalikes(spark, sf_dir):
+    """The ten nearest soundalikes of every benchmark word."""
     words = text_words(src.read(spark, sf_dir, "benchmark"), "text")
-    return suggest.soundalikes(words, dictionary(spark, sf_dir))
+    alike = suggest.soundalikes(words, dictionary(spark, sf_dir))
+    order = Window.partitionBy("word").orderBy("distance", "alternative")
+    nearest = alike.withColumn("rank", F.row_number().over(order)).filter("rank <= 10")
+    return nearest.select("word", "rank", "alternative", "distance")
 
 
 @query

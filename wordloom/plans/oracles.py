@@ -138,8 +138,7 @@ USER_WORDS = """user_words AS (SELECT DISTINCT w AS word FROM
   (SELECT unnest(string_split_regex(lower(keywords), '\\s+')) AS w FROM turns) WHERE w <> '')"""
 TURN_WORDS = f"""turn_words AS (SELECT DISTINCT w AS word FROM
   (SELECT unnest(string_split({clean('keywords')}, ' ')) AS w FROM turns) WHERE {keyword('w')})"""
-PART_SYN = """part_syn AS (SELECT p_brand AS word,
-  array_to_string(list_sort(list(DISTINCT p_name)), ' , ') AS synonyms FROM part GROUP BY p_brand)"""
+PART_SYN = "part_syn AS (SELECT DISTINCT p_brand AS word, p_name AS synonyms FROM part)"
 
 # Queries
 
@@ -164,7 +163,8 @@ def adjusted(source: str) -> str:
 CLASSES = f"""
 fm AS (SELECT qid, unnest(f) AS m, generate_subscripts(f, 1) AS i FROM
   (SELECT qid, regexp_extract_all(adjusted, '-?"[^"]+"') AS f FROM adj)),
-phrases AS (SELECT qid, i, regexp_replace(m, '^-?"|"$', '', 'g') AS word, m[1] = '-' AS neg, m FROM fm),
+phrases AS (SELECT qid, min(i) AS i, regexp_replace(m, '^-?"|"$', '', 'g') AS word, m[1] = '-' AS neg, m FROM fm
+  GROUP BY qid, m),
 exclude_phrase AS (SELECT qid, i, word FROM phrases p WHERE neg AND NOT EXISTS
   (SELECT 1 FROM fm e WHERE e.qid = p.qid AND e.i < p.i AND e.m = substr(p.m, 2))),
 rest AS (SELECT qid, trim(lower(regexp_replace(regexp_replace(adjusted, '-?"[^"]+"', '', 'g'), ' +', ' ', 'g')), {WS}) AS r
@@ -247,13 +247,15 @@ def boolean_terms(source: str, text: str) -> str:
 bterms AS (SELECT DISTINCT qid, sign, prefix, CASE WHEN quoted THEN body END AS phrase, word FROM
   (SELECT *, unnest(string_split(body, ' ')) AS word FROM items)
   WHERE length(word) >= 3 AND strlen(word) < 30),
+asked AS (SELECT DISTINCT qid, sign, quoted AND contains(body, ' ') AS quoted, body FROM items),
 keyed AS (SELECT b.*, d.keyword FROM bterms b JOIN dict d ON
   (NOT b.prefix AND d.keyword = b.word) OR (b.prefix AND starts_with(d.keyword, b.word)))"""
 
 
-FULL_HITS = """units AS (SELECT DISTINCT qid, sign, phrase IS NOT NULL AS quoted, coalesce(phrase, word) AS item FROM bterms),
+FULL_HITS = """units AS (SELECT qid, sign, quoted, body AS item FROM asked WHERE quoted AND body <> ''
+  UNION SELECT qid, sign, false, word FROM bterms WHERE phrase IS NULL OR NOT contains(phrase, ' ')),
 word_found AS (SELECT DISTINCT k.qid, k.sign, false AS quoted, k.word AS item, p.entry_id FROM keyed k
-  JOIN post p USING (keyword) WHERE k.phrase IS NULL),
+  JOIN post p USING (keyword) WHERE k.phrase IS NULL OR NOT contains(k.phrase, ' ')),
 phrase_found AS (SELECT u.qid, u.sign, true AS quoted, u.item, c.entry_id FROM units u
   JOIN cleaned c ON contains(' ' || c.t || ' ', ' ' || u.item || ' ') WHERE u.quoted),
 found AS (SELECT f.*, i.section_id, i.creation_date FROM
@@ -335,12 +337,14 @@ add("load_entries", ENTRIES, select=f"""SELECT entry_id, section_id, lang, text,
 add("doc_index", *INDEX, select="SELECT entry_id, section_id, data, data_lc FROM idx")
 add(
     "append_log", *SEARCH, LIKE, LOGS,
-    """handles AS (SELECT q.qid, string_agg(DISTINCT r.handle, ',' ORDER BY r.handle) AS sections FROM q
-      JOIN resolved r ON r.qid = q.qid WHERE q.sections <> '' GROUP BY q.qid)""",
+    f"""given AS (SELECT qid, unnest(f) AS h, generate_subscripts(f, 1) AS i FROM (SELECT qid, string_split(
+      CASE WHEN sections = '' THEN '{src.ALL_SECTIONS}' ELSE sections END, ',') AS f FROM q)),
+    firsts AS (SELECT g.qid, trim(g.h, {WS}) AS handle, min(g.i) AS i FROM given g
+      JOIN sections s ON s.handle = trim(g.h, {WS}) GROUP BY ALL),
+    handles AS (SELECT qid, string_agg(handle, ',' ORDER BY i) AS sections FROM firsts GROUP BY qid)""",
     select=f"""SELECT id, {stamp('date')} AS date, keywords, keywords_manipulated, sections, page, results, session_id FROM logs
-UNION ALL SELECT CAST(q.qid AS BIGINT), {stamp(f"TIMESTAMP '{src.AS_OF}'")}, trim(q.keywords), a.adjusted,
-  CASE WHEN q.qid = 19 THEN 'src2,src3' WHEN q.sections <> '' THEN h.sections ELSE '{src.ALL_SECTIONS}' END,
-  q.page, CAST((SELECT count(*) FROM hits WHERE hits.qid = q.qid) AS INTEGER), 's1'
+UNION ALL SELECT (SELECT max(id) FROM logs) + q.qid, {stamp(f"TIMESTAMP '{src.AS_OF}'")}, trim(q.keywords), a.adjusted,
+  h.sections, q.page, CAST((SELECT count(*) FROM hits WHERE hits.qid = q.qid) AS INTEGER), 's1'
   FROM q JOIN adj a ON a.qid = q.qid LEFT JOIN handles h ON h.qid = q.qid
   WHERE EXISTS (SELECT 1 FROM resolved r WHERE r.qid = q.qid)""",
 )
@@ -440,7 +444,7 @@ add(
     "match_stemmed", SECTIONS, *INDEX,
     f"q0(qid, keywords, sections, sort, direction, page, per_page) AS (VALUES {values(src.QUERIES)})",
     """q AS (SELECT CAST(qid AS VARCHAR) || '-' || e AS qid, keywords || e AS keywords, sections FROM q0,
-  (VALUES (''), ('ed'), ('ing'), ('s')) x(e) WHERE regexp_matches(keywords, '^[a-z+]'))""",
+  (VALUES (''), ('ed'), ('ing'), ('s')) x(e))""",
     SYN, LOOKUP, adjusted("q"), CLASSES, resolved(),
     "stem_in AS (SELECT DISTINCT term AS word FROM terms WHERE NOT excluded AND NOT contains(term, ' '))",
     stems("stem_in"),
@@ -457,7 +461,8 @@ add("section_weighting", *SEARCH, LIKE, select=f"""SELECT qid, entry_id, {WEIGHT
 add("recency_decay", ENTRIES, select=f"SELECT entry_id, round(1 / {AGE}, 6) AS decay FROM entries")
 add("fulltext_relevance", SECTIONS, *WORDS, DICT, TURNS, "q AS (SELECT qid, keywords, '' AS sections FROM turns)",
     resolved(), boolean_terms("q", "keywords"), RELEVANCE,
-    select="SELECT qid, entry_id, relevance FROM relevant")
+    select="""SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY relevance DESC, entry_id) AS INTEGER)
+  AS rank, entry_id, relevance FROM relevant QUALIFY rank <= 20""")
 add("sort_modes", *LIKE_PAGE, select="SELECT qid, CAST(rank AS INTEGER) AS rank, entry_id FROM page_rows")
 add("paginate", *SEARCH, LIKE, SETTINGS, ranked(),
     select="SELECT qid, CAST(rank AS INTEGER) AS rank, entry_id FROM ranked WHERE rank BETWEEN 6 AND 10")
@@ -465,6 +470,32 @@ add("found_rows", *SEARCH, LIKE, SETTINGS, select="""SELECT s.qid, count(h.entry
   CAST(ceil(count(h.entry_id) / any_value(s.per_page)) AS BIGINT) AS pages, any_value(s.page) AS page,
   any_value(s.per_page) AS per_page FROM settings s LEFT JOIN hits h ON h.qid = s.qid GROUP BY s.qid""")
 add("search", *LIKE_PAGE, select=PAGE_SELECT)
+LEFT = """idx AS (SELECT i.* FROM idx_all i WHERE entry_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1))"""
+add("search_stored", SECTIONS, ENTRIES, IDX.replace("idx AS", "idx_all AS"), LEFT, Q, SYN, LOOKUP, adjusted("q"),
+    CLASSES, resolved(), LIKE, SETTINGS, ranked(), PAGE,
+    select="SELECT qid, CAST(rank AS INTEGER) AS rank, entry_id, section, round(score, 6) AS score FROM page_rows")
+add("search_batch", *INDEX, TURNS, USER_WORDS, """words AS (SELECT word,
+  CASE WHEN word LIKE '-%' OR word LIKE '+%' THEN substr(word, 2) ELSE word END AS term,
+  word LIKE '-%' AS excluded FROM user_words)""",
+    f"""hits AS (SELECT w.word AS qid, i.entry_id,
+  CASE WHEN excluded THEN 1 ELSE {count_in('i.data_lc', 'w.term')} END * {WEIGHT.replace('section_id', 'i.section_id')} AS score
+  FROM words w JOIN idx i ON contains(i.data_lc, w.term) <> w.excluded
+  WHERE length(term) > 0 AND (excluded OR length(term) BETWEEN 3 AND 29))""",
+    select="""SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY score DESC, entry_id) AS INTEGER) AS rank,
+  entry_id, round(score, 6) AS score FROM hits QUALIFY rank <= 5""")
+add("search_run", *LIKE_PAGE, CLEANED, TOKENS, POSTINGS, DICT,
+    f"""asked_words AS (SELECT DISTINCT qid, word FROM classes WHERE class = 'include_word'
+  AND qid NOT IN (SELECT qid FROM hits)),
+alike AS (SELECT w.qid, w.word, d.keyword AS alternative, levenshtein(d.keyword, w.word) AS distance
+  FROM (SELECT *, {soundex('word')} AS s FROM asked_words) w JOIN dict d ON d.soundex = w.s WHERE d.keyword <> w.word),
+nearest AS (SELECT qid, word, min((distance, alternative)) AS best FROM alike GROUP BY qid, word)""",
+    select="""SELECT q.qid, (SELECT count(*) FROM hits h WHERE h.qid = q.qid) AS total,
+  p.shown, p.first, p.shown AS excerpts,
+  (SELECT arg_min(best[2], (best[1], word)) FROM nearest n WHERE n.qid = q.qid) AS alternative,
+  CASE WHEN EXISTS (SELECT 1 FROM resolved r WHERE r.qid = q.qid)
+    THEN (SELECT max(event_id) FROM events) + q.qid END AS log_id
+  FROM q LEFT JOIN (SELECT qid, count(*) AS shown, arg_min(entry_id, rank) AS first FROM page_rows GROUP BY qid) p
+    ON p.qid = q.qid""")
 add("search_regexp", *SEARCH, WHOLE, SETTINGS, ranked(), PAGE, select=PAGE_SELECT)
 add("search_fulltext", *FULL, RELEVANCE,
     "hits AS (SELECT f.*, r.relevance FROM full_hits f JOIN relevant r ON r.qid = f.qid AND r.entry_id = f.entry_id)",
@@ -537,7 +568,8 @@ BENCH_WORDS = f"""bench_words AS (SELECT DISTINCT w AS word FROM
 ALIKE = f"""alike AS (SELECT w.word, d.keyword AS alternative, CAST(levenshtein(d.keyword, w.word) AS INTEGER) AS distance
   FROM (SELECT word, {soundex('word')} AS s FROM {{words}}) w JOIN dict d ON d.soundex = w.s WHERE d.keyword <> w.word)"""
 add("soundalikes", *WORDS, DICT, BENCH_WORDS, ALIKE.format(words="bench_words"),
-    select="SELECT word, alternative, distance FROM alike")
+    select="""SELECT word, CAST(row_number() OVER (PARTITION BY word ORDER BY distance, alternative) AS INTEGER) AS rank,
+  alternative, distance FROM alike QUALIFY rank <= 10""")
 add("closest_alternative", *WORDS, DICT, TURNS, TURN_WORDS, ALIKE.format(words="turn_words"),
     select="""SELECT word, alternative, distance FROM alike
   QUALIFY row_number() OVER (PARTITION BY word ORDER BY distance, alternative) = 1""")

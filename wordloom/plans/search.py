@@ -13,12 +13,15 @@ from wordloom.operators.excerpts import excerpts, hit_texts
 from wordloom.operators.querytext import (
     apply_synonyms,
     classify,
+    expand_boolean,
     highlight_stems,
     query_terms,
     resolve_sections,
     section_errors,
 )
-from wordloom.session import settled, stored
+from wordloom.operators.suggest import closest_alternative
+from wordloom.session import stored
+from wordloom.sources.logs import run_rows
 
 
 @dataclass(frozen=True)
@@ -50,20 +53,27 @@ class Prepared:
 
 
 def prepare(queries: DataFrame, tables: Tables, cfg: SearchConfig) -> Prepared:
-    parsed = settled(classify(apply_synonyms(queries, tables.synonyms), cfg), "queries")
+    if cfg.mode == "fulltext" and (cfg.append_all_words_required or cfg.append_wildcard):
+        marked = expand_boolean(queries, cfg.append_all_words_required, cfg.append_wildcard)
+        queries = marked.withColumn("keywords", F.col("expanded")).drop("expanded")
+    parsed = stored(classify(apply_synonyms(queries, tables.synonyms), cfg), "queries")
     return Prepared(
         parsed,
         query_terms(parsed),
-        settled(resolve_sections(parsed, tables.sections, cfg), "query-sections"),
+        stored(resolve_sections(parsed, tables.sections, cfg), "query-sections"),
         ranking.query_settings(parsed, cfg),
     )
 
 
 def require_sections(queries: DataFrame, prepared: Prepared) -> None:
-    """Raise where a query has no valid section to search."""
-    bad = [r["qid"] for r in section_errors(queries, prepared.resolved).limit(10).collect()]
-    if bad:
-        raise ValueError(f"Invalid search sections (queries {', '.join(map(str, bad))})")
+    """Raise where a query has no valid section, sort or direction.
+
+    ``section_errors`` and ``ranking.setting_errors`` list the queries.
+    """
+    for errors in (section_errors(queries, prepared.resolved), ranking.setting_errors(queries)):
+        bad = errors.groupBy("error").count().first()
+        if bad:
+            raise ValueError(f"{bad['error']} in {bad['count']} queries")
 
 
 def scored_hits(prepared: Prepared, tables: Tables, cfg: SearchConfig, as_of: Column) -> DataFrame:
@@ -106,10 +116,58 @@ def search(
     prepared = prepare(queries, tables, cfg)
     if strict:
         require_sections(queries, prepared)
-    page = ranking.paginate(scored_hits(prepared, tables, cfg, as_of), rank_value())
+    page = ranked_page(prepared, scored_hits(prepared, tables, cfg, as_of))
     return with_handles(page, tables.sections)
 
 
+def ranked_page(prepared: Prepared, hits: DataFrame) -> DataFrame:
+    """The page of every query; the deepest one asked for bounds all of them."""
+    return ranking.paginate(hits, rank_value(), ranking.deepest_rank(prepared.settings))
+
+
+@dataclass(frozen=True)
+class SearchRun:
+    """All that one run of searches gives, from one pass of matching."""
+
+    page: DataFrame
+    totals: DataFrame
+    excerpts: DataFrame
+    alternatives: DataFrame
+    log: DataFrame
+
+
+def search_run(
+    queries: DataFrame,
+    tables: Tables,
+    cfg: SearchConfig,
+    as_of: Column,
+    session: Column,
+    log_after: Column,
+) -> SearchRun:
+    """Page, totals, excerpts, spelling alternatives and log rows of a batch of searches.
+
+    Hits are found, scored and stored once; everything else reads them. Alternatives are given
+    for the included words of queries without a hit. Log ids follow ``log_after``. Needs
+    ``tables.dictionary``.
+    """
+    prepared = prepare(queries, tables, cfg)
+    hits = stored(scored_hits(prepared, tables, cfg, as_of), "hits")
+    page = stored(ranked_page(prepared, hits), "pages")
+    totals = stored(ranking.found_rows(hits, prepared.settings), "totals")
+    missed = totals.filter("total = 0").select("qid")
+    words = prepared.parsed.join(missed, "qid", "left_semi").select(
+        "qid", F.explode("include_word").alias("word")
+    )
+    near = closest_alternative(words.select("word").distinct(), tables.dictionary)
+    return SearchRun(
+        with_handles(page, tables.sections),
+        totals,
+        page_excerpts(page, prepared, tables, cfg),
+        words.join(near, "word").select("qid", "word", "alternative", "distance"),
+        run_rows(prepared.parsed, prepared.resolved, totals, as_of, session, log_after),
+    )
+
+
 def with_handles(page: DataFrame, sections: DataFrame) -> DataFrame:
     return page.join(sections.select("section_id", F.col("handle").alias("section")), "section_id")
 

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-# Rows of query-side data that may pass through the driver.
-LOCAL_ROWS = 5000
+# How many partitions the caller wants small text tables spread over; unset, they are left as
+# they are read.
+TEXT_PARTITIONS = "spark.wordloom.textPartitions"
 
 # AQE turns measured-small join sides into broadcasts, splits skewed join partitions and
 # merges small ones; runtime filters trim the big side of shuffled joins.
@@ -35,6 +36,7 @@ def local_session(cores: str = "8", partitions: int = 8, **extra) -> SparkSessio
         "spark.driver.host": "127.0.0.1",
         "spark.driver.bindAddress": "127.0.0.1",
         "spark.sql.shuffle.partitions": str(partitions),
+        TEXT_PARTITIONS: str(partitions),
         "spark.ui.showConsoleProgress": "false",
         **extra,
     }
@@ -45,16 +47,31 @@ def local_session(cores: str = "8", partitions: int = 8, **extra) -> SparkSessio
     return spark
 
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below ``spark.checkpoint.dir``, the folder all executors can reach.
+def run_folder(spark: SparkSession) -> str:
+    """The folder of this application's stored tables, below ``spark.checkpoint.dir``.
 
-    Where the setting is absent (tests, single machine) a temporary folder takes its place.
+    All executors must reach it. Where the setting is absent, a local master gets a temporary
+    folder; on a cluster that would be a different disk for every executor, so it is an error.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="wordloom-")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+    return f"{root.rstrip('/')}/wordloom-{spark.sparkContext.applicationId}"
+
+
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder below the run's folder."""
+    return f"{run_folder(spark)}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_run(spark: SparkSession) -> None:
+    """Remove everything that this run has stored; results not yet written read from there."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shuffle_width(spark: SparkSession) -> int:
@@ -80,11 +97,3 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_folder(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def settled(df: DataFrame, purpose: str) -> DataFrame:
-    """Query-side rows computed once: a local table up to ``LOCAL_ROWS``, else stored."""
-    first = df.limit(LOCAL_ROWS + 1).toArrow()
-    if first.num_rows <= LOCAL_ROWS:
-        return df.sparkSession.createDataFrame(first, schema=df.schema)
-    return stored(df, purpose)

@@ -1,24 +1,32 @@
 """The index as stored tables: a base plus append-only generations of changes.
 
-``doc_index`` and ``postings`` are partitioned by generation and section, ``changes`` says
-which generation last touched an entry. A change costs what it writes; nothing stored is
-ever rewritten, and writing a generation twice leaves one copy. ``compact`` folds everything
-into a new base in a new folder.
+Every generation of a table has a folder of its own, by section inside; ``changes`` says which
+generation last touched an entry. A change costs what it writes; writing a generation twice
+leaves one copy. ``compact`` folds everything into a new base in a new folder.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wordloom.config import DOC_INDEX_SCHEMA, POSTINGS_SCHEMA, SearchConfig
-from wordloom.operators.indexing import build_dictionary, build_postings, merge_keywords
+from wordloom.config import DOC_INDEX_SCHEMA, POSTINGS_SCHEMA, SearchConfig, SectionIndex
+from wordloom.operators.indexing import (
+    build_dictionary,
+    build_doc_index,
+    build_postings,
+    build_token_index,
+)
 from wordloom.operators.maintenance import drop_orphans
+from wordloom.plans.search import Tables
 from wordloom.session import stored
 
+CHANGE = ("entry_id", "changed_at", "change_id", "op")
+
 SCHEMAS = {
     "doc_index": DOC_INDEX_SCHEMA + ", gen LONG",
     "postings": POSTINGS_SCHEMA + ", gen LONG",
+    "tokens": "entry_id LONG, section_id INT, token STRING, times INT, gen LONG",
     "keywords": "keyword_id LONG, keyword STRING, soundex STRING, gen LONG",
     "changes": "entry_id LONG, changed_at TIMESTAMP, change_id LONG, op STRING, gen LONG",
 }
@@ -32,58 +40,94 @@ class IndexStore:
         return self.spark.read.schema(SCHEMAS[name]).parquet(f"{self.path}/{name}")
 
     def write(self, name: str, rows: DataFrame, gen: int) -> None:
-        parts = ["gen", "section_id"] if "section_id" in rows.columns else ["gen"]
-        writer = rows.withColumn("gen", F.lit(gen).cast("long"))
-        if len(parts) == 2:
+        """One generation of a table in a folder of its own, written anew as a whole."""
+        writer = rows
+        parts = ["section_id"] if "section_id" in rows.columns else []
+        if parts:
             # Even files per section; AQE splits a section that is much larger than others.
             writer = writer.hint("rebalance", "section_id")
         (
             writer.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
+            .option("partitionOverwriteMode", "static")
             .partitionBy(*parts)
-            .parquet(f"{self.path}/{name}")
+            .parquet(f"{self.path}/{name}/gen={gen}")
         )
 
-    def build(self, doc_index: DataFrame) -> None:
-        """Write the base (generation 0)."""
+    def build(self, doc_index: DataFrame, changes: DataFrame | None = None) -> None:
+        """Write the base (generation 0), with the changes that it already contains."""
         self.write("doc_index", doc_index, 0)
-        base = self.stored("doc_index").filter("gen = 0").drop("gen")
-        self.write("postings", build_postings(base, self.cfg), 0)
-        words = self.stored("postings").filter("gen = 0").select("keyword")
-        self.write("keywords", build_dictionary(words), 0)
-        none = self.spark.createDataFrame([], SCHEMAS["changes"]).drop("gen")
-        none.withColumn("gen", F.lit(0).cast("long")).write.mode("overwrite").parquet(
-            f"{self.path}/changes/gen=0"
-        )
+        self.write_words(0)
+        if changes is None:
+            changes = self.spark.createDataFrame([], SCHEMAS["changes"])
+        self.write("changes", changes.select(*CHANGE), 0)
+
+    def write_words(self, gen: int) -> None:
+        """Postings, token index and dictionary words of a stored generation of texts."""
+        rows = self.stored("doc_index").filter(F.col("gen") == gen).drop("gen")
+        self.write("postings", build_postings(rows, self.cfg), gen)
+        self.write("tokens", build_token_index(rows), gen)
+        words = self.stored("postings").filter(F.col("gen") == gen)
+        self.write("keywords", build_dictionary(words), gen)
 
     def add_generation(self, gen: int, fresh: DataFrame, changes: DataFrame) -> None:
         """Write one batch: index rows of fresh entries, and what changed.
 
         ``changes`` has one ``(entry_id, changed_at, change_id, op)`` row per touched entry.
-        Changes are written last: until then readers still see the state before the batch.
+        Changes are written last: until then readers still see the state before the batch. A
+        batch costs what it holds; words that older generations have too are told apart when
+        the dictionary is read.
         """
         self.write("doc_index", fresh, gen)
-        rows = self.stored("doc_index").filter(F.col("gen") == gen).drop("gen")
-        self.write("postings", build_postings(rows, self.cfg), gen)
-        words = self.stored("postings").filter(F.col("gen") == gen).select("keyword")
-        known = self.stored("keywords").filter(F.col("gen") != gen).drop("gen")
-        unseen = merge_keywords(words, known.limit(0)).join(known, "keyword", "left_anti")
-        self.write("keywords", unseen, gen)
-        self.write("changes", changes.select("entry_id", "changed_at", "change_id", "op"), gen)
+        self.write_words(gen)
+        self.write("changes", changes.select(*CHANGE), gen)
+
+    def delete_entries(self, ids: DataFrame, gen: int, at: Column, change_id: int = 0) -> None:
+        """Store that entries are gone since ``at``."""
+        gone = ids.select("entry_id").distinct().select(
+            "entry_id", at.alias("changed_at"), F.lit(change_id).cast("long").alias("change_id"),
+            F.lit("delete").alias("op"),
+        )
+        none = self.stored("doc_index").drop("gen").limit(0)
+        self.add_generation(gen, none, gone)
+
+    def delete_section(self, section_id: int, gen: int, at: Column, change_id: int = 0) -> None:
+        rows = self.live("doc_index").filter(F.col("section_id") == section_id)
+        self.delete_entries(stored(rows.select("entry_id"), "section-ids"), gen, at, change_id)
+
+    def reindex_sections(
+        self,
+        entries: DataFrame,
+        config: list[SectionIndex],
+        section_ids: list[int],
+        gen: int,
+        at: Column,
+        change_id: int = 0,
+    ) -> None:
+        """Store the chosen sections anew from their entries; entries that left them go."""
+        chosen = [c for c in config if c.section_id in section_ids]
+        fresh = stored(build_doc_index(entries, chosen), "reindexed")
+        old = self.live("doc_index").filter(F.col("section_id").isin(section_ids))
+        gone = old.select("entry_id").join(fresh.select("entry_id"), "entry_id", "left_anti")
+        ops = fresh.select("entry_id", F.lit("edit").alias("op")).unionByName(
+            gone.select("entry_id", F.lit("delete").alias("op"))
+        )
+        changes = ops.select(
+            "entry_id", at.alias("changed_at"), F.lit(change_id).cast("long").alias("change_id"), "op"
+        )
+        self.add_generation(gen, fresh, stored(changes, "reindex-changes"))
+
+    def last_changes(self) -> DataFrame:
+        """The latest change of each entry by ``(changed_at, change_id)``, with its generation."""
+        last = F.max(F.struct("changed_at", "change_id", "gen", "op")).alias("last")
+        return self.stored("changes").groupBy("entry_id").agg(last).select("entry_id", "last.*")
 
     def live(self, name: str) -> DataFrame:
-        """The current rows of ``doc_index`` or ``postings``.
+        """The current rows of ``doc_index``, ``postings`` or ``tokens``.
 
         An entry's rows come from the generation of its latest change by
         ``(changed_at, change_id)``, so a change that arrives late cannot undo a newer one.
         """
-        last = F.max(F.struct("changed_at", "change_id", "gen", "op")).alias("last")
-        winners = (
-            self.stored("changes")
-            .groupBy("entry_id")
-            .agg(last)
-            .select("entry_id", F.col("last.gen").alias("winner"), F.col("last.op").alias("op"))
-        )
+        winners = self.last_changes().select("entry_id", F.col("gen").alias("winner"), "op")
         # Stored, so that a usual number of changes is broadcast and the texts stay in place.
         rows = self.stored(name).join(stored(winners, "winners"), "entry_id", "left")
         untouched = F.col("winner").isNull() & (F.col("gen") == 0)
@@ -96,7 +140,26 @@ class IndexStore:
         return drop_orphans(words, self.live("postings"))
 
     def compact(self, path: str) -> "IndexStore":
-        """Fold base and generations into a new base below ``path``."""
+        """Fold base and generations into a new base below ``path``.
+
+        The latest change of every entry is kept, deletes too, so that an older one that arrives
+        afterwards still loses.
+        """
         target = IndexStore(self.spark, path, self.cfg)
-        target.build(self.live("doc_index"))
+        target.build(self.live("doc_index"), self.last_changes())
         return target
+
+    def tables(
+        self, sections: DataFrame, index_config: DataFrame, synonyms: DataFrame, entries: DataFrame
+    ) -> Tables:
+        """What searches read, from the stored index: nothing is cleaned or counted again."""
+        return Tables(
+            doc_index=self.live("doc_index"),
+            sections=sections,
+            index_config=index_config,
+            synonyms=synonyms,
+            entries=entries,
+            postings=self.live("postings"),
+            dictionary=self.dictionary(),
+            tokens=self.live("tokens"),
+        )

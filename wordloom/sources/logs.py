@@ -19,9 +19,17 @@ CSV_COLUMNS = {
 
 
 def run_rows(
-    adjusted: DataFrame, resolved: DataFrame, totals: DataFrame, as_of: Column, session: Column
+    adjusted: DataFrame,
+    resolved: DataFrame,
+    totals: DataFrame,
+    as_of: Column,
+    session: Column,
+    after: Column,
 ) -> DataFrame:
-    """One log row per executed search; searches without a valid section are not logged."""
+    """One log row per executed search; searches without a valid section are not logged.
+
+    Ids follow ``after``, the last id of the log, by the queries' own (positive) numbers.
+    """
     handles = resolved.groupBy("qid").agg(
         F.sort_array(F.collect_list(F.struct("pos", "handle"))).alias("items")
     )
@@ -30,7 +38,7 @@ def run_rows(
         .join(handles, "qid")
         .join(totals.select("qid", "total", "page"), "qid")
         .select(
-            F.col("qid").cast("long").alias("id"),
+            (after + F.col("qid").cast("long")).alias("id"),
             as_of.cast("timestamp").alias("date"),
             F.trim("keywords").alias("keywords"),
             F.col("adjusted").alias("keywords_manipulated"),

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.config import QUERY_SCHEMA, SearchConfig, SectionIndex
-from wordloom.session import local_table
+from wordloom.session import TEXT_PARTITIONS, local_table
 
 PAGE_SECTION = 100
 PAGE_ID_BASE = 1_000_000_000
@@ -24,14 +24,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of texts in at least as many partitions as there are cores.
+    """A table of texts, as it is read; spread out once where the session asks for it.
 
-    Text work is heavy per row, so a table that comes as a few small files is spread out
-    once; tables of many files are left as they are read.
+    Text work is heavy per row, and a small table in one row group is one task. Only the
+    caller knows that it is small, so the setting is the caller's and off by default.
     """
     texts = read(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return texts if texts.rdd.getNumPartitions() >= cores else texts.repartition(cores)
+    partitions = spark.conf.get(TEXT_PARTITIONS, None)
+    return texts.repartition(int(partitions)) if partitions else texts
 
 
 def section_of(source):
@@ -169,14 +169,9 @@ def load_user_words(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def load_part_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every brand as a replacement word for the names of its parts."""
-    names = F.array_sort(F.collect_set("p_name"))
-    return (
-        read(spark, sf_dir, "part")
-        .groupBy("p_brand")
-        .agg(F.array_join(names, " , ").alias("synonyms"))
-        .select(F.col("p_brand").alias("word"), "synonyms")
-    )
+    """Every brand as a replacement word for the names of its parts: a row for each name."""
+    parts = read(spark, sf_dir, "part")
+    return parts.select(F.col("p_brand").alias("word"), F.col("p_name").alias("synonyms")).distinct()
 
 
 # One weighting level after another over the sections.

@@ -3,33 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wordloom.operators.logs import log_states, merge_states, present_states
 
 
-def stream_log_groups(logs: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+def stream_log_groups(
+    logs: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
     """Append each micro-batch's partial groups, one folder per batch id.
 
     First date and depth merge exactly in any order, so late rows need no state and a
-    repeated batch only rewrites its own folder.
+    repeated batch only rewrites its own folder. ``trigger`` holds the arguments of Spark's
+    trigger; without it the feed takes what there is and ends.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         (
             log_states(batch)
-            .withColumn("batch", F.lit(batch_id))
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("batch")
-            .parquet(path)
+            .option("partitionOverwriteMode", "static")
+            .parquet(f"{path}/batch={batch_id}")
         )
 
     return (
         logs.writeStream.foreachBatch(sink)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
