@@ -23,7 +23,7 @@ HEADLINE = [
     "doc_index", "tokenize_unique", "postings", "keyword_dictionary", "stem_vocabulary",
     "classify_keywords", "match_like", "match_regexp", "match_stemmed", "match_like_batch",
     "match_phrases", "match_fulltext", "fulltext_relevance", "search", "search_regexp",
-    "search_fulltext", "excerpts", "found_rows", "filter_section", "soundalikes",
+    "search_fulltext", "search_stored", "search_run", "search_batch", "excerpts", "found_rows", "filter_section", "soundalikes",
     "closest_alternative", "suggest_topk", "log_groups", "log_stats", "log_page",
     "upsert_entries", "orphan_keywords", "stream_index_changes", "stream_log_groups",
 ]

@@ -1,8 +1,8 @@
 """Excerpts: the passages of a hit around its highlighted words.
 
-Relational throughout: one row per occurrence with the text just around it, running sums to
-stop at the wanted length, and an interval merge. Texts are read once per hit and never
-copied per occurrence.
+Relational throughout: one row per occurrence with the numbers of its place, running sums to
+stop at the wanted length, and an interval merge. What stands around a place is looked at where
+the text is read; only numbers go through the windows, and the text is cut once at the end.
 """
 
 from __future__ import annotations
@@ -46,9 +46,11 @@ def hit_texts(hits: DataFrame, parsed: DataFrame, index: DataFrame) -> DataFrame
 
 
 def occurrences(texts: DataFrame, half: int) -> DataFrame:
-    """``(qid, entry_id, k, n, p, before, behind)``: the n-th place p of the k-th word.
+    """``(qid, entry_id, k, n, p, gap, behind, tail)``: the n-th place p of the k-th word.
 
-    ``before`` and ``behind`` hold the ``half`` characters on either side of the place.
+    Of the ``half`` characters on either side of a place, ``gap`` is where their first blank
+    is, ``behind`` how many there are from the place on, and ``tail`` how far their last blank
+    lies from the end; 0 where there is none.
     """
     word = F.concat(F.lit("(?iu)(?="), tx.literal_pattern(F.col("word")), F.lit(")"))
     around = F.concat(
@@ -57,21 +59,29 @@ def occurrences(texts: DataFrame, half: int) -> DataFrame:
         F.lit(f")(?=(.{{0,{half}}}))"),
     )
     padded = F.concat(F.lit(PAD * half), "text")
+    ends = F.zip_with(
+        F.regexp_extract_all(padded, around, F.lit(1)),
+        F.regexp_extract_all(padded, around, F.lit(2)),
+        lambda before, behind: F.struct(
+            F.locate(" ", F.concat(before, behind)).alias("gap"),
+            F.char_length(behind).alias("behind"),
+            F.locate(" ", F.reverse(behind)).alias("tail"),
+        ),
+    )
     per_word = texts.select(*HIT, "text", F.posexplode("words").alias("k", "word")).select(
         *HIT,
         "k",
         F.transform(F.split("text", word), F.char_length).alias("size"),
-        F.regexp_extract_all(padded, around, F.lit(1)).alias("before"),
-        F.regexp_extract_all(padded, around, F.lit(2)).alias("behind"),
+        ends.alias("ends"),
     )
     upto = Window.partitionBy(*HIT, "k").orderBy("n").rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     return (
-        per_word.select(*HIT, "k", F.posexplode(F.arrays_zip("size", "before", "behind")).alias("n", "o"))
-        .select(*HIT, "k", "n", "o.*")
+        per_word.select(*HIT, "k", F.posexplode(F.arrays_zip("size", "ends")).alias("n", "o"))
+        .select(*HIT, "k", "n", "o.size", "o.ends.*")
         .withColumn("p", F.sum("size").over(upto))
-        .filter(F.col("before").isNotNull())
+        .filter(F.col("gap").isNotNull())
         .drop("size")
     )
 
@@ -83,15 +93,13 @@ def excerpt_ranges(texts: DataFrame, length: int = 250) -> DataFrame:
     drops out at its first occurrence without a blank to cut at.
     """
     half = length // 2
-    gap = F.locate(" ", F.concat("before", "behind"))
-    tail = F.locate(" ", F.reverse("behind"))
     placed = occurrences(texts, half).select(
         *HIT,
         "k",
         "n",
-        (F.col("p") - half + gap - 1).alias("range_from"),
-        (F.col("p") + F.char_length("behind") - tail).alias("range_to"),
-        (tail > 0).alias("usable"),
+        (F.col("p") - half + F.col("gap") - 1).alias("range_from"),
+        (F.col("p") + F.col("behind") - F.col("tail")).alias("range_to"),
+        (F.col("tail") > 0).alias("usable"),
     )
     so_far = Window.partitionBy(*HIT, "k").orderBy("n").rowsBetween(
         Window.unboundedPreceding, Window.currentRow

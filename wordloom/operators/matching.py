@@ -28,10 +28,13 @@ from wordloom.session import stored
 ENTRY = ["entry_id", "section_id"]
 
 
-def join_entries(index: DataFrame, entries: DataFrame) -> DataFrame:
-    """Index text with the section and creation date of its entry."""
-    text = index.select("entry_id", "data", "data_lc")
-    return text.join(entries.select("entry_id", "section_id", "creation_date"), "entry_id")
+def join_entries(index: DataFrame, dates: DataFrame) -> DataFrame:
+    """Index text and section with the creation date of its entry.
+
+    Where the dates are many this moves the texts by entry id; searches join dates to hits.
+    """
+    text = index.select("entry_id", "section_id", "data", "data_lc")
+    return text.join(dates.select("entry_id", "creation_date"), "entry_id")
 
 
 def in_sections(index: DataFrame, resolved: DataFrame) -> DataFrame:
@@ -366,11 +369,12 @@ def fulltext_relevance(
     terms: DataFrame,
     resolved: DataFrame,
     totals: DataFrame | None = None,
+    hits: DataFrame | None = None,
 ) -> DataFrame:
     """BM25 of each (query, entry) over the query's words that are not forbidden.
 
-    Corpus numbers come from the whole index. Rounded to six places, so equal texts rank
-    equally whatever the order of summation.
+    Corpus numbers come from the whole index. With ``hits`` only those (query, entry) pairs are
+    scored. Rounded to six places, so equal texts rank equally whatever the order of summation.
     """
     asked = terms.filter("sign != '-' AND word IS NOT NULL")
     words = query_keywords(asked, dictionary).select("qid", "keyword").distinct()
@@ -385,8 +389,10 @@ def fulltext_relevance(
         postings.select("entry_id", "section_id", "keyword", "tf")
         .join(words, "keyword")
         .join(resolved.select("qid", "section_id"), ["qid", "section_id"], "left_semi")
-        .join(lengths, "entry_id")
     )
+    if hits is not None:
+        rows = rows.join(hits.select("qid", "entry_id"), ["qid", "entry_id"], "left_semi")
+    rows = rows.join(lengths, "entry_id")
     part = bm25(
         F.col("tf"),
         F.col("doc_len"),

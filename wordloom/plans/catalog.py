@@ -397,9 +397,7 @@ def resolve_sections(spark, sf_dir):
 
 @query
 def index_entry_join(spark, sf_dir):
-    entries = src.load_entries(spark, sf_dir)
-    index = doc_rows(spark, sf_dir).select("entry_id", "data", "data_lc")
-    joined = matching.join_entries(index, entries)
+    joined = matching.join_entries(doc_rows(spark, sf_dir), src.load_dates(spark, sf_dir))
     return joined.select("entry_id", "section_id", stamp("creation_date"), "data")
 
 

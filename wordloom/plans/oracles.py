@@ -1,18 +1,51 @@
 """Independent SQL for the registered queries, over the same parquet tables.
 
 Plain ANSI-style SQL for an embedded analytic database whose regular expressions know no
-look-around; shared steps are written once as common table expressions.
+look-around; shared steps are written once as common table expressions. The fixed values of the
+cleaner and of the stemmer are stated here again, so that a wrong one on either side shows.
 """
 
 from __future__ import annotations
 
-from wordloom.functions import stem as st
-from wordloom.functions import text as tx
 from wordloom.plans.catalog import QUERIES as REGISTERED
 from wordloom.sources import tables as src
 
 ORACLES: dict[str, str] = {}
 
+# Markup, and the character classes of the punctuation cleaner.
+MARKUP = (
+    r"(?s)<!--.*?(?:-->|\z)|<>|"
+    r"<[^\s>\"'](?:[^\"'>]+|\"[^\"]*(?:\"|\z)|'[^']*(?:'|\z))*(?:>|\z)"
+)
+BRACKETS = r"\[\]\(\)"
+BEFORE_SPACE = r":;'_\*%@&?!\[\]\(\)"
+AFTER_SPACE = r"\.,:;'\-_\*@&/\\\?!#\[\]\(\)"
+IN_URLS = r"\.,:;'\-_\*%@&/\\\?!#\[\]\(\)"
+QUOTES = r"'\"\*<>"
+IN_NUMBERS = r"\x{002E}\x{FE52}\x{FF0E}\x{002C}\x{FE50}\x{FF0C}\x{066B}\x{066C}"
+BY_NUMBERS = (
+    r"\x{0023}\x{FE5F}\x{FF03}\x{066A}\x{0025}\x{FE6A}\x{FF05}"
+    r"\x{2030}\x{2031}\x{2032}\x{2033}\x{2034}\x{2057}"
+)
+
+# Letters and suffix steps of the stemmer.
+STEM_VOWEL = "[aeiouy]"
+STEM_CONSONANT = "[bcdfghjklmnpqrstvwxzY]"
+STEM_HAS_VOWEL = "[aeiouy]|^Y"
+SECOND_STEP = {
+    "ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "izer": "ize",
+    "logi": "log", "entli": "ent", "ousli": "ous", "alli": "al", "bli": "ble", "eli": "e",
+    "ization": "ize", "ation": "ate", "ator": "ate", "iveness": "ive", "fulness": "ful",
+    "ousness": "ous", "alism": "al", "biliti": "ble", "aliti": "al", "iviti": "ive",
+}
+THIRD_STEP = {
+    "ical": "ic", "ness": "", "icate": "ic", "iciti": "ic", "ful": "", "ative": "", "alize": "al",
+}
+FOURTH_STEP = (
+    "al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ou",
+    "ism", "ate", "iti", "ous", "ive", "ize",
+)
+
 
 def literal(value) -> str:
     if value is None:
@@ -43,16 +76,13 @@ WS = "(' ' || chr(9) || chr(10) || chr(11) || chr(13))"
 
 
 def no_tags(expr: str) -> str:
-    markup = tx.MARKUP.replace("]++", "]+").replace("]*+", "]*").replace(")*+", ")*")
-    return f"regexp_replace({expr}, {rx(markup)}, '', 'g')"
+    return f"regexp_replace({expr}, {rx(MARKUP)}, '', 'g')"
 
 
 def punct(expr: str) -> str:
     """The seven punctuation passes without look-around (hyphen-free blanks doubled first)."""
-    sq, num, mod = tx.SPECIAL_QUOTES, tx.NUMBER_SEPARATORS, tx.NUMBER_MODIFIERS
-    ub, before, after, every = (
-        tx.URL_BRACKETS, tx.URL_BEFORE_SPACE, tx.URL_AFTER_SPACE, tx.URL_ANY
-    )
+    sq, num, mod = QUOTES, IN_NUMBERS, BY_NUMBERS
+    ub, before, after, every = BRACKETS, BEFORE_SPACE, AFTER_SPACE, IN_URLS
     passes = [
         (r"[\p{Z}\p{Cc}\p{Cf}\p{Pi}\p{Pf}]", " "),
         (rf"[^\P{{Po}}{sq}{num}{every}{mod}]", " "),
@@ -283,10 +313,10 @@ relevant AS (SELECT k.qid, p.entry_id, round(sum(
 
 def stems(source: str) -> str:
     """Common table expressions from ``source`` (word) to ``stems`` (word, stem)."""
-    vowel, cons = st.VOWEL, st.CONSONANT
+    vowel, cons = STEM_VOWEL, STEM_CONSONANT
     m = lambda e: f"len(regexp_extract_all({e}, '{vowel}{cons}'))"
     cut = lambda n: f"left(w, length(w) - {n})"
-    has_vowel = lambda e: f"regexp_matches({e}, '{st.HAS_VOWEL}')"
+    has_vowel = lambda e: f"regexp_matches({e}, '{STEM_HAS_VOWEL}')"
     short = lambda e: f"regexp_matches({e}, '{cons}{vowel}[bcdfghjklmnpqrstvz]$')"
     double = f"(right(w, 1) = substr(w, length(w) - 1, 1) AND regexp_matches(w, '{cons}{cons}$'))"
     steps = [
@@ -301,7 +331,7 @@ def stems(source: str) -> str:
         f"WHEN {m('w')} = 1 AND {short('w')} THEN w || 'e' ELSE w END AS w",
         f"CASE WHEN regexp_matches(w, '[yY]$') AND {has_vowel(cut(1))} THEN {cut(1)} || 'i' ELSE w END AS w",
     ]
-    for rules, least in ((st.STEP_2, 0), (st.STEP_3, 0), (dict.fromkeys(st.STEP_4, ""), 1)):
+    for rules, least in ((SECOND_STEP, 0), (THIRD_STEP, 0), (dict.fromkeys(FOURTH_STEP, ""), 1)):
         pattern = "(" + "|".join(sorted(rules, key=len, reverse=True)) + ")$"
         suffix = f"regexp_extract(w, '{pattern}', 1)"
         if least:

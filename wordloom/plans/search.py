@@ -84,8 +84,9 @@ def scored_hits(prepared: Prepared, tables: Tables, cfg: SearchConfig, as_of: Co
         hits = matching.match_fulltext(
             tables.postings, tables.dictionary, tables.doc_index, terms, prepared.resolved
         )
+        hits = stored(hits, "boolean-hits")
         relevance = matching.fulltext_relevance(
-            tables.postings, tables.dictionary, terms, prepared.resolved
+            tables.postings, tables.dictionary, terms, prepared.resolved, hits=hits
         )
         hits = hits.join(relevance.drop("section_id"), ["qid", "entry_id"]).withColumn(
             "keywords_matched", F.lit(1)
