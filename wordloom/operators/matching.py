@@ -84,6 +84,8 @@ def vocabulary_matches(vocabulary: DataFrame, terms: DataFrame, whole: bool) ->
             .otherwise(F.array("term"))
         ).alias("gram"),
     ).distinct()
+    # Only pieces that some term has; one and two letters play a part for short terms alone.
+    by_gram = by_gram.join(term_grams.select("gram").distinct(), "gram", "left_semi")
     gram_count = by_gram.groupBy("gram").agg(F.count(F.lit(1)).alias("tokens"))
     anchors = (
         term_grams.join(gram_count, "gram")
