@@ -45,7 +45,7 @@ BLOCK = 256
 # Comparisons with one head that a task gets at a time.
 PER_HEAD = 512
 # Shingles that are signed together.
-TOGETHER = 100_000
+TOGETHER = 50_000
 
 
 def signatures(shingles: np.ndarray, sizes: np.ndarray) -> np.ndarray:

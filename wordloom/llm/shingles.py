@@ -12,7 +12,7 @@ from wordloom.llm.common import worker_cache
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Words whose hashes a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 # Sets texts that are one short shingle apart from shingles of full width.
 LONE = 0x9E3779B97F4A7C15
 

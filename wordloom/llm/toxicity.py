@@ -46,7 +46,9 @@ NEGATED, REPORTED, TARGETED = 0.5, 0.7, 1.3
 # Weight of a word of the lists below until labels say more.
 GIVEN = 3.0
 # Words of the worker's symbol memory.
-REMEMBERED = 300_000
+REMEMBERED = 150_000
+# Features that a worker counts before it hands them on.
+COUNTED = 200_000
 
 INSULTS = (
     "idiot", "moron", "stupid", "loser", "scum", "trash", "pathetic", "worthless", "disgusting",
@@ -130,6 +132,7 @@ class Symbols(dict):
     def __init__(self, model: Model):
         super().__init__()
         self.model = model
+        self.shared: dict[tuple, tuple] = {}
 
     def __missing__(self, token: str) -> tuple[int, float, bool]:
         word = EDGES.sub("", token)
@@ -145,6 +148,7 @@ class Symbols(dict):
         elif word in SPEECH:
             symbol = REPORT
         entry = (symbol, weight, bool(CLAUSE_END.search(token)))
+        entry = self.shared.setdefault(entry, entry)
         if len(self) >= REMEMBERED:
             self.clear()
         self[token] = entry
@@ -190,6 +194,18 @@ def features(text: str) -> set[str]:
     return out
 
 
+def counts(side: Counter, toxic: int) -> pa.RecordBatch:
+    numbers, none = list(side.values()), [0] * len(side)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(list(side), pa.string()),
+            pa.array(numbers if toxic else none, pa.int64()),
+            pa.array(none if toxic else numbers, pa.int64()),
+        ],
+        ["feature", "toxic", "clean"],
+    )
+
+
 def counted(sample: DataFrame) -> DataFrame:
     """``feature, toxic, clean``: documents of each kind that hold it."""
 
@@ -198,19 +214,12 @@ def counted(sample: DataFrame) -> DataFrame:
         for part in portions(batches, "text"):
             for text, toxic in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist(), strict=True):
                 sides[toxic].update(features(text))
+            for toxic, side in enumerate(sides):
+                if len(side) >= COUNTED:
+                    yield counts(side, toxic)
+                    side.clear()
         for toxic, side in enumerate(sides):
-            names, numbers = list(side), list(side.values())
-            for first in range(0, len(names), 100_000):
-                n = numbers[first : first + 100_000]
-                none = [0] * len(n)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(names[first : first + 100_000]),
-                        pa.array(n if toxic else none, pa.int64()),
-                        pa.array(none if toxic else n, pa.int64()),
-                    ],
-                    ["feature", "toxic", "clean"],
-                )
+            yield counts(side, toxic)
 
     partial = sample.select("text", "toxic").mapInArrow(run, "feature string, toxic long, clean long")
     return partial.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
