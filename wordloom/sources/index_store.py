@@ -87,8 +87,7 @@ class IndexStore:
             "entry_id", at.alias("changed_at"), F.lit(change_id).cast("long").alias("change_id"),
             F.lit("delete").alias("op"),
         )
-        none = self.stored("doc_index").drop("gen").limit(0)
-        self.add_generation(gen, none, gone)
+        self.write("changes", gone.select(*CHANGE), gen)
 
     def delete_section(self, section_id: int, gen: int, at: Column, change_id: int = 0) -> None:
         rows = self.live("doc_index").filter(F.col("section_id") == section_id)
