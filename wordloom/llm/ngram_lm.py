@@ -61,7 +61,7 @@ def planes(numbers: np.ndarray) -> bytes:
 
 
 def unplanes(data: bytes) -> np.ndarray:
-    low, high = np.frombuffer(data, "<u2").reshape(2, -1).astype(np.int64)
+    low, high = np.frombuffer(data, "<u2").reshape(2, -1).astype(np.int32)
     return low | high << 16
 
 
@@ -126,9 +126,9 @@ class Block:
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Distinct (context, successor) word numbers in order, training counts, and the pair of
         every token. The context before a text is the number after the last word."""
-        before = np.concatenate([[0], self.tokens[:-1]])
+        before = np.concatenate([self.tokens[:1], self.tokens[:-1]])
         before[self.starts] = len(self.words)
-        keys = before * len(self.words) + self.tokens
+        keys = before.astype(np.int64) * len(self.words) + self.tokens
         distinct, pair = np.unique(keys, return_inverse=True)
         counts = np.bincount(pair[self.training], minlength=len(distinct))
         return distinct // len(self.words), distinct % len(self.words), counts, pair
