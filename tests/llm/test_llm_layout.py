@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from wordloom.llm import sharding, url_filter
+from wordloom.llm.queries import QUERIES
 from wordloom.session import shared_folder
 
 
@@ -96,6 +97,29 @@ def test_rewriting_touches_only_blocks_that_lose_rows(spark):
     assert got == want and len(got) < 500
 
 
+def test_every_row_of_an_affected_block_is_written(spark):
+    rows = [(i, "x" * (i % 50)) for i in range(300)] + [(None, "y" * 20)] * 40 + [(7, "twice")] * 2
+    docs = odd.documents(spark, rows, **odd.CLASHES)
+    folder = shared_folder(spark, "test-shards")
+    out = sharding.reshard_and_rewrite(docs, F.lit(5), folder, 3, blocks=4, shares=[1, 2, 1]).collect()
+    bytes_ = check_shards(rows, out, 3)
+    total = sum(bytes_)
+    assert all(abs(b - total * share / 4) <= 100 for b, share in zip(bytes_, [1, 2, 1]))
+    got = [(r.document.doc_id, r.document.text, r.shard, r.slot) for r in spark.read.parquet(folder).collect()]
+    assert sorted(((i, t) for i, t, *_ in got), key=str) == sorted(rows, key=str)
+    places = [(r.doc_id, r.shard, r.slot) for r in out]
+    assert sorted(((i, s, n) for i, _, s, n in got), key=str) == sorted(places, key=str)
+    placed = sharding.reshard(docs.select("doc_id", "text"), F.lit(5), 3, blocks=4).cache()
+    folder = shared_folder(spark, "test-shards")
+    sharding.rewrite_affected(docs.select("doc_id", "text"), placed, folder)
+    assert sorted(((r.doc_id, r.text) for r in spark.read.parquet(folder).collect()), key=str) == sorted(rows, key=str)
+
+
+def test_the_query_writes_its_shards(spark, sf_dir):
+    out = QUERIES["op4_sharding"](spark, sf_dir)
+    assert any("/new-shards-" in name for name in out.inputFiles())
+
+
 # Urls.
 
 URLS = [

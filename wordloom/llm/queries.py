@@ -20,6 +20,7 @@ from wordloom.llm import (
     url_filter,
 )
 from wordloom.llm.common import read
+from wordloom.session import shared_folder
 
 
 def byte_bpe() -> tuple[list[bytes], str]:
@@ -45,10 +46,11 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Shards equal in bytes, from shards that a hash of the source has filled unevenly."""
+    """Shards equal in bytes, from shards that a hash of the source has filled unevenly; the blocks
+    that lose documents are written anew."""
     docs = read(spark, sf_dir, "documents")
     old = F.pmod(F.xxhash64("source"), F.lit(sharding.SHARDS))
-    placed = sharding.reshard(docs, old)
+    placed = sharding.reshard_and_rewrite(docs, old, shared_folder(spark, "new-shards"))
     return placed.select(
         "doc_id",
         "size",

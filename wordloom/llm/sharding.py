@@ -5,13 +5,15 @@ large documents first, and a hash of the id. Sums for each block, a table of bou
 the driver, which solves the flow between the shards that have too much and those that have too
 little, and gives every block its targets. A shard keeps its first blocks, so that cuts fall among
 smaller documents. At the two ends of a transfer a block is cut between documents. Rows are then
-numbered within their new shards.
+numbered within their new shards, and the documents of blocks that lose rows are written anew; the
+files of all other blocks stay.
 """
 
 from __future__ import annotations
 
 import sys
 from collections import defaultdict
+from collections.abc import Sequence
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
@@ -28,9 +30,18 @@ MAGNITUDES = 24
 BLOCKS = 64
 
 
-def capacities(total: int, shards: int) -> list[int]:
-    """Equal shares of the bytes; the first ones take what doesn't divide."""
-    return [total // shards + (i < total % shards) for i in range(shards)]
+def capacities(total: int, shards: int, shares: Sequence[int] | None = None) -> list[int]:
+    """The bytes in proportion to the shares, equal ones unless given; the first shards take what
+    doesn't divide."""
+    shares = [1] * shards if shares is None else list(shares)
+    if len(shares) != shards or min(shares) < 0 or not sum(shares):
+        raise ValueError(f"{shards} shards need as many shares, none below 0 and not all 0")
+    out = [total * share // sum(shares) for share in shares]
+    rest = total - sum(out)
+    for i, share in enumerate(shares):
+        if share and rest:
+            out[i], rest = out[i] + 1, rest - 1
+    return out
 
 
 def cheapest_flow(
@@ -93,9 +104,14 @@ def targets_of_blocks(
 ) -> list[tuple[int, int, list[tuple[int, int]]]]:
     """``(old, block, [(from byte of the block, shard), ...])`` for each ``(old, block, bytes)``.
 
-    A shard keeps its first bytes; what follows goes out in one stretch for each transfer.
+    A shard keeps its first bytes; what follows goes out in one stretch for each transfer. Old
+    shards beyond the targets are emptied.
     """
-    sizes = [0] * len(targets)
+    if min((old for old, _, _ in blocks), default=0) < 0:
+        raise ValueError("old shards are numbered from 0")
+    width = max([len(targets), *(old + 1 for old, _, _ in blocks)])
+    targets = [*targets, *[0] * (width - len(targets))]
+    sizes = [0] * width
     for old, _, size in blocks:
         sizes[old] += size
     moves = transfers(sizes, targets, cost)
@@ -118,85 +134,155 @@ def targets_of_blocks(
     return out
 
 
-def reshard(
-    docs: DataFrame,
-    old: Column,
-    shards: int = SHARDS,
-    blocks: int = BLOCKS,
-    key: str = "doc_id",
-    text: str = "text",
-) -> DataFrame:
-    """``doc_id, size, text_crc32, old_shard, block, shard, slot`` of every document.
-
-    ``old`` gives the shard a document lies in now. New shards are equal in bytes, but for half
-    a document at each cut. Slots run from 0 in each shard, by old shard, block and id. The
-    size is the text's UTF-8 bytes plus 1; null texts count as empty. Rows that repeat get a slot
-    each; null ids come first in their block; other columns play no part; an empty table gives no
-    rows.
-    """
-    spark = docs.sparkSession
+def measured(docs: DataFrame, old: Column, blocks: int, key: str, text: str, *carried: Column) -> DataFrame:
+    """``doc_id, size, text_crc32, old_shard, block`` of every document, and what is carried."""
     data = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary")
     rows = docs.select(
         F.col(f"`{key}`").alias("doc_id"),
         (F.octet_length(data) + 1).cast("long").alias("size"),
         F.crc32(data).alias("text_crc32"),
         F.coalesce(old.cast("int"), F.lit(0)).alias("old_shard"),
+        *carried,
     )
     magnitude = F.greatest(F.lit(0), MAGNITUDES - 1 - F.floor(F.log2("size")))
     way = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(blocks))
-    rows = rows.withColumn("block", (magnitude * blocks + way).cast("int"))
-    rows = stored(rows, "shard-sizes")
+    return rows.withColumn("block", (magnitude * blocks + way).cast("int"))
+
+
+def positioned(rows: DataFrame, plan: DataFrame) -> DataFrame:
+    """The rows with their number in the old block, ``place``, and their new ``shard``.
+
+    Rows that tie are the same in id, size and checksum, so that every run over the same rows
+    places as many of them alike.
+    """
+    inside = Window.partitionBy("old_shard", "block").orderBy("doc_id", "text_crc32", "size")
+    begins = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1))
+    placed = rows.withColumns(
+        {"begin": F.coalesce(begins, F.lit(0)), "place": F.row_number().over(inside)}
+    ).join(F.broadcast(plan), ["old_shard", "block"])
+    # A document goes where its middle byte lies.
+    reached = F.filter("stretches", lambda s: s["from"] * 2 <= F.col("begin") * 2 + F.col("size"))
+    shard = F.element_at(reached, -1)["shard"]
+    return placed.withColumn("shard", shard).drop("begin", "stretches")
+
+
+def placement(
+    docs: DataFrame,
+    old: Column,
+    shards: int,
+    blocks: int,
+    key: str,
+    text: str,
+    shares: Sequence[int] | None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The positioned rows, without texts; the plan of blocks; the first slot of every piece."""
+    rows = stored(measured(docs, old, blocks, key, text), "shard-sizes")
     sums = rows.groupBy("old_shard", "block").agg(F.sum("size").alias("size")).collect()
     sized = [(r["old_shard"], r["block"], r["size"]) for r in sums]
     total = sum(size for _, _, size in sized)
     plan = local_table(
-        spark,
+        docs.sparkSession,
         [
             (o, b, [{"from": at, "shard": shard} for at, shard in here])
-            for o, b, here in targets_of_blocks(sized, capacities(total, shards))
+            for o, b, here in targets_of_blocks(sized, capacities(total, shards, shares))
         ],
         "old_shard int, block int, stretches array<struct<`from`: long, shard: int>>",
     )
-    inside = Window.partitionBy("old_shard", "block").orderBy("doc_id", "text_crc32", "size")
-    begins = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1))
-    placed = rows.withColumn("begin", F.coalesce(begins, F.lit(0)))
-    placed = placed.join(F.broadcast(plan), ["old_shard", "block"])
-    # A document goes where its middle byte lies.
-    reached = F.filter("stretches", lambda s: s["from"] * 2 <= F.col("begin") * 2 + F.col("size"))
-    placed = stored(
-        placed.select(
-            "doc_id", "size", "text_crc32", "old_shard", "block", "begin",
-            F.element_at(reached, -1)["shard"].alias("shard"),
-        ),
-        "shard-places",
+    placed = stored(positioned(rows, plan), "shard-places")
+    pieces = placed.groupBy("shard", "old_shard", "block").agg(
+        F.count("*").alias("n"), F.min("place").alias("lowest")
     )
-    pieces = placed.groupBy("shard", "old_shard", "block").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("shard").orderBy("old_shard", "block")
     earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
-    first = pieces.select(
-        "shard", "old_shard", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("first")
-    )
-    order = Window.partitionBy("shard", "old_shard", "block").orderBy("begin")
-    numbered = placed.withColumn("place", F.row_number().over(order))
-    return numbered.join(F.broadcast(first), ["shard", "old_shard", "block"]).select(
-        "doc_id",
-        "size",
-        "text_crc32",
-        "old_shard",
-        "block",
-        "shard",
-        (F.col("first") + F.col("place") - 1).alias("slot"),
+    before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
+    first = pieces.select("shard", "old_shard", "block", (before - F.col("lowest")).alias("first"))
+    return placed, plan, stored(first, "shard-pieces")
+
+
+def slotted(placed: DataFrame, first: DataFrame, *columns: str) -> DataFrame:
+    """The columns, and the ``slot`` within the new shard."""
+    joined = placed.join(F.broadcast(first), ["shard", "old_shard", "block"])
+    return joined.select(*columns, (F.col("first") + F.col("place")).alias("slot"))
+
+
+PLACE = ("doc_id", "size", "text_crc32", "old_shard", "block", "shard")
+
+
+def reshard(
+    docs: DataFrame,
+    old: Column,
+    shards: int = SHARDS,
+    blocks: int = BLOCKS,
+    key: str = "doc_id",
+    text: str = "text",
+    shares: Sequence[int] | None = None,
+) -> DataFrame:
+    """``doc_id, size, text_crc32, old_shard, block, shard, slot`` of every document.
+
+    ``old`` gives the shard a document lies in now, of any number from 0. New shards hold bytes in
+    proportion to ``shares``, equal ones unless given, but for half a document at each cut. Slots
+    run from 0 in each shard, by old shard, block and id. The size is the text's UTF-8 bytes plus
+    1; null texts count as empty. Rows that repeat get a slot each; null ids come first in their
+    block; other columns play no part; an empty table gives no rows.
+    """
+    placed, _, first = placement(docs, old, shards, blocks, key, text, shares)
+    return slotted(placed, first, *PLACE)
+
+
+def reshard_and_rewrite(
+    docs: DataFrame,
+    old: Column,
+    folder: str,
+    shards: int = SHARDS,
+    blocks: int = BLOCKS,
+    key: str = "doc_id",
+    text: str = "text",
+    shares: Sequence[int] | None = None,
+) -> DataFrame:
+    """What ``reshard`` gives, with the documents of the blocks that lose rows written anew.
+
+    Their rows go to ``folder/shard=N`` as ``document`` (all columns), ``old_shard``, ``block``,
+    ``slot``; their sizes and checksums in the result are those of the written texts. A document
+    takes its columns along to its place, so that null and repeated ids are written once a row.
+    Blocks that lose nothing are neither moved nor written.
+    """
+    placed, plan, first = placement(docs, old, shards, blocks, key, text, shares)
+    losing = first.filter("shard <> old_shard").select("old_shard", "block").distinct()
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("document")
+    moving = measured(docs, old, blocks, key, text, whole)
+    moving = moving.join(F.broadcast(losing), ["old_shard", "block"], "left_semi")
+    written = slotted(positioned(moving, plan), first, "document", "old_shard", "block", "shard")
+    written.write.partitionBy("shard").parquet(folder)
+    found = docs.sparkSession.read.schema(written.schema).parquet(folder)
+    data = F.coalesce(F.col("document")[text].cast("string"), F.lit("")).cast("binary")
+    rewritten = found.select(
+        F.col("document")[key].alias("doc_id"),
+        (F.octet_length(data) + 1).cast("long").alias("size"),
+        F.crc32(data).alias("text_crc32"),
+        *PLACE[3:],
+        "slot",
     )
+    stay = placed.join(F.broadcast(losing), ["old_shard", "block"], "left_anti")
+    return slotted(stay, first, *PLACE).unionByName(rewritten)
 
 
-def rewrite_affected(docs: DataFrame, placed: DataFrame, folder: str, key: str = "doc_id") -> None:
+def rewrite_affected(
+    docs: DataFrame, placed: DataFrame, folder: str, key: str = "doc_id", text: str = "text"
+) -> None:
     """Writes anew, under ``folder/shard=N``, the documents of the blocks that lose rows.
 
-    Files of all other blocks stay as they are. Keys must be unique.
+    For places that were computed before. Files of all other blocks stay as they are. Rows of the
+    same id, size and checksum take the places of such rows in turn, one each.
     """
     moved = placed.filter("shard <> old_shard").select("old_shard", "block").distinct()
-    places = placed.join(F.broadcast(moved), ["old_shard", "block"]).select(
-        F.col("doc_id").alias("__key"), "shard", "slot"
+    same = Window.partitionBy("doc_id", "size", "text_crc32")
+    places = placed.withColumn("turn", F.row_number().over(same.orderBy("shard", "slot")))
+    places = places.join(F.broadcast(moved), ["old_shard", "block"]).select(
+        "doc_id", "size", "text_crc32", "turn", "shard", "slot"
     )
-    rows = docs.join(places, F.col(f"`{key}`") == F.col("__key")).drop("__key")
+    whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("document")
+    rows = measured(docs, F.lit(0), 1, key, text, whole)
+    rows = rows.withColumn("turn", F.row_number().over(same.orderBy(F.lit(0))))
+    equal = [rows[name].eqNullSafe(places[name]) for name in ("doc_id", "size", "text_crc32", "turn")]
+    rows = rows.join(places, equal).select("document.*", "shard", "slot")
     rows.repartition("shard", F.pmod(F.col("slot"), F.lit(16))).write.partitionBy("shard").parquet(folder)
