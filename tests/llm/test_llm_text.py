@@ -213,6 +213,14 @@ def test_clauses():
     assert score("idiot. idiot. idiot.") == (4.0, 1)
 
 
+def test_clauses_of_different_words_of_one_weight_all_count():
+    given = dict.fromkeys(toxicity.INSULTS, toxicity.GIVEN)
+    score = toxicity.clause_scorer(toxicity.Model(words=given))
+    one = toxicity.GIVEN * toxicity.REPORTED * toxicity.TARGETED
+    assert score("he said idiot. she wrote moron.") == (pytest.approx(2 * one), 2)
+    assert score("he said idiot. she wrote idiot!") == (pytest.approx(one), 1)
+
+
 def test_learned_words_and_held_out_accuracy(spark):
     docs = spark.createDataFrame(
         [(i, f"plain words number {i} here" + (" bloopa" + "xyz"[i % 3] if i % 4 == 0 else "")) for i in range(800)],

@@ -127,14 +127,14 @@ class Model:
 
 
 class Symbols(dict):
-    """Token -> (symbol, weight, whether a clause ends after it)."""
+    """Token -> (symbol, weight, whether a clause ends after it, the word if it has a weight)."""
 
     def __init__(self, model: Model):
         super().__init__()
         self.model = model
         self.shared: dict[tuple, tuple] = {}
 
-    def __missing__(self, token: str) -> tuple[int, float, bool]:
+    def __missing__(self, token: str) -> tuple[int, float, bool, str]:
         word = EDGES.sub("", token)
         symbol, weight = OTHER, 0.0
         weights = [self.model.words.get(word, 0.0)]
@@ -147,10 +147,11 @@ class Symbols(dict):
             symbol = NEGATION
         elif word in SPEECH:
             symbol = REPORT
-        entry = (symbol, weight, bool(CLAUSE_END.search(token)))
+        entry = (symbol, weight, bool(CLAUSE_END.search(token)), word if weight else "")
         entry = self.shared.setdefault(entry, entry)
         if len(self) >= REMEMBERED:
             self.clear()
+            self.shared.clear()
         self[token] = entry
         return entry
 
@@ -162,14 +163,14 @@ def clause_scorer(model: Model) -> Callable[[str], tuple[float, int]]:
 
     def score(text: str) -> tuple[float, int]:
         tokens = list(map(symbols.__getitem__, text.lower().replace("\n", " . ").split()))
-        if not any([weight for _, weight, _ in tokens]):
+        if not any([weight for _, weight, _, _ in tokens]):
             return 0.0, 0
         matched: dict[tuple, float] = {}
         state, clause, targets, words = 0, 0.0, False, []
-        for symbol, weight, ends in [*tokens, (STOP, 0.0, True)]:
+        for symbol, weight, ends, word in [*tokens, (STOP, 0.0, True, "")]:
             if weight:
                 clause += weight * factor[state][symbol]
-                words.append(weight)
+                words.append(word)
             elif symbol == TARGET:
                 # A target after the words that it suffers raises them as one before does.
                 targets = targets or clause > 0
