@@ -232,6 +232,25 @@ def test_learned_words_and_held_out_accuracy(spark):
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in out)
 
 
+def test_every_significant_word_is_learned(spark):
+    # 600 insults in 40 toxic texts each, by a pattern of their own.
+    name = lambda k: "".join(chr(97 + k // 26**i % 26) for i in range(3))
+    held = [[] for _ in range(400)]
+    for k in range(600):
+        for j in range(40):
+            held[(k * 7 + j * 10 + k // 400) % 400].append(f"{name(k)}oxlong")
+    rows = [(" ".join(words), 1) for words in held] + [(f"plain words of row {i}", 0) for i in range(1200)]
+    model = toxicity.learn_lexicon(spark.createDataFrame(rows, "text string, toxic int"))
+    assert all(model.words.get(f"{name(k)}oxlong") for k in range(600))
+    assert not any(f"{name(k)}ox" in model.beginnings for k in range(600))
+
+
+def test_beginnings_with_the_counts_of_a_longer_entry_go(spark):
+    rows = [("bloo", 9, 0), ("bloop", 9, 0), ("bloopa$", 9, 0), ("bloops$", 8, 0), ("tram", 7, 1), ("tramp", 7, 0)]
+    left = toxicity.without_short_twins(spark.createDataFrame(rows, "feature string, toxic long, clean long"))
+    assert sorted(r.feature for r in left.collect()) == ["bloopa$", "bloops$", "tram", "tramp"]
+
+
 def test_toxicity_of_odd_texts(spark):
     rows = [*odd.TEXTS, (3, "word"), (None, "you idiot, you pathetic moron")]
     docs = odd.documents(spark, rows, **odd.CLASHES)

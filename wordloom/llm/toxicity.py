@@ -34,8 +34,6 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 FOLDS = 5
 # Labelled rows that the model is fitted to, at most; taken by a hash of the id.
 SAMPLE = 20_000
-# Entries of the learned lexicon, at most.
-LEARNED = 500
 # Times the gain that chance alone reaches once among all that is counted.
 CAUTION = 1.5
 # Lengths of the beginnings of words that are counted, beside whole words.
@@ -226,9 +224,21 @@ def counted(sample: DataFrame) -> DataFrame:
     return partial.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
+def without_short_twins(entries: DataFrame) -> DataFrame:
+    """``feature, toxic, clean`` without beginnings that say no more than a longer entry, and so
+    would only reach too far: those with its counts."""
+    shorter = F.filter(
+        F.array(*[F.substring("feature", 1, n) for n in BEGINNINGS]),
+        lambda beginning: F.length(beginning) < F.length("feature"),
+    )
+    same = ["feature", "toxic", "clean"]
+    covered = entries.select(F.explode(F.array_distinct(shorter)).alias("feature"), "toxic", "clean")
+    return entries.join(covered.distinct(), same, "left_anti")
+
+
 def learn_lexicon(sample: DataFrame) -> Model:
     """Words and beginnings whose share of toxic documents chance explains less than once among
-    all that were counted; weighed by their log odds. The words of the lists are always in."""
+    all that were counted, however many; weighed by their log odds. The words of the lists are always in."""
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     given = {word: GIVEN for word in (*INSULTS, *THREATS)}
@@ -243,18 +253,7 @@ def learn_lexicon(sample: DataFrame) -> Model:
     least = CAUTION * math.log(max(table.count(), 2))
     listed = F.col("feature").isin([word + "$" for word in given])
     strong = table.filter((p > (p + n) * rate) & (gain >= least))
-    best = strong.orderBy(gain.desc(), F.length("feature").desc(), "feature").limit(LEARNED)
-    chosen: list = []
-    for row in best.collect():
-        # A beginning that says no more than a longer entry would only reach too far.
-        same = [
-            other
-            for other in chosen
-            if other["feature"].startswith(row["feature"])
-            and (other["toxic"], other["clean"]) == (row["toxic"], row["clean"])
-        ]
-        if not same:
-            chosen.append(row)
+    chosen = without_short_twins(stored(strong.select("feature", p, n), "toxic-entries")).collect()
     model = Model(words=given)
     for row in chosen + table.filter(listed & (p + n >= 5)).collect():
         odds = (row["toxic"] + 0.5) / (toxic + 1) / ((row["clean"] + 0.5) / (clean + 1))
