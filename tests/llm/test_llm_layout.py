@@ -226,3 +226,21 @@ def test_links_decide_where_no_rule_does(spark):
     }
     out = {r.page_id: r.verdict for r in url_filter.judge(pages(spark, rows, html)).collect()}
     assert out == {1: "allow", 2: "block", 3: "allow", 4: "block"}
+
+
+def test_distrust_goes_back_over_long_ways(spark):
+    rows = [(i, f"http://h{i}.org/") for i in range(14)] + [(14, "http://bad.net/es/")]
+    html = {i: f'<a href="http://h{i + 1}.org/">next</a>' for i in range(13)}
+    html[13] = '<a href="http://bad.net/es/1">bad</a>'
+    out = {r.page_id: r.verdict for r in url_filter.judge(pages(spark, rows, html)).collect()}
+    assert out == dict.fromkeys(range(15), "block")
+
+
+def test_ranks_have_converged(spark):
+    seeds = spark.createDataFrame([("a", 1.0, 0.0), ("z", 0.0, 1.0)], "host string, trusted double, blocked double")
+    edges = [("a", "b", 1.0), ("b", "a", 1.0), ("b", "z", 1e-3)]
+    edges = spark.createDataFrame(edges, "source string, target string, weight double")
+    rows = {r.host: r for r in url_filter.propagate(seeds, edges).collect()}
+    d, share = url_filter.DAMPING, 1 / 1.001
+    assert rows["a"].trust == pytest.approx((1 - d) / (1 - d * d * share), abs=1e-9)
+    assert rows["b"].distrust == pytest.approx(d * (1 - d) / (1 - d * d), abs=1e-9)

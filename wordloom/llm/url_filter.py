@@ -2,12 +2,14 @@
 
 Trust starts at hosts with pages that a rule allows and follows links forward; distrust starts at
 hosts with pages that a rule blocks and follows links backward, to hosts that link there. Both are
-personalised PageRanks over weighted host edges, with built-in functions only. A host is blocked
-where its distrust outweighs its trust.
+personalised PageRanks over weighted host edges, with built-in functions only, iterated until they
+have converged. A host is blocked where its distrust outweighs its trust.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,9 +28,15 @@ RULES = (
     ("net", "/fr/", "block"),
 )
 DAMPING = 0.85
-ROUNDS = 10
-# Rounds between two written tables, so that a lost executor never repeats all of them.
+# Rounds between two written tables, so that a lost executor never repeats all of them; after each
+# of these tables the ranks are compared with the table before.
 ROUNDS_STORED = 5
+# The ranks have converged when both together have changed by less from table to table, summed over
+# all hosts; what is still to come is less than that. Scores are given to as many places.
+TOLERANCE = 1e-9
+# Rounds that bring the change below the tolerance on any graph. No limit: ways that are longer are
+# followed to their ends.
+ROUNDS = math.ceil(math.log(TOLERANCE / 4) / math.log(DAMPING))
 # A host without a rule is blocked when its distrust exceeds so many times its trust.
 THRESHOLD = 1.0
 # Ways in which the pages of one host are spread in a join.
@@ -127,13 +135,27 @@ def shares(edges: DataFrame, start: str, end: str) -> DataFrame:
     )
 
 
+def moved(ranks: DataFrame, before: DataFrame) -> tuple[float, int]:
+    """The summed change of both ranks, and how many hosts trust or distrust has newly reached."""
+    signed = ranks.withColumn("sign", F.lit(1)).unionByName(before.withColumn("sign", F.lit(-1)))
+    reached = (F.col("trust") > 0).cast("int") + (F.col("distrust") > 0).cast("int")
+    changes = signed.groupBy("host").agg(
+        F.abs(F.sum(F.col("trust") * F.col("sign"))).alias("trust"),
+        F.abs(F.sum(F.col("distrust") * F.col("sign"))).alias("distrust"),
+        F.sum(reached * F.col("sign")).alias("reached"),
+    )
+    row = changes.agg(F.sum(F.col("trust") + F.col("distrust")), F.sum("reached")).first()
+    return row[0] or 0.0, row[1] or 0
+
+
 def propagate(
-    seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS
+    seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE
 ) -> DataFrame:
     """``host, trust, distrust`` from ``host, trusted, blocked`` (seed weights) and host edges.
 
     Each round a host keeps its part of the seeds and hands the rest on along its edges, trust
     forward, distrust backward. What a host without edges would hand on is lost, for both alike.
+    Rounds go on until the ranks change by less than the tolerance and reach no further host.
     Hosts that nothing reaches are not in the result.
     """
     sums = seeds.agg(F.sum("trusted").alias("t"), F.sum("blocked").alias("b"))
@@ -149,25 +171,28 @@ def propagate(
     forward = shares(edges, "source", "target").withColumn("kind", F.lit("trust"))
     backward = shares(edges, "target", "source").withColumn("kind", F.lit("distrust"))
     steps = stored(forward.unionByName(backward), "host-edges")
+    kept = own.select(
+        "host",
+        (F.col("trust") * (1 - damping) / damping).alias("trust"),
+        (F.col("distrust") * (1 - damping) / damping).alias("distrust"),
+    )
     ranks = own
-    for number in range(1, rounds + 1):
-        handed = steps.join(ranks.withColumnRenamed("host", "here"), "here").select(
-            F.col("there").alias("host"),
-            F.when(F.col("kind") == "trust", F.col("trust") * F.col("share")).alias("trust"),
-            F.when(F.col("kind") == "distrust", F.col("distrust") * F.col("share")).alias("distrust"),
-        )
-        kept = own.select(
-            "host",
-            (F.col("trust") * (1 - damping) / damping).alias("trust"),
-            (F.col("distrust") * (1 - damping) / damping).alias("distrust"),
-        )
-        ranks = kept.unionByName(handed).groupBy("host").agg(
-            F.coalesce(F.sum("trust") * damping, F.lit(0.0)).alias("trust"),
-            F.coalesce(F.sum("distrust") * damping, F.lit(0.0)).alias("distrust"),
-        )
-        if number % ROUNDS_STORED == 0 or number == rounds:
-            ranks = stored(ranks, "host-ranks")
-    return ranks
+    while True:
+        before = ranks
+        for _ in range(ROUNDS_STORED):
+            handed = steps.join(ranks.withColumnRenamed("host", "here"), "here").select(
+                F.col("there").alias("host"),
+                F.when(F.col("kind") == "trust", F.col("trust") * F.col("share")).alias("trust"),
+                F.when(F.col("kind") == "distrust", F.col("distrust") * F.col("share")).alias("distrust"),
+            )
+            ranks = kept.unionByName(handed).groupBy("host").agg(
+                F.coalesce(F.sum("trust") * damping, F.lit(0.0)).alias("trust"),
+                F.coalesce(F.sum("distrust") * damping, F.lit(0.0)).alias("distrust"),
+            )
+        ranks = stored(ranks, "host-ranks")
+        change, reached = moved(ranks, before)
+        if change < tolerance and reached <= 0:
+            return ranks
 
 
 def judge(
