@@ -1,6 +1,7 @@
 import hashlib
 import math
 import os
+import random
 import zlib
 from collections import Counter
 
@@ -36,6 +37,32 @@ def test_likeness():
     assert fingerprints.likeness(of(text), of(text[::-1])) < 0.2
 
 
+def test_likeness_of_shifted_near_copies():
+    of = lambda t: fingerprints.Prefixes(fingerprints.code_points(t)).fingerprint()
+    numbers = random.Random(1)
+    text = "".join(numbers.choice("abcdefghij klmnop") for _ in range(100_000))
+    other = "".join(numbers.choice("abcdefghij klmnop") for _ in range(100_000))
+    assert fingerprints.likeness(of(text), of("#" + text)) > 0.99
+    assert fingerprints.likeness(of(text), of(text[:50] + text[51:])) > 0.99
+    assert fingerprints.likeness(of(text), of(text[50_000:] + text[:50_000])) > 0.98
+    changed = "".join("#" + text[i + 1 : i + 4096] for i in range(0, len(text), 4096))
+    assert fingerprints.likeness(of(text), of(changed)) > 0.85
+    assert fingerprints.likeness(of(text), of(other)) < 0.01
+    for n in (100, 300, 1020, 2040, 4000):
+        assert fingerprints.likeness(of(text[:n]), of("#" + text[:n])) > 0.7
+        assert fingerprints.likeness(of(text[:n]), of(text[: n // 2] + "#" + text[n // 2 + 1 : n])) > 0.7
+    assert 0.45 < fingerprints.likeness(of(text), of(text[25_000:75_000])) <= 0.5
+
+
+@given(st.text(max_size=600))
+def test_cells_cover_the_text(text):
+    sizes = fingerprints.cell_sizes(len(text))
+    found = fingerprints.Prefixes(fingerprints.code_points(text)).bounds
+    for size, bounds in zip(sizes, found, strict=True):
+        lengths = [b - a for a, b in zip(bounds, bounds[1:])]
+        assert sum(lengths) == len(text) and all(0 < n <= size for n in lengths)
+
+
 @pytest.mark.parametrize("rows", [odd.TEXTS, odd.TEXTS[:1], [(i, f"text {i} " * i) for i in range(60)]])
 def test_compare_with_next(spark, rows):
     out = {r.doc_id: r for r in fingerprints.compare_with_next(odd.documents(spark, rows, **odd.CLASHES)).collect()}

@@ -2,8 +2,9 @@
 
 ``prefix[i]`` is the sum of ``c[j] * base**j`` over the first i code points, modulo a prime. Any
 two spans compare in constant time through their prefixes, and the longest common extension of two
-positions is found by binary search. A fingerprint keeps the length, the prefixes on a coarse grid
-and the hash of the whole text, so that spans can still be compared without the text.
+positions is found by binary search. A fingerprint keeps the length, the hash of the whole text and
+the hashes of cells, short spans that cover the text: they are counted anew from every place that
+the text around it marks, so that equal spans have equal cells wherever they stand.
 """
 
 from __future__ import annotations
@@ -27,11 +28,23 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 # Two primes below 2**31 with a base for each: products fit 64 bits, sums of 2**32 terms too.
 MODULI = (2_147_483_647, 2_147_483_629)
 BASES = (1_000_003_571, 998_244_757)
-# A fingerprint has at most this many grid cells, and more than half as many for long texts.
+# The inverses of the bases: they bring a span's hash to the start of its text.
+INVERSES = tuple(pow(base, -1, modulus) for base, modulus in zip(BASES, MODULI))
+# Code points of a cell, at most, from fine to coarse. A fingerprint starts with the first that cuts
+# the text into about ``CELLS``, or with the last, and has all coarser ones too: those of short
+# texts stay small, those of long texts grow with them, and any two have the last in common.
+CELL_SIZES = (4, 8, 16, 32, 64)
 CELLS = 32
+# A mark stands where the hash of so many code points, or of a cell's where that is less, is above
+# all others within twice the cell.
+WINDOW = 16
+MIXER = np.uint64(0x9E3779B97F4A7C15)
 # Ranges of ids that a task holds on average; each range is read in order.
 RANGES_PER_TASK = 3
 
+# A cell in a fingerprint, as ten hexadecimal digits.
+CELL_KIND = np.dtype([("hash", ">u4"), ("length", "u1")])
+
 SCHEMA = (
     "doc_id long, n_chars long, edited_sha256 string, fingerprint string, "
     "edited_fingerprint string, near_edited double, near_next double, "
@@ -39,26 +52,74 @@ SCHEMA = (
 )
 
 
-def powers(n: int, which: int) -> np.ndarray:
+def powers(n: int, which: int, bases: tuple[int, ...] = BASES) -> np.ndarray:
     """``base**0 .. base**(n-1)``; kept by the worker process and doubled when needed."""
     cache = worker_cache("fingerprint-powers")
-    known = cache.get(which)
+    known = cache.get(bases[which])
     if known is None:
         known = np.ones(1, np.uint64)
     modulus = np.uint64(MODULI[which])
     while len(known) < n:
-        step = np.uint64(pow(BASES[which], len(known), MODULI[which]))
+        step = np.uint64(pow(bases[which], len(known), MODULI[which]))
         known = np.concatenate([known, known * step % modulus])
     if len(known) <= 1 << 21:
-        cache[which] = known
+        cache[bases[which]] = known
     return known[:n]
 
 
+def marks(points: np.ndarray, window: int, reach: int) -> np.ndarray:
+    """Places that the text marks itself, more than the reach apart, rising.
+
+    A mark depends on the code points within reach and window of it only. Where a text repeats
+    itself within the reach, no place stands out and there is none.
+    """
+    n = len(points) - window + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    # Hashes of windows by doubling; sums overflow, which is the modulus.
+    hashes, width, factor = (points + np.uint64(1)) * MIXER, 1, int(MIXER)
+    hashes ^= hashes >> np.uint64(29)
+    while width < window:
+        hashes = hashes[:-width] * np.uint64(factor) + hashes[width:]
+        width, factor = 2 * width, factor * factor % (1 << 64)
+    hashes ^= hashes >> np.uint64(32)
+    hashes *= MIXER
+    padded = np.zeros(n + 2 * reach, np.uint64)
+    padded[reach : reach + n] = hashes
+    # most[i] is the maximum of the next hashes, as many as the reach, from padded[i] on.
+    most, width = padded, 1
+    while width < reach:
+        most = np.maximum(most[:-width], most[width:])
+        width *= 2
+    above = (hashes > most[:n]) & (hashes > most[reach + 1 : reach + 1 + n])
+    return np.flatnonzero(above)
+
+
+def cell_bounds(points: np.ndarray, cell: int) -> np.ndarray:
+    """Where cells begin, and the end: every ``cell`` places from the start and from each mark."""
+    n = len(points)
+    if not n:
+        return np.zeros(1, np.int64)
+    starts = np.unique(np.append(marks(points, min(WINDOW, cell), 2 * cell), 0))
+    cells = -(-np.diff(np.append(starts, n)) // cell)
+    first = np.repeat(np.cumsum(cells) - cells, cells)
+    begins = np.repeat(starts, cells) + (np.arange(int(cells.sum())) - first) * cell
+    return np.append(begins, n)
+
+
+def cell_sizes(n: int) -> tuple[int, ...]:
+    """The sizes of cells in the fingerprint of a text of n code points."""
+    finest = next((i for i, cell in enumerate(CELL_SIZES) if n <= CELLS * cell), -1)
+    return CELL_SIZES[finest:]
+
+
 class Prefixes:
     """Prefix hashes of a text under both moduli."""
 
     def __init__(self, points: np.ndarray):
         self.n = len(points)
+        self.bounds = [cell_bounds(points, cell) for cell in cell_sizes(self.n)]
+        self.made: str | None = None
         self.sums = []
         for which, modulus in enumerate(MODULI):
             terms = (points + np.uint64(1)) * powers(self.n, which) % np.uint64(modulus)
@@ -88,43 +149,42 @@ class Prefixes:
                 high = middle - 1
         return low
 
-    def step(self) -> int:
-        """The grid: the least power of two that leaves at most ``CELLS`` cells."""
-        step = 1
-        while self.n > CELLS * step:
-            step *= 2
-        return step
+    def cells(self, bounds: np.ndarray) -> str:
+        """The spans' hashes under the first modulus, brought to the start, and their lengths."""
+        modulus, sums = np.uint64(MODULI[0]), self.sums[0][bounds]
+        hashes = (sums[1:] + modulus - sums[:-1]) % modulus
+        cells = np.zeros(len(hashes), CELL_KIND)
+        cells["hash"] = hashes * powers(self.n, 0, INVERSES)[bounds[:-1]] % modulus
+        cells["length"] = np.diff(bounds)
+        return cells.tobytes().hex()
 
     def fingerprint(self) -> str:
-        grid = self.sums[0][self.step() : self.n + 1 : self.step()]
-        whole = "".join(f"{int(s[-1]):08x}" for s in self.sums)
-        return f"{self.n:x}-{whole}-" + "".join(f"{int(h):08x}" for h in grid)
+        if self.made is None:
+            whole = "".join(f"{int(s[-1]):08x}" for s in self.sums)
+            self.made = "-".join([f"{self.n:x}", whole, *map(self.cells, self.bounds)])
+        return self.made
 
 
-def parsed(fingerprint: str) -> tuple[int, str, int, np.ndarray]:
-    """Length, whole hash, grid step and grid prefixes, from 0 on."""
-    length, whole, grid = fingerprint.split("-")
-    n, step = int(length, 16), 1
-    while n > CELLS * step:
-        step *= 2
-    values = [int(grid[i : i + 8], 16) for i in range(0, len(grid), 8)]
-    return n, whole, step, np.array([0, *values], np.int64)
+def counted_cells(cells: str) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct cells, hash and length in one number, and how often each is there."""
+    found = np.frombuffer(bytes.fromhex(cells), CELL_KIND)
+    return np.unique(found["hash"].astype(np.int64) * 256 + found["length"], return_counts=True)
 
 
 def likeness(left: str, right: str) -> float:
-    """Share of the longer text that lies in equal cells of the common grid; equal texts give 1.
+    """Share of the longer text that lies in cells of both, wherever they stand; equal texts give 1.
 
-    Cells are spans at the same place of both texts, compared by differences of prefixes.
+    Cells are of the finest size that both have; one counts as often as both texts have it.
     """
-    (n, whole, step, grid), (m, other, other_step, other_grid) = parsed(left), parsed(right)
+    (n, whole, *sizes), (m, other, *other_sizes) = left.split("-"), right.split("-")
     if (n, whole) == (m, other):
         return 1.0
-    wide = max(step, other_step)
-    a, b = grid[:: wide // step], other_grid[:: wide // other_step]
-    cells = min(len(a), len(b))
-    a, b = np.diff(a[:cells]) % MODULI[0], np.diff(b[:cells]) % MODULI[0]
-    same = int((a == b).sum()) * wide
-    return min(1.0, same / max(n, m, 1))
+    common = min(len(sizes), len(other_sizes))
+    cells, counts = counted_cells(sizes[-common])
+    other_cells, other_counts = counted_cells(other_sizes[-common])
+    both, i, j = np.intersect1d(cells, other_cells, assume_unique=True, return_indices=True)
+    same = int((np.minimum(counts[i], other_counts[j]) * (both % 256)).sum())
+    return min(1.0, same / max(int(n, 16), int(m, 16), 1))
 
 
 def code_points(text: str) -> np.ndarray:
