@@ -244,3 +244,12 @@ def test_ranks_have_converged(spark):
     d, share = url_filter.DAMPING, 1 / 1.001
     assert rows["a"].trust == pytest.approx((1 - d) / (1 - d * d * share), abs=1e-9)
     assert rows["b"].distrust == pytest.approx(d * (1 - d) / (1 - d * d), abs=1e-9)
+
+
+def test_links_without_a_scheme_and_far_parents(spark):
+    html = {1: '<a href="//Bad.net/es/">b</a><img src=//cdn.org/x><a href="/local//x.org">l</a>'}
+    edges = url_filter.link_edges(pages(spark, [(1, "http://spam.org/")], html)).collect()
+    assert {(r.source, r.target) for r in edges} == {("spam.org", "bad.net"), ("spam.org", "cdn.org")}
+    deep = "a." * 70 + "bad.net"
+    edges = url_filter.family_edges(spark.createDataFrame([(deep,), ("bad.net",)], "host string")).collect()
+    assert {(r.source, r.target) for r in edges} == {(deep, "bad.net"), ("bad.net", deep)}

@@ -17,7 +17,7 @@ from wordloom.llm.common import stored
 from wordloom.session import local_table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?[a-z][a-z0-9+.-]*://([^/?#"'\s>]+)"""
+LINK = r"""(?i)\b(?:href|src)\s*=\s*["']?(?:[a-z][a-z0-9+.-]*:)?//([^/?#"'\s>]+)"""
 
 # host, path, verdict.
 RULES = (
@@ -104,7 +104,8 @@ def ruled(pages: DataFrame, rules: DataFrame) -> DataFrame:
 def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """``source, target, weight``: number of pages' links between different hosts.
 
-    Links count by the address they name; those without a host stay on their own and don't count.
+    Links count by the address they name, with or without a scheme before ``//``; those without a
+    host stay on their own and don't count.
     """
     linked = pages.select(
         host_of(F.col(f"`{url}`")).alias("source"),
@@ -118,8 +119,9 @@ def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 def family_edges(hosts: DataFrame) -> DataFrame:
     """Edges both ways between a host and the closest domain above it that is a host as well."""
     named = hosts.filter("host <> ''").select("host")
+    domains = suffixes(F.col("host"))
     above = named.select(
-        F.col("host").alias("source"), F.posexplode(F.slice(suffixes(F.col("host")), 2, 64)).alias("far", "target")
+        F.col("host").alias("source"), F.posexplode(F.slice(domains, 2, F.size(domains))).alias("far", "target")
     )
     known = above.join(named.withColumnRenamed("host", "target"), "target", "left_semi")
     nearest = known.groupBy("source").agg(F.min_by("target", "far").alias("target"))
