@@ -11,6 +11,7 @@ from wordloom.llm import (
     bpe,
     exact_dedup,
     fingerprints,
+    hard_negatives,
     license_scan,
     minhash_dedup,
     ngram_lm,
@@ -95,6 +96,16 @@ def op10_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score(read(spark, sf_dir, "documents"))
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every 7th row takes the next label first; components in steps of 1/256."""
+    rows = read(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vector = hard_negatives.quantised(F.col("embedding"), 256)
+    return hard_negatives.hard_negatives(
+        rows.select("vec_id", moved.alias("label"), vector.alias("vector"))
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_license_scan": op2_license_scan,
@@ -106,10 +117,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_ngram_lm": op10_ngram_lm,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLES: dict[str, str] = {
     "op2_license_scan": license_scan.SCAN_SQL,
     "op3_exact_dedup": exact_dedup.DECISIONS_SQL,
     "op9_minhash_dedup": minhash_dedup.NEAR_SQL,
+    "op13_hard_negatives": hard_negatives.HARD_NEGATIVES_SQL,
 }
