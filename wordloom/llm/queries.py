@@ -16,7 +16,9 @@ from wordloom.llm import (
     minhash_dedup,
     ngram_lm,
     packing,
+    secrets,
     sharding,
+    spelling,
     toxicity,
     url_filter,
 )
@@ -96,6 +98,14 @@ def op10_ngram_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score(read(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(read(spark, sf_dir, "documents"))
+
+
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.secrets(read(spark, sf_dir, "documents")))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every 7th row takes the next label first; components in steps of 1/256."""
     rows = read(spark, sf_dir, "embeddings")
@@ -117,6 +127,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_fingerprints": op8_fingerprints,
     "op9_minhash_dedup": op9_minhash_dedup,
     "op10_ngram_lm": op10_ngram_lm,
+    "op11_spelling": op11_spelling,
+    "op12_secrets": op12_secrets,
     "op13_hard_negatives": op13_hard_negatives,
 }
 
@@ -124,5 +136,6 @@ ORACLES: dict[str, str] = {
     "op2_license_scan": license_scan.SCAN_SQL,
     "op3_exact_dedup": exact_dedup.DECISIONS_SQL,
     "op9_minhash_dedup": minhash_dedup.NEAR_SQL,
+    "op11_spelling": spelling.VARIANTS_SQL,
     "op13_hard_negatives": hard_negatives.HARD_NEGATIVES_SQL,
 }
