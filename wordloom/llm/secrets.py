@@ -57,7 +57,7 @@ OUT, BEGIN, INSIDE = 0, 1, 2
 NEVER = -1e4
 
 SPANS = "doc_id long, spans array<struct<kind:string,start:long,stop:long>>"
-EXAMPLES = "kind string, at long, features array<array<string>>, begins array<boolean>, tags array<int>"
+EXAMPLES = "kind string, at long, features string, begins array<boolean>, tags array<int>"
 
 
 def base_spans(text: str, chunks: list[tuple[int, int]] | None = None) -> list[tuple[str, int, int]]:
@@ -222,7 +222,7 @@ def planted(text: str, seed: int) -> tuple[str, tuple[int, int]]:
 def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Chunks of the sampled texts with features and tags."""
     schema = pa.schema(
-        [("kind", pa.string()), ("at", pa.int64()), ("features", pa.list_(pa.list_(pa.string()))),
+        [("kind", pa.string()), ("at", pa.int64()), ("features", pa.string()),
          ("begins", pa.list_(pa.bool_())), ("tags", pa.list_(pa.int32()))]
     )
 
@@ -234,7 +234,8 @@ def examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             return {
                 "kind": kind,
                 "at": zlib.crc32(b"%d:%d" % (key, order)),
-                "features": features[some],
+                # Names hold no blank but spaces.
+                "features": "\n".join("\t".join(f) for f in features[some]),
                 "begins": begins[some],
                 "tags": [OUT if t == BEGIN and not b else t for t, b in zip(tags, begins[some])],
             }
@@ -418,6 +419,8 @@ def learned(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample: int = SAMPL
     for kind in ("secret", "other", "planted", "harmless"):
         some = found.filter(F.col("kind") == kind).orderBy("at", "features").limit(sample)
         chosen += [r.asDict() for r in some.collect()]
+    for r in chosen:
+        r["features"] = [line.split("\t") for line in r["features"].split("\n")]
     return fit(chosen)
 
 
