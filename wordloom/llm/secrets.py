@@ -54,7 +54,8 @@ SAMPLE_DOCS, SAMPLE = 20_000, 4_000
 # Tokens of a training example, steps of the ascent and weight of the penalty.
 LONGEST, STEPS, PENALTY = 16, 80, 1e-4
 OUT, BEGIN, INSIDE = 0, 1, 2
-NEVER = -1e4
+# What is ruled out, and what stands for it where likelihoods of short chains are summed.
+NEVER, RARE = float("-inf"), -1e4
 
 SPANS = "doc_id long, spans array<struct<kind:string,start:long,stop:long>>"
 EXAMPLES = "kind string, at long, features string, begins array<boolean>, tags array<int>"
@@ -322,7 +323,7 @@ class Fit:
                 ids += known
                 self.tags[i, j] = r["tags"][j]
                 if not r["begins"][j]:
-                    self.bar[i, j, BEGIN] = NEVER
+                    self.bar[i, j, BEGIN] = RARE
         self.cells, self.ids = np.array(cells, int), np.array(ids, int)
         self.live = self.tags >= 0
 
@@ -334,9 +335,9 @@ class Fit:
             here[:, t] = np.bincount(self.cells, weights[self.ids, t], n * longest)
         here = here.reshape(n, longest, 3) + self.bar
         fixed = steps.copy()
-        fixed[OUT, INSIDE] = NEVER
+        fixed[OUT, INSIDE] = RARE
         total = lambda x, axis: np.logaddexp.reduce(x, axis=axis)
-        forward = np.full((n, longest + 1, 3), NEVER)
+        forward = np.full((n, longest + 1, 3), RARE)
         forward[:, 0, OUT] = 0.0
         for j in range(longest):
             step = total(forward[:, j, :, None] + fixed[None], 1) + here[:, j]
