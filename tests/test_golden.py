@@ -1,6 +1,7 @@
 """Hand-written edge rows."""
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,8 +19,9 @@ from wordloom.operators import (
     querytext,
     ranking,
     suggest,
+    topk,
 )
-from wordloom.session import local_table
+from wordloom.session import local_table, stored
 
 CFG = SearchConfig()
 
@@ -162,6 +164,35 @@ def test_synonyms(spark, typed, adjusted):
     assert querytext.apply_synonyms(queries, synonyms).first()["adjusted"] == adjusted
 
 
+@pytest.mark.parametrize(
+    "typed, adjusted",
+    [
+        ("visit Great Britain now", "visit United Kingdom now"),
+        ("+great britain -new york city", "+United Kingdom -NYC"),
+        ("great -britain", "great -britain"),
+        ("new york city hall", "NYC hall"),
+        ("new york cit", "Big Apple cit"),
+        ("york new york", "york Big Apple"),
+        ("a b c d", "ABC d"),
+        ("a b x c d", "AB x CD"),
+        ("b c a b c", "BC ABC"),
+        ("uk", "United Kingdom"),
+        ("", ""),
+    ],
+)
+def test_synonyms_of_several_words(spark, typed, adjusted):
+    synonyms = local_table(
+        spark,
+        [
+            ("United Kingdom", "uk, great  britain"), ("NYC", "new york city"), ("Big Apple", "new york"),
+            ("AB", "a b"), ("BC", "b c"), ("CD", "c d"), ("ABC", "a b c"),
+        ],
+        "word STRING, synonyms STRING",
+    )
+    queries = local_table(spark, [(1, typed)], "qid INT, keywords STRING")
+    assert querytext.apply_synonyms(queries, synonyms, phrases=True).first()["adjusted"] == adjusted
+
+
 def test_classify(spark):
     queries = local_table(
         spark,
@@ -199,6 +230,35 @@ def test_alternatives(spark):
     assert [(r["word"], r["alternative"], r["distance"]) for r in rows] == [("foo", "fo", 1)]
 
 
+@pytest.mark.parametrize(
+    "word, code",
+    [
+        ("foo", "F000"), ("food", "F300"), ("symphony", "S515"), ("relational", "R4354"), ("Pfister", "P236"),
+        ("ashcraft", "A2613"), ("tymczak", "T520"), ("élève", "é410"), ("x", "X000"), ("12ab", "A100"),
+        ("123", ""), ("", ""), ("internationalisation", "I5365354235"),
+    ],
+)
+def test_long_soundex(spark, word, code):
+    rows = local_table(spark, [(word,)], "word STRING")
+    assert rows.select(tx.long_soundex(F.col("word")).alias("c")).first()["c"] == code
+
+
+def test_rings_give_the_nearest_soundalike(spark):
+    draw = random.Random(4)
+    stem = ["foo", "mantra", "relational", "bob"]
+    known = {"".join(c + draw.choice(["", "a", "e", "oo", "eeee"]) for c in draw.choice(stem)) for _ in range(300)}
+    dictionary = stored(indexing.with_ids(local_table(spark, [(w,) for w in sorted(known)], "keyword STRING")), "d")
+    words = local_table(spark, [(w,) for w in [*sorted(known)[::3], "foo", "zzz", "mantraaaaaaaaaa"]], "word STRING")
+    for code in suggest.CODES:
+        every = suggest.soundalikes(words, dictionary, code).collect()
+        want = {}
+        for r in every:
+            want[r["word"]] = min(want.get(r["word"], (99, "")), (r["distance"], r["alternative"]))
+        got = suggest.nearest_by_rings(words, dictionary, code).collect()
+        assert {r["word"]: (r["distance"], r["alternative"]) for r in got} == want
+        assert sum(r["compared"] for r in got) < len(every)
+
+
 def test_suggestions(spark):
     dictionary = local_table(spark, [("the",), ("then",), ("those",), ("中文字",), ("éa",)], "keyword STRING")
     typed = local_table(spark, [(1, "th"), (2, " The "), (3, "中"), (4, "éa"), (5, "")], "qid INT, keywords STRING")
@@ -350,7 +410,9 @@ def test_full_text_phrases_of_any_words(spark, typed, entries):
     postings = indexing.build_postings(index, CFG)
     terms = matching.boolean_terms(local_table(spark, [(1, typed)], "qid INT, adjusted STRING"), CFG)
     resolved = local_table(spark, [(1, 1)], "qid INT, section_id INT")
-    hits = matching.match_fulltext(postings, indexing.build_dictionary(postings), index, terms, resolved)
+    hits = matching.match_fulltext(
+        postings, indexing.build_dictionary(postings), indexing.build_positions(index), terms, resolved
+    )
     assert sorted(r["entry_id"] for r in hits.collect()) == entries
 
 
@@ -373,3 +435,58 @@ def test_log_ids_follow_the_log(spark):
     totals = local_table(spark, [(1, 5, 1), (2, 0, 1)], "qid INT, total LONG, page INT")
     out = run_rows(adjusted, resolved, totals, F.current_timestamp(), F.lit("s"), F.lit(1000))
     assert sorted(r["id"] for r in out.collect()) == [1001, 1002]
+
+
+def test_positions_find_phrases_without_a_text(spark):
+    texts = [(1, "The cat, the cat sat; on the mat."), (2, "cat the on"), (3, "a b a b a c"), (4, "")]
+    index = local_table(spark, [(i, 1, t) for i, t in texts], "entry_id LONG, section_id INT, data STRING")
+    positions = stored(indexing.build_positions(index), "positions")
+    rows = {(r["entry_id"], r["token"]): r["places"] for r in positions.collect()}
+    assert rows[1, "the"] == [0, 2, 6] and rows[3, "a"] == [0, 2, 4] and (4, "") not in rows
+    phrases = ["the cat", "cat the cat", "the cat the", "the on", "a b a c", "b b", "a c a", "none here", "the the"]
+    asked = local_table(spark, [(p,) for p in phrases], "phrase STRING")
+    hits = matching.phrase_hits(positions, asked)
+    assert sorted((r["phrase"], r["entry_id"]) for r in hits.collect()) == [
+        ("a b a c", 3), ("cat the cat", 1), ("the cat", 1), ("the cat the", 1), ("the on", 2),
+    ]
+    assert "data#" not in hits._jdf.queryExecution().optimizedPlan().toString()
+
+
+def ranking_tables(spark, seed):
+    draw = random.Random(seed)
+    rows = []
+    for entry in range(600):
+        words = {"stop": draw.randrange(1, 4), f"mid{draw.randrange(6)}": 1}
+        if draw.random() < 0.05:
+            words[f"rare{draw.randrange(4)}"] = draw.randrange(1, 6)
+        rows += [(entry, entry % 3, w, n, n) for w, n in words.items()]
+    schema = "entry_id LONG, section_id INT, keyword STRING, frequency INT, tf INT"
+    postings = stored(local_table(spark, rows, schema), "postings")
+    asked = ["stop", "stop rare1", "stop mid2 rare0 rare3", "mid1 mid2", "rare2", "nothing", "stop mid0 -rare1"]
+    queries = [(q, text) for q, text in enumerate(asked)]
+    terms = matching.boolean_terms(local_table(spark, queries, "qid INT, adjusted STRING"), CFG)
+    scope = [(q, s) for q in range(len(asked)) for s in range(3) if q != 4 or s == 1]
+    return postings, indexing.build_dictionary(postings), terms, local_table(spark, scope, "qid INT, section_id INT")
+
+
+@pytest.mark.parametrize("k", [1, 5, 10_000])
+def test_bounded_top_equals_the_whole_ranking(spark, k):
+    tables = ranking_tables(spark, 2)
+    every = {}
+    for r in matching.fulltext_relevance(*tables).collect():
+        every.setdefault(r["qid"], []).append((-r["relevance"], r["entry_id"]))
+    want = {(q, i + 1, e, -v) for q, rows in every.items() for i, (v, e) in enumerate(sorted(rows)[:k])}
+    impacts = topk.build_impacts(tables[0], k)
+    got = topk.fulltext_top(impacts, *tables[1:], k).collect()
+    assert {(r["qid"], r["rank"], r["entry_id"], r["relevance"]) for r in got} == want and len(got) == len(want)
+
+
+def test_common_words_beside_rare_ones_are_not_looked_through(spark):
+    postings, dictionary, terms, resolved = ranking_tables(spark, 2)
+    impacts = topk.build_impacts(postings, 3)
+    words = matching.query_keywords(terms.filter("sign <> '-'"), dictionary).select("qid", "keyword").distinct()
+    bounded = topk.bounded_words(impacts, words, resolved, 3)
+    left_out = {(r["qid"], r["keyword"]) for r in bounded.filter("need > bound").collect()}
+    assert {(1, "stop"), (2, "stop")} <= left_out and (0, "stop") not in left_out
+    met = topk.candidates(impacts, stored(bounded, "bounded"), resolved, 3).groupBy("qid").count()
+    assert {r["qid"]: r["count"] for r in met.collect()}[1] < 60

@@ -57,6 +57,8 @@ class SearchConfig:
     append_wildcard: bool = False
     # Whether a word's stem also counts as a match (off: only the word itself).
     match_stems: bool = False
+    # Whether synonyms of several words are looked for too.
+    synonym_phrases: bool = False
     # How words are found: "scan" tests every one on every text, for batches of few words;
     # "tokens" goes through the vocabulary and a token index, for any number.
     method: str = "scan"

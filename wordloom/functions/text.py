@@ -133,6 +133,26 @@ def has_whole_word(text: Column, word: Column) -> Column:
     return F.rlike(text, pattern)
 
 
+# The Soundex digit of the letters A to Z.
+SOUND_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+SOUND_DIGITS = "01230120022455012623010202"
+
+
+def long_soundex(word: Column) -> Column:
+    """Soundex without a limit of length: vowels go first, repeated digits second.
+
+    Letters beyond A-Z count as vowels and stand as they are in first place; a word without
+    letters has an empty code. Codes are filled with zeros to four characters.
+    """
+    letters = F.regexp_replace(word, r"[^A-Za-z\x{C0}-\x{10FFFF}]", "")
+    upper = F.translate(letters, SOUND_LETTERS.lower(), SOUND_LETTERS)
+    digits = F.regexp_replace(F.translate(upper, SOUND_LETTERS, SOUND_DIGITS), "[^0-9]", "0")
+    spoken = F.concat(F.left(digits, F.lit(1)), F.replace(F.substr(digits, F.lit(2)), F.lit("0"), F.lit("")))
+    single = F.regexp_replace(spoken, r"([0-9])\1+", "$1")
+    code = F.concat(F.left(upper, F.lit(1)), F.substr(single, F.lit(2)))
+    return F.when(letters == "", "").otherwise(F.rpad(code, F.greatest(F.lit(4), F.char_length(code)), F.lit("0")))
+
+
 def slug(col: Column) -> Column:
     dashed = F.regexp_replace(F.lower(col), "[^a-z0-9]+", "-")
     return F.regexp_replace(dashed, "^-|-$", "")

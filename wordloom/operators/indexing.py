@@ -154,11 +154,15 @@ def build_postings(doc_index: DataFrame, cfg: SearchConfig) -> DataFrame:
 
 
 def with_ids(keywords: DataFrame) -> DataFrame:
-    """Dictionary columns: a stable id and the Soundex code used by did-you-mean."""
+    """Dictionary columns: a stable id, and the two codes did-you-mean can go by.
+
+    ``sound`` is the Soundex code of full length, ``soundex`` the one of four characters.
+    """
     return keywords.select(
         F.xxhash64("keyword").alias("keyword_id"),
         "keyword",
         F.soundex("keyword").alias("soundex"),
+        tx.long_soundex(F.col("keyword")).alias("sound"),
     )
 
 
@@ -209,3 +213,32 @@ def build_token_index(doc_index: DataFrame) -> DataFrame:
         lambda p, i: F.struct(p["token"].alias("token"), (following(i) - p["at"]).alias("times")),
     )
     return rows.select("entry_id", "section_id", F.inline(counted))
+
+
+def build_positions(doc_index: DataFrame) -> DataFrame:
+    """``(entry_id, section_id, token, places)``: where each token stands in the cleaned text.
+
+    Every token has its row, keyword or not, so that phrases of any words can be found. Gathered
+    inside each row, on its sorted tokens, so nothing is shuffled.
+    """
+    words = F.transform(F.split("text", " "), lambda w, i: F.struct(w.alias("token"), i.alias("at")))
+    words = F.array_sort(F.filter(words, lambda w: w["token"] != ""))
+    # An exploded array of one is computed once, whatever reads it.
+    rows = cleaned(doc_index).select("entry_id", "section_id", F.explode(F.array(words)).alias("words"))
+    numbers = F.sequence(F.lit(0), F.size("words") - 1)
+    starts = F.filter(
+        numbers,
+        lambda i: (i == 0) | (F.get("words", i)["token"] != F.get("words", F.greatest(i - 1, F.lit(0)))["token"]),
+    )
+    rows = rows.filter(F.size("words") > 0).select(
+        "entry_id", "section_id", "words", F.explode(F.array(starts)).alias("starts")
+    )
+    end = lambda i: F.coalesce(F.get("starts", i + 1), F.size("words"))
+    lists = F.transform(
+        "starts",
+        lambda s, i: F.struct(
+            F.get("words", s)["token"].alias("token"),
+            F.transform(F.slice("words", s + 1, end(i) - s), lambda w: w["at"]).alias("places"),
+        ),
+    )
+    return rows.select("entry_id", "section_id", F.inline(lists))

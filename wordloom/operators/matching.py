@@ -18,7 +18,6 @@ from wordloom.functions.scoring import bm25
 from wordloom.functions.stem import stem_vocabulary
 from wordloom.operators.indexing import (
     build_token_index,
-    cleaned,
     is_keyword,
     keyword_totals,
     length_gate,
@@ -298,49 +297,76 @@ def query_keywords(terms: DataFrame, dictionary: DataFrame) -> DataFrame:
     return exact.unionByName(wild)
 
 
+# Ways in which the postings of one keyword are spread.
+SALTS = 8
+
+
+def with_postings(postings: DataFrame, words: DataFrame) -> DataFrame:
+    """Postings of the words' keywords; those of a common one come from several tasks."""
+    every = F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALTS)])).alias("salt")
+    salt = F.pmod(F.xxhash64("entry_id"), F.lit(SALTS)).alias("salt")
+    return postings.select("*", salt).join(words.select("*", every), ["keyword", "salt"]).drop("salt")
+
+
+def phrase_hits(positions: DataFrame, phrases: DataFrame) -> DataFrame:
+    """``(phrase, entry_id, section_id)`` where the words of a phrase follow each other.
+
+    The rarest word of a phrase picks the entries; the places of each word, moved back by where it
+    stands in the phrase, must have one in common. No text is read.
+    """
+    words = phrases.select("phrase", F.posexplode(F.split("phrase", " ")).alias("behind", "token"))
+    words = stored(words, "phrase-words")
+    sizes = positions.join(words.select("token").distinct(), "token", "left_semi")
+    sizes = sizes.groupBy("token").agg(F.count(F.lit(1)).alias("entries"))
+    rarest = (
+        words.join(sizes, "token", "left")
+        .groupBy("phrase")
+        .agg(
+            F.min(F.struct(F.coalesce("entries", F.lit(0)), "token")).alias("pick"),
+            F.count(F.lit(1)).alias("length"),
+        )
+        .select("phrase", "length", F.col("pick.token").alias("token"))
+    )
+    picked = positions.select("entry_id", "section_id", "token").join(rarest, "token").drop("token")
+    looked = picked.join(words, "phrase")
+    moved = F.transform("places", lambda p: p - F.col("behind")).alias("starts")
+    lists = (
+        looked.join(positions.select("entry_id", "token", "places"), ["entry_id", "token"])
+        .select("phrase", "entry_id", "section_id", "length", moved)
+        .groupBy("phrase", "entry_id", "section_id", "length")
+        .agg(F.collect_list("starts").alias("lists"))
+        .filter(F.size("lists") == F.col("length"))
+    )
+    common = F.aggregate("lists", F.col("lists")[0], F.array_intersect)
+    return lists.filter(F.size(common) > 0).select("phrase", "entry_id", "section_id")
+
+
 def match_fulltext(
     postings: DataFrame,
     dictionary: DataFrame,
-    index: DataFrame,
+    positions: DataFrame,
     terms: DataFrame,
     resolved: DataFrame,
 ) -> DataFrame:
     """Boolean full-text matches ``(qid, entry_id, section_id)``.
 
     Words marked + must occur, words marked - must not; without any + word at least one
-    unsigned word must occur. The words of a phrase must stand together in the text.
+    unsigned word must occur. The words of a phrase, keywords or not, must follow each other.
     """
-    keyed = stored(query_keywords(terms, dictionary), "query-keywords")
-    rows = (
-        postings.select("entry_id", "section_id", "keyword")
-        .join(keyed.select("qid", "sign", "word", "phrase", "keyword"), "keyword")
-        .join(resolved.select("qid", "section_id"), ["qid", "section_id"], "left_semi")
+    words = query_keywords(terms.filter("phrase IS NULL"), dictionary)
+    keyed = stored(words.select("qid", "sign", "word", "keyword"), "query-keywords")
+    rows = with_postings(postings.select("entry_id", "section_id", "keyword"), keyed).join(
+        resolved.select("qid", "section_id"), ["qid", "section_id"], "left_semi"
     )
-    # A phrase counts once all its words are there and the text holds it as a whole.
-    phrase_size = terms.filter("phrase is not null").groupBy("qid", "sign", "phrase").agg(
-        F.count_distinct("word").alias("words")
-    )
-    places = ["qid", "sign", "phrase", "entry_id", "section_id"]
-    candidates = (
-        rows.filter("phrase is not null")
-        .groupBy(*places)
-        .agg(F.count_distinct("word").alias("words"))
-        .join(phrase_size, ["qid", "sign", "phrase", "words"], "left_semi")
-        .select(*places)
-    )
-    # A phrase without keywords can stand in any text of its query's sections.
-    bare = phrase_size.filter("words = 0").join(resolved.select("qid", "section_id"), "qid")
-    anywhere = index.select("entry_id", "section_id").join(bare, "section_id").select(*places)
-    candidates = stored(candidates.unionByName(anywhere), "candidates")
-    spaced = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
-    texts = cleaned(index.join(candidates.select("entry_id"), "entry_id", "left_semi"))
+    asked = terms.filter("phrase IS NOT NULL").select("qid", "sign", "phrase").distinct()
+    asked = stored(asked, "query-phrases")
     phrase_rows = (
-        texts.drop("section_id")
-        .join(candidates, "entry_id")
-        .filter(F.contains(spaced(F.col("text")), spaced(F.col("phrase"))))
+        phrase_hits(positions, asked.select("phrase").distinct())
+        .join(asked, "phrase")
+        .join(resolved.select("qid", "section_id"), ["qid", "section_id"], "left_semi")
         .select("qid", "entry_id", "section_id", "sign", F.col("phrase").alias("item"), F.lit(True).alias("quoted"))
     )
-    word_rows = rows.filter("phrase is null").select(
+    word_rows = rows.select(
         "qid", "entry_id", "section_id", "sign", F.col("word").alias("item"), F.lit(False).alias("quoted")
     )
     required = F.when(F.col("sign") == "+", F.struct("quoted", "item"))
@@ -387,10 +413,8 @@ def fulltext_relevance(
         F.count(F.lit(1)).alias("docs"), F.avg("doc_len").alias("avg_len")
     )
     words = stored(words.join(frequency, "keyword"), "query-words")
-    rows = (
-        postings.select("entry_id", "section_id", "keyword", "tf")
-        .join(words, "keyword")
-        .join(resolved.select("qid", "section_id"), ["qid", "section_id"], "left_semi")
+    rows = with_postings(postings.select("entry_id", "section_id", "keyword", "tf"), words).join(
+        resolved.select("qid", "section_id"), ["qid", "section_id"], "left_semi"
     )
     if hits is not None:
         rows = rows.join(hits.select("qid", "entry_id"), ["qid", "entry_id"], "left_semi")

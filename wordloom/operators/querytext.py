@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from wordloom.config import SearchConfig
 from wordloom.functions import text as tx
 from wordloom.functions.stem import stem_vocabulary
+from wordloom.session import stored
 
 PHRASE = r'(-?)"([^"]+)"'
 # A blank-separated token in which quoted parts may hold blanks.
@@ -43,15 +44,10 @@ def merge_synonyms(synonyms: DataFrame, edits: DataFrame, deletes: DataFrame) ->
     return kept.unionByName(edits.select(key.alias("hash"), "word", "synonyms"))
 
 
-def apply_synonyms(queries: DataFrame, synonyms: DataFrame) -> DataFrame:
-    """Add ``adjusted``: words equal to a synonym replaced, a leading + or - kept.
-
-    Where a term belongs to several replacements the first one in word order is used. Missing
-    keywords count as empty.
-    """
-    lookup = explode_synonyms(synonyms).groupBy("term").agg(F.min("word").alias("word"))
+def signed_words(queries: DataFrame) -> DataFrame:
+    """``(qid, pos, sign, term)``: the words of each query, lower-cased."""
     keywords = F.coalesce("keywords", F.lit(""))
-    words = queries.select(
+    return queries.select(
         "qid", F.posexplode(F.split(tx.trimmed(keywords), " ")).alias("pos", "raw")
     ).select(
         "qid",
@@ -59,15 +55,82 @@ def apply_synonyms(queries: DataFrame, synonyms: DataFrame) -> DataFrame:
         F.regexp_extract("raw", "^[+-]", 0).alias("sign"),
         F.lower(tx.trimmed(F.regexp_replace("raw", "^[+-]", ""))).alias("term"),
     )
+
+
+def rejoined(queries: DataFrame, items: DataFrame) -> DataFrame:
+    """Add ``adjusted``: the texts of ``(qid, item(pos, text))`` in order."""
+    ordered = F.sort_array(F.collect_list("item"))
+    adjusted = items.groupBy("qid").agg(
+        tx.trimmed(F.array_join(F.transform(ordered, lambda i: i["text"]), " ")).alias("adjusted")
+    )
+    return queries.join(adjusted, "qid")
+
+
+def apply_synonyms(queries: DataFrame, synonyms: DataFrame, phrases: bool = False) -> DataFrame:
+    """Add ``adjusted``: words equal to a synonym replaced, a leading + or - kept.
+
+    Where a term belongs to several replacements the first one in word order is used. Missing
+    keywords count as empty. With ``phrases`` synonyms of several words are found too: from left to
+    right, the longest one that starts at a word is taken and the search goes on behind it. A sign
+    within one prevents it, one before it is kept.
+    """
+    lookup = explode_synonyms(synonyms).groupBy("term").agg(F.min("word").alias("word"))
+    words = signed_words(queries)
+    if phrases:
+        return rejoined(queries, segmented(words, stored(lookup, "synonym-terms")))
     replaced = words.join(lookup, "term", "left").select(
         "qid",
         F.struct("pos", F.concat("sign", F.coalesce("word", "term")).alias("text")).alias("item"),
     )
-    ordered = F.sort_array(F.collect_list("item"))
-    adjusted = replaced.groupBy("qid").agg(
-        tx.trimmed(F.array_join(F.transform(ordered, lambda i: i["text"]), " ")).alias("adjusted")
+    return rejoined(queries, replaced)
+
+
+def segmented(words: DataFrame, lookup: DataFrame) -> DataFrame:
+    """``(qid, item)`` with the longest synonyms from left to right replaced.
+
+    The runs of words that are as long as some synonym meet the synonyms in an equi-join; one pass
+    over the matches of a query, by place and falling length, then takes those that start at or
+    behind the end of the one before.
+    """
+    size = F.size(F.split("term", " +"))
+    lookup = lookup.select(F.regexp_replace("term", " +", " ").alias("term"), "word", size.alias("size"))
+    lookup = lookup.groupBy("term", "size").agg(F.min("word").alias("word"))
+    # As many numbers as there are different lengths of a synonym.
+    sizes = lookup.agg(F.array_sort(F.collect_set("size")).alias("sizes")).scalar()
+    item = F.struct("pos", "sign", "term")
+    queries = stored(
+        words.groupBy("qid").agg(F.sort_array(F.collect_list(item)).alias("words")), "query-words"
     )
-    return queries.join(adjusted, "qid")
+    runs = queries.select(
+        "qid", "words", F.posexplode("words").alias("at", "start"), sizes.alias("sizes")
+    ).select("qid", "at", "words", F.explode("sizes").alias("size"))
+    run = F.slice("words", F.col("at") + 1, F.col("size"))
+    runs = runs.filter(F.col("at") + F.col("size") <= F.size("words")).select("qid", "at", "size", run.alias("run"))
+    unsigned = F.forall(F.slice("run", 2, F.greatest(F.size("run") - 1, F.lit(0))), lambda w: w["sign"] == "")
+    term = F.array_join(F.transform("run", lambda w: w["term"]), " ")
+    matches = runs.filter(unsigned).select("qid", "at", "size", term.alias("term")).join(lookup, ["term", "size"])
+    order = F.struct("at", (-F.col("size")).alias("shorter"), "size", "word")
+    found = matches.groupBy("qid").agg(F.sort_array(F.collect_list(order)).alias("found"))
+    nothing = F.array().cast("array<struct<at:int,size:int,word:string>>")
+    taken = F.aggregate(
+        F.coalesce("found", F.array().cast("array<struct<at:int,shorter:int,size:int,word:string>>")),
+        F.struct(F.lit(0).alias("end"), nothing.alias("taken")),
+        lambda state, m: F.when(
+            m["at"] >= state["end"],
+            F.struct(
+                (m["at"] + m["size"]).alias("end"),
+                F.concat(state["taken"], F.array(F.struct(m["at"], m["size"], m["word"]))).alias("taken"),
+            ),
+        ).otherwise(state),
+        lambda state: state["taken"],
+    )
+    rows = queries.join(found, "qid", "left").select("qid", "words", taken.alias("taken"))
+    one = rows.select("qid", "taken", F.posexplode("words").alias("at", "w"))
+    over = F.filter("taken", lambda t: (t["at"] <= F.col("at")) & (F.col("at") < t["at"] + t["size"]))
+    one = one.select("qid", "at", "w", F.get(over, F.lit(0)).alias("by"))
+    kept = one.filter(F.col("by").isNull() | (F.col("by.at") == F.col("at")))
+    text = F.concat("w.sign", F.coalesce("by.word", "w.term")).alias("text")
+    return kept.select("qid", F.struct(F.col("at").alias("pos"), text).alias("item"))
 
 
 def clean_words(words: Column) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import replace
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wordloom.config import SearchConfig
@@ -21,6 +21,7 @@ from wordloom.operators import (
     ranking,
     reports,
     suggest,
+    topk,
 )
 from wordloom.plans import search as plans
 from wordloom.session import local_table, shared_folder, stored
@@ -73,6 +74,7 @@ def search_tables(spark: SparkSession, sf_dir: str, cfg: SearchConfig = CFG) ->
         synonyms=src.load_synonyms(spark),
         postings=postings,
         dictionary=indexing.build_dictionary(postings) if postings is not None else None,
+        positions=stored(indexing.build_positions(index), "positions") if postings is not None else None,
     )
 
 
@@ -235,7 +237,7 @@ def keyword_dictionary(spark, sf_dir):
     known = dictionary(spark, sf_dir)
     pages = text_words(src.load_page_entries(spark, sf_dir), "html")
     merged = indexing.merge_keywords(pages.withColumnRenamed("word", "keyword"), known)
-    return merged.select("keyword", "soundex")
+    return merged.select("keyword", "soundex", "sound")
 
 
 @query
@@ -356,6 +358,14 @@ def apply_synonyms(spark, sf_dir):
     return querytext.apply_synonyms(turns, src.load_synonyms(spark)).select("qid", "adjusted")
 
 
+@query
+def apply_synonym_phrases(spark, sf_dir):
+    """Synonyms of one to three words, taken from the turns, in all marked turns."""
+    turns = src.load_marked_turns(spark, sf_dir)
+    synonyms = src.load_phrase_synonyms(spark, sf_dir)
+    return querytext.apply_synonyms(turns, synonyms, phrases=True).select("qid", "adjusted")
+
+
 @query
 def classify_keywords(spark, sf_dir):
     turns = src.load_marked_turns(spark, sf_dir)
@@ -456,7 +466,7 @@ def match_fulltext(spark, sf_dir):
     ready, tables = prepared(spark, sf_dir, FULLTEXT)
     terms = matching.boolean_terms(ready.parsed, FULLTEXT)
     hits = matching.match_fulltext(
-        tables.postings, tables.dictionary, tables.doc_index, terms, ready.resolved
+        tables.postings, tables.dictionary, tables.positions, terms, ready.resolved
     )
     return hits.select("qid", "entry_id")
 
@@ -511,18 +521,30 @@ def recency_decay(spark, sf_dir):
     return entries.select("entry_id", decay.alias("decay"))
 
 
+def free_text(spark: SparkSession, sf_dir: str):
+    """Every user turn, whole, as free text: its terms and sections."""
+    turns = src.load_user_turns(spark, sf_dir).withColumn("sections", F.lit(""))
+    sections = stored(src.load_sections(spark, sf_dir), "sections")
+    resolved = stored(querytext.resolve_sections(turns, sections, FULLTEXT), "query-sections")
+    return matching.boolean_terms(turns, FULLTEXT, "keywords"), resolved
+
+
 @query
 def fulltext_relevance(spark, sf_dir):
-    """Every user turn, whole, as free text: its twenty most relevant entries."""
-    tables = search_tables(spark, sf_dir, FULLTEXT)
-    turns = src.load_user_turns(spark, sf_dir).withColumn("sections", F.lit(""))
-    terms = matching.boolean_terms(turns, FULLTEXT, "keywords")
-    resolved = stored(
-        querytext.resolve_sections(turns, tables.sections, FULLTEXT), "query-sections"
-    )
-    scores = matching.fulltext_relevance(tables.postings, tables.dictionary, terms, resolved)
-    order = Window.partitionBy("qid").orderBy(F.desc("relevance"), "entry_id")
-    best = scores.withColumn("rank", F.row_number().over(order)).filter("rank <= 20")
+    """Every user turn, whole, as free text: the relevance of every entry that has a word of it."""
+    rows = stored(posting_rows(spark, sf_dir), "postings")
+    terms, resolved = free_text(spark, sf_dir)
+    scores = matching.fulltext_relevance(rows, indexing.build_dictionary(rows), terms, resolved)
+    return scores.select("qid", "entry_id", "relevance")
+
+
+@query
+def fulltext_top(spark, sf_dir):
+    """The twenty most relevant entries of every user turn, by the bounds of its words."""
+    rows = stored(posting_rows(spark, sf_dir), "postings")
+    terms, resolved = free_text(spark, sf_dir)
+    impacts = topk.build_impacts(rows, 20)
+    best = topk.fulltext_top(impacts, indexing.build_dictionary(rows), terms, resolved, 20)
     return best.select("qid", "rank", "entry_id", "relevance")
 
 
@@ -683,12 +705,17 @@ QUERIES["excerpts"] = QUERIES.pop("excerpt_html")
 
 @query
 def soundalikes(spark, sf_dir):
-    """The ten nearest soundalikes of every benchmark word."""
+    """Every soundalike of every benchmark word, by the code of full length."""
+    words = text_words(src.read(spark, sf_dir, "benchmark"), "text")
+    return suggest.soundalikes(words, dictionary(spark, sf_dir))
+
+
+@query
+def soundalikes_short(spark, sf_dir):
+    """How many keywords share a benchmark word's four-character code, and the nearest distance."""
     words = text_words(src.read(spark, sf_dir, "benchmark"), "text")
-    alike = suggest.soundalikes(words, dictionary(spark, sf_dir))
-    order = Window.partitionBy("word").orderBy("distance", "alternative")
-    nearest = alike.withColumn("rank", F.row_number().over(order)).filter("rank <= 10")
-    return nearest.select("word", "rank", "alternative", "distance")
+    alike = suggest.soundalikes(words, dictionary(spark, sf_dir), "soundex")
+    return alike.groupBy("word").agg(F.count(F.lit(1)).alias("alternatives"), F.min("distance").alias("distance"))
 
 
 @query

@@ -58,7 +58,7 @@ def values(rows) -> str:
 
 
 def with_(*ctes: str, select: str) -> str:
-    return "WITH " + ",\n".join(c.strip() for c in ctes) + "\n" + select.strip()
+    return "WITH RECURSIVE " + ",\n".join(c.strip() for c in ctes) + "\n" + select.strip()
 
 
 def stamp(expr: str) -> str:
@@ -131,6 +131,18 @@ def soundex(word: str) -> str:
     )
 
 
+def sound(word: str) -> str:
+    letters = f"upper(regexp_replace({word}, '[^A-Za-z\\x{{C0}}-\\x{{10FFFF}}]', '', 'g'))"
+    codes = f"regexp_replace(translate({letters}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', '01230120022455012623010202'), '[^0-9]', '0', 'g')"
+    out = f"(left({codes}, 1) || replace(substr({codes}, 2), '0', ''))"
+    for digit in "123456":
+        out = f"regexp_replace({out}, '{digit}+', '{digit}', 'g')"
+    first = f"left(regexp_replace({word}, '[^A-Za-z\\x{{C0}}-\\x{{10FFFF}}]', '', 'g'), 1)"
+    first = f"CASE WHEN regexp_matches({first}, '[a-z]') THEN upper({first}) ELSE {first} END"
+    whole = f"({first} || substr({out}, 2))"
+    return f"CASE WHEN {letters} = '' THEN '' ELSE rpad({whole}, CAST(greatest(4, length({whole})) AS INTEGER), '0') END"
+
+
 # Tables
 
 SECTION_ID = "CAST(substr(source, 4) AS INTEGER) + 1"
@@ -147,7 +159,8 @@ TOKENS = """tokens AS (SELECT entry_id, section_id, t, token, count(*) AS tf FRO
 POSTINGS = f"""post AS (SELECT entry_id, section_id, token AS keyword,
   CAST({count_in('t', 'token')} AS INTEGER) AS frequency, CAST(tf AS INTEGER) AS tf
   FROM tokens WHERE {keyword('token')})"""
-DICT = f"dict AS (SELECT keyword, {soundex('keyword')} AS soundex FROM (SELECT DISTINCT keyword FROM post))"
+DICT = f"""dict AS (SELECT keyword, {soundex('keyword')} AS soundex, {sound('keyword')} AS sound
+  FROM (SELECT DISTINCT keyword FROM post))"""
 INDEX = (ENTRIES, IDX)
 WORDS = (*INDEX, CLEANED, TOKENS, POSTINGS)
 PAGES = f"""pages_e AS (SELECT page_id + {src.PAGE_ID_BASE} AS entry_id, {src.PAGE_SECTION} AS section_id,
@@ -404,7 +417,7 @@ add("length_gate", *INDEX, CLEANED, TOKENS, select=f"SELECT entry_id, token FROM
 add("code_token_filter", PAGES, select=f"""SELECT DISTINCT entry_id, token FROM
   (SELECT entry_id, unnest(string_split({punct("lower(url || ' ' || html)")}, ' ')) AS token FROM pages_e)
   WHERE NOT regexp_matches(token, {rx(CODE)})""")
-add("keyword_dictionary", *WORDS, PAGES, select=f"""SELECT keyword, {soundex('keyword')} AS soundex FROM
+add("keyword_dictionary", *WORDS, PAGES, select=f"""SELECT keyword, {soundex('keyword')} AS soundex, {sound('keyword')} AS sound FROM
   (SELECT keyword FROM post UNION SELECT w FROM
     (SELECT unnest(string_split({clean('html')}, ' ')) AS w FROM pages_e) WHERE {keyword('w')})""")
 add("substring_frequency", *WORDS, select="SELECT entry_id, keyword, frequency FROM post")
@@ -438,6 +451,26 @@ add("synonym_upsert", PART_SYN, select="""SELECT sha1(word) AS hash, word, synon
     AND word NOT IN (SELECT p_brand FROM part WHERE p_size = 50)
   UNION ALL SELECT DISTINCT 'New ' || p_brand, lower(p_brand) FROM part WHERE p_type = 'ECONOMY')""")
 add("apply_synonyms", TURNS, MARKED, SYN, LOOKUP, adjusted("marked"), select="SELECT qid, adjusted FROM adj")
+add("apply_synonym_phrases", TURNS, MARKED, f"""turn_parts AS (SELECT qid, string_split(lower(keywords), ' ') AS w FROM turns),
+phrase_terms AS (SELECT qid, unnest([array_to_string(w[1:1], ' '), array_to_string(w[2:3], ' '), array_to_string(w[2:4], ' ')]) AS listed
+  FROM turn_parts),
+phrase_lookup AS (SELECT term, len(string_split(term, ' ')) AS size, min('Turn ' || qid) AS word FROM
+  (SELECT qid, lower(trim(unnest(string_split(replace(listed, '.', ''), ',')), {WS})) AS term FROM phrase_terms)
+  WHERE term <> '' GROUP BY term),
+marked_words AS (SELECT qid, list(regexp_extract(raw, '^[+-]') ORDER BY pos) AS signs,
+    list(lower(trim(regexp_replace(raw, '^[+-]', ''), {WS})) ORDER BY pos) AS terms FROM
+  (SELECT qid, unnest(string_split(trim(keywords, {WS}), ' ')) AS raw,
+    generate_subscripts(string_split(trim(keywords, {WS}), ' '), 1) AS pos FROM marked) GROUP BY qid),
+starts AS (SELECT m.qid, m.spot, max(l.size) AS size, arg_max(l.word, l.size) AS word FROM
+  (SELECT qid, spot, size, array_to_string(terms[spot:spot + size - 1], ' ') AS term, array_to_string(signs[spot + 1:spot + size - 1], '') AS inner_signs
+    FROM (SELECT *, unnest(range(1, len(terms) + 1)) AS spot FROM marked_words), (SELECT DISTINCT size FROM phrase_lookup)
+    WHERE spot + size - 1 <= len(terms)) m
+  JOIN phrase_lookup l ON l.term = m.term AND l.size = m.size WHERE m.inner_signs = '' GROUP BY m.qid, m.spot),
+walk AS (SELECT qid, CAST(1 AS BIGINT) AS spot FROM marked_words
+  UNION ALL SELECT k.qid, k.spot + coalesce(s.size, 1) FROM walk k JOIN marked_words m USING (qid)
+  LEFT JOIN starts s ON s.qid = k.qid AND s.spot = k.spot WHERE k.spot < len(m.terms))""",
+    select=f"""SELECT qid, trim(string_agg(signs[spot] || coalesce(word, terms[spot]), ' ' ORDER BY spot), {WS}) AS adjusted
+  FROM walk JOIN marked_words USING (qid) LEFT JOIN starts USING (qid, spot) WHERE spot <= len(terms) GROUP BY qid""")
 add("classify_keywords", TURNS, MARKED, "adj AS (SELECT qid, keywords AS adjusted FROM marked)", CLASSES,
     select="SELECT qid, class, word FROM classes")
 add("require_all_and_wildcard", TURNS, MARKED, f"""tok AS (SELECT qid, unnest(f) AS w, generate_subscripts(f, 1) AS i
@@ -489,8 +522,10 @@ add("occurrence_score", *SEARCH, LIKE, select="SELECT qid, entry_id, occurrences
 add("section_weighting", *SEARCH, LIKE, select=f"""SELECT qid, entry_id, {WEIGHT} AS weight,
   occurrences * {WEIGHT} AS score FROM hits""")
 add("recency_decay", ENTRIES, select=f"SELECT entry_id, round(1 / {AGE}, 6) AS decay FROM entries")
-add("fulltext_relevance", SECTIONS, *WORDS, DICT, TURNS, "q AS (SELECT qid, keywords, '' AS sections FROM turns)",
-    resolved(), boolean_terms("q", "keywords"), RELEVANCE,
+FREE = (SECTIONS, *WORDS, DICT, TURNS, "q AS (SELECT qid, keywords, '' AS sections FROM turns)",
+        resolved(), boolean_terms("q", "keywords"), RELEVANCE)
+add("fulltext_relevance", *FREE, select="SELECT qid, entry_id, relevance FROM relevant")
+add("fulltext_top", *FREE,
     select="""SELECT qid, CAST(row_number() OVER (PARTITION BY qid ORDER BY relevance DESC, entry_id) AS INTEGER)
   AS rank, entry_id, relevance FROM relevant QUALIFY rank <= 20""")
 add("sort_modes", *LIKE_PAGE, select="SELECT qid, CAST(rank AS INTEGER) AS rank, entry_id FROM page_rows")
@@ -517,7 +552,7 @@ add("search_run", *LIKE_PAGE, CLEANED, TOKENS, POSTINGS, DICT,
     f"""asked_words AS (SELECT DISTINCT qid, word FROM classes WHERE class = 'include_word'
   AND qid NOT IN (SELECT qid FROM hits)),
 alike AS (SELECT w.qid, w.word, d.keyword AS alternative, levenshtein(d.keyword, w.word) AS distance
-  FROM (SELECT *, {soundex('word')} AS s FROM asked_words) w JOIN dict d ON d.soundex = w.s WHERE d.keyword <> w.word),
+  FROM (SELECT *, {sound('word')} AS s FROM asked_words) w JOIN dict d ON d.sound = w.s WHERE d.keyword <> w.word),
 nearest AS (SELECT qid, word, min((distance, alternative)) AS best FROM alike GROUP BY qid, word)""",
     select="""SELECT q.qid, (SELECT count(*) FROM hits h WHERE h.qid = q.qid) AS total,
   p.shown, p.first, p.shown AS excerpts,
@@ -595,12 +630,19 @@ html AS (SELECT t.qid, t.entry_id, CASE WHEN b.body IS NULL THEN
 
 BENCH_WORDS = f"""bench_words AS (SELECT DISTINCT w AS word FROM
   (SELECT unnest(string_split({clean('text')}, ' ')) AS w FROM benchmark) WHERE {keyword('w')})"""
-ALIKE = f"""alike AS (SELECT w.word, d.keyword AS alternative, CAST(levenshtein(d.keyword, w.word) AS INTEGER) AS distance
-  FROM (SELECT word, {soundex('word')} AS s FROM {{words}}) w JOIN dict d ON d.soundex = w.s WHERE d.keyword <> w.word)"""
-add("soundalikes", *WORDS, DICT, BENCH_WORDS, ALIKE.format(words="bench_words"),
-    select="""SELECT word, CAST(row_number() OVER (PARTITION BY word ORDER BY distance, alternative) AS INTEGER) AS rank,
-  alternative, distance FROM alike QUALIFY rank <= 10""")
-add("closest_alternative", *WORDS, DICT, TURNS, TURN_WORDS, ALIKE.format(words="turn_words"),
+
+
+def alike(words: str) -> str:
+    return f"""alike AS (SELECT w.word, d.keyword AS alternative, CAST(levenshtein(d.keyword, w.word) AS INTEGER) AS distance
+  FROM (SELECT word, {sound('word')} AS s FROM {words}) w JOIN dict d ON d.sound = w.s WHERE d.keyword <> w.word)"""
+
+
+add("soundalikes", *WORDS, DICT, BENCH_WORDS, alike("bench_words"),
+    select="SELECT word, alternative, distance FROM alike")
+add("soundalikes_short", *WORDS, DICT, BENCH_WORDS, f"""alike AS (SELECT w.word, levenshtein(d.keyword, w.word) AS distance
+  FROM (SELECT word, {soundex('word')} AS s FROM bench_words) w JOIN dict d ON d.soundex = w.s WHERE d.keyword <> w.word)""",
+    select="SELECT word, count(*) AS alternatives, CAST(min(distance) AS INTEGER) AS distance FROM alike GROUP BY word")
+add("closest_alternative", *WORDS, DICT, TURNS, TURN_WORDS, alike("turn_words"),
     select="""SELECT word, alternative, distance FROM alike
   QUALIFY row_number() OVER (PARTITION BY word ORDER BY distance, alternative) = 1""")
 TYPED = (TURNS, USER_WORDS, """typed AS (SELECT word AS qid, word,

@@ -28,8 +28,9 @@ from wordloom.sources.logs import run_rows
 class Tables:
     """What a search reads.
 
-    Of ``entries`` only id and creation date are used. ``postings`` and ``dictionary`` are
-    needed in full-text mode, ``tokens`` spares large batches the splitting of the texts.
+    Of ``entries`` only id and creation date are used. ``postings``, ``dictionary`` and
+    ``positions`` are needed in full-text mode, ``tokens`` spares large batches the splitting of
+    the texts.
     """
 
     doc_index: DataFrame
@@ -40,6 +41,7 @@ class Tables:
     postings: DataFrame | None = None
     dictionary: DataFrame | None = None
     tokens: DataFrame | None = None
+    positions: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -56,7 +58,7 @@ def prepare(queries: DataFrame, tables: Tables, cfg: SearchConfig) -> Prepared:
     if cfg.mode == "fulltext" and (cfg.append_all_words_required or cfg.append_wildcard):
         marked = expand_boolean(queries, cfg.append_all_words_required, cfg.append_wildcard)
         queries = marked.withColumn("keywords", F.col("expanded")).drop("expanded")
-    parsed = stored(classify(apply_synonyms(queries, tables.synonyms), cfg), "queries")
+    parsed = stored(classify(apply_synonyms(queries, tables.synonyms, cfg.synonym_phrases), cfg), "queries")
     return Prepared(
         parsed,
         query_terms(parsed),
@@ -82,7 +84,7 @@ def scored_hits(prepared: Prepared, tables: Tables, cfg: SearchConfig, as_of: Co
     if cfg.mode == "fulltext":
         terms = matching.boolean_terms(prepared.parsed, cfg)
         hits = matching.match_fulltext(
-            tables.postings, tables.dictionary, tables.doc_index, terms, prepared.resolved
+            tables.postings, tables.dictionary, tables.positions, terms, prepared.resolved
         )
         hits = stored(hits, "boolean-hits")
         relevance = matching.fulltext_relevance(
@@ -201,7 +203,7 @@ def filter_section(
     if cfg.mode == "fulltext":
         terms = matching.boolean_terms(prepared.parsed, cfg)
         hits = matching.match_fulltext(
-            tables.postings, tables.dictionary, tables.doc_index, terms, prepared.resolved
+            tables.postings, tables.dictionary, tables.positions, terms, prepared.resolved
         )
         return hits.select("qid", "entry_id")
     hits = matching.match_terms(

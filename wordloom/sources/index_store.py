@@ -14,6 +14,7 @@ from wordloom.config import DOC_INDEX_SCHEMA, POSTINGS_SCHEMA, SearchConfig, Sec
 from wordloom.operators.indexing import (
     build_dictionary,
     build_doc_index,
+    build_positions,
     build_postings,
     build_token_index,
 )
@@ -27,7 +28,7 @@ SCHEMAS = {
     "doc_index": DOC_INDEX_SCHEMA + ", gen LONG",
     "postings": POSTINGS_SCHEMA + ", gen LONG",
     "tokens": "entry_id LONG, section_id INT, token STRING, times INT, gen LONG",
-    "keywords": "keyword_id LONG, keyword STRING, soundex STRING, gen LONG",
+    "keywords": "keyword_id LONG, keyword STRING, soundex STRING, sound STRING, gen LONG",
     "changes": "entry_id LONG, changed_at TIMESTAMP, change_id LONG, op STRING, gen LONG",
 }
 
@@ -161,4 +162,5 @@ class IndexStore:
             postings=self.live("postings"),
             dictionary=self.dictionary(),
             tokens=self.live("tokens"),
+            positions=build_positions(self.live("doc_index")),
         )

@@ -168,6 +168,16 @@ def load_user_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def load_phrase_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user turn as the replacement of its first word, of the next two, and of three."""
+    words = F.split(F.lower("keywords"), " ")
+    run = lambda at, size: F.array_join(F.slice(words, at, size), " ")
+    listed = F.concat_ws(", ", run(1, 1), run(2, 2), run(2, 3))
+    return load_user_turns(spark, sf_dir).select(
+        F.concat(F.lit("Turn "), F.col("qid")).alias("word"), F.regexp_replace(listed, r"[.]", "").alias("synonyms")
+    )
+
+
 def load_part_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every brand as a replacement word for the names of its parts: a row for each name."""
     parts = read(spark, sf_dir, "part")
