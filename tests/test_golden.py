@@ -490,3 +490,30 @@ def test_common_words_beside_rare_ones_are_not_looked_through(spark):
     assert {(1, "stop"), (2, "stop")} <= left_out and (0, "stop") not in left_out
     met = topk.candidates(impacts, stored(bounded, "bounded"), resolved, 3).groupBy("qid").count()
     assert {r["qid"]: r["count"] for r in met.collect()}[1] < 60
+
+
+@pytest.mark.parametrize("method", ["scan", "tokens"])
+def test_accents_can_be_left_out_of_account(spark, method):
+    texts = ["Élève", "eleve", "ÉLÈVE élève", "cafe\u0301", "straße"]
+    index = local_table(
+        spark, [(i, 1, t, t.lower()) for i, t in enumerate(texts)],
+        "entry_id LONG, section_id INT, data STRING, data_lc STRING",
+    )
+    terms = [(1, "élève", False), (2, "eleve", False), (3, "café", False), (4, "strasse", False), (5, "élève", True)]
+    terms = local_table(spark, terms, "qid INT, term STRING, excluded BOOLEAN")
+    scope = local_table(spark, [(q, 1) for q in range(1, 6)], "qid INT, section_id INT")
+    cfg = SearchConfig(method=method, fold_accents=True)
+    got = matching.match_terms(index, terms, scope, cfg).collect()
+    assert sorted((r["qid"], r["entry_id"], int(r["occurrences"])) for r in got) == [
+        (1, 0, 1), (1, 1, 1), (1, 2, 2), (2, 0, 1), (2, 1, 1), (2, 2, 2), (3, 3, 1), (5, 3, 1), (5, 4, 1),
+    ]
+    got = matching.match_terms(index, terms, scope, SearchConfig(method=method)).collect()
+    assert sorted((r["qid"], r["entry_id"]) for r in got if r["qid"] < 4) == [(1, 0), (1, 2), (2, 1)]
+
+
+def test_pieces_grow_with_changes(spark):
+    tokens = lambda *words: local_table(spark, [(w,) for w in words], "token STRING")
+    grown = matching.extend_pieces(matching.build_pieces(tokens("abc", "ab")), tokens("ab", "xabc", "é"))
+    whole = matching.build_pieces(tokens("abc", "ab", "xabc", "é"))
+    as_rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert as_rows(grown) == as_rows(whole)

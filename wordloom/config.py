@@ -59,9 +59,11 @@ class SearchConfig:
     match_stems: bool = False
     # Whether synonyms of several words are looked for too.
     synonym_phrases: bool = False
-    # How words are found: "scan" tests every one on every text, for batches of few words;
-    # "tokens" goes through the vocabulary and a token index, for any number.
-    method: str = "scan"
+    # Whether letters with and without accents are the same in substring and word matches.
+    fold_accents: bool = False
+    # How words are found: "tokens" goes through the vocabulary and a token index, for any number;
+    # "scan" tests every one on every text, for batches of few words.
+    method: str = "tokens"
 
     def __post_init__(self):
         check_choice("mode", self.mode, MODES)

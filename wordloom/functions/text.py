@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -133,6 +135,18 @@ def has_whole_word(text: Column, word: Column) -> Column:
     return F.rlike(text, pattern)
 
 
+# Letters with accents up to the end of the Latin blocks, and the letters they stand on.
+ACCENTED = [chr(c) for c in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00)) if unicodedata.decomposition(chr(c))]
+PLAIN = [unicodedata.normalize("NFD", c)[0] for c in ACCENTED]
+
+
+def without_accents(col: Column) -> Column:
+    """Letters without their accents, for comparisons that don't tell them apart."""
+    pairs = [(a, p) for a, p in zip(ACCENTED, PLAIN) if a != p]
+    plain = F.translate(col, "".join(a for a, _ in pairs), "".join(p for _, p in pairs))
+    return F.regexp_replace(plain, r"\p{Mn}+", "")
+
+
 # The Soundex digit of the letters A to Z.
 SOUND_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 SOUND_DIGITS = "01230120022455012623010202"

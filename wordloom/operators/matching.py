@@ -67,14 +67,28 @@ def grams(word: Column, size: int) -> Column:
     return F.regexp_extract_all(word, F.lit(f"(?s)(?=(.{{{size}}}))"), F.lit(1))
 
 
-def vocabulary_matches(vocabulary: DataFrame, terms: DataFrame, whole: bool) -> DataFrame:
+def build_pieces(tokens: DataFrame) -> DataFrame:
+    """``(gram, token)``: each distinct token under its pieces of one to three letters.
+
+    Kept with the index, so that a batch of words reads neither texts nor the whole vocabulary.
+    """
+    pieces = F.array_distinct(F.concat(*[grams(F.col("token"), s) for s in (1, 2, 3)]))
+    return tokens.select("token").distinct().select(F.explode(pieces).alias("gram"), "token")
+
+
+def extend_pieces(pieces: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The pieces with those of tokens that changes have brought; known tokens stay as they are."""
+    known = pieces.filter(F.col("gram") == F.left("token", F.lit(1))).select("token").distinct()
+    fresh = tokens.select("token").distinct().join(known, "token", "left_anti")
+    return pieces.unionByName(build_pieces(fresh))
+
+
+def vocabulary_matches(pieces: DataFrame, terms: DataFrame, whole: bool) -> DataFrame:
     """``(term, token, n, ok)`` for tokens that contain a term.
 
     A term can only lie in tokens that hold its rarest three-letter piece, so the pairs to
     verify come from an equi-join on that piece, over words only.
     """
-    pieces = F.array_distinct(F.concat(*[grams(F.col("token"), s) for s in (1, 2, 3)]))
-    by_gram = vocabulary.select("token", F.explode(pieces).alias("gram"))
     size = F.least(F.lit(3), F.char_length("term"))
     term_grams = terms.select(
         "term",
@@ -84,7 +98,7 @@ def vocabulary_matches(vocabulary: DataFrame, terms: DataFrame, whole: bool) ->
         ).alias("gram"),
     ).distinct()
     # Only pieces that some term has; one and two letters play a part for short terms alone.
-    by_gram = by_gram.join(term_grams.select("gram").distinct(), "gram", "left_semi")
+    by_gram = pieces.join(term_grams.select("gram").distinct(), "gram", "left_semi")
     gram_count = by_gram.groupBy("gram").agg(F.count(F.lit(1)).alias("tokens"))
     anchors = (
         term_grams.join(gram_count, "gram")
@@ -102,12 +116,21 @@ def vocabulary_matches(vocabulary: DataFrame, terms: DataFrame, whole: bool) ->
     )
 
 
-def indexed_hits(index: DataFrame, tokens: DataFrame, terms: DataFrame, whole: bool) -> DataFrame:
-    """Term hits through the token index; phrases are verified on the candidate texts."""
+def indexed_hits(
+    index: DataFrame,
+    tokens: DataFrame,
+    terms: DataFrame,
+    whole: bool,
+    pieces: DataFrame | None = None,
+) -> DataFrame:
+    """Term hits through the token index; phrases are verified on the candidate texts.
+
+    ``pieces`` are those of a stored index; without them they are built from the tokens.
+    """
     blank = F.rlike("term", F.lit(r"\s"))
     words = terms.filter(~blank)
-    vocabulary = stored(tokens.select("token").distinct(), "vocabulary")
-    pairs = stored(vocabulary_matches(vocabulary, words, whole), "word-matches")
+    pieces = stored(build_pieces(tokens), "pieces") if pieces is None else pieces
+    pairs = stored(vocabulary_matches(pieces, words, whole), "word-matches")
     word_hits = (
         tokens.join(pairs, "token")
         .groupBy(*ENTRY, "term")
@@ -135,7 +158,7 @@ def indexed_hits(index: DataFrame, tokens: DataFrame, terms: DataFrame, whole: b
             F.transform(parts, lambda p: F.struct(F.char_length(p).alias("size"), p.alias("word")))
         )["word"].alias("term"),
     )
-    two_pairs = vocabulary_matches(vocabulary, two.select("term").distinct(), False)
+    two_pairs = vocabulary_matches(pieces, two.select("term").distinct(), False)
     short_candidates = (
         tokens.join(two_pairs.select("token", "term"), "token")
         .join(two, "term")
@@ -157,17 +180,22 @@ def indexed_hits(index: DataFrame, tokens: DataFrame, terms: DataFrame, whole: b
 
 
 def term_hits(
-    index: DataFrame, terms: DataFrame, cfg: SearchConfig, whole: bool, tokens: DataFrame | None = None
+    index: DataFrame,
+    terms: DataFrame,
+    cfg: SearchConfig,
+    whole: bool,
+    tokens: DataFrame | None = None,
+    pieces: DataFrame | None = None,
 ) -> DataFrame:
     """Hits of each distinct term, found in the way that the settings name.
 
-    ``tokens`` is a token index prepared with the texts; without one it is built and stored.
+    ``tokens`` and ``pieces`` are prepared with the texts; without them they are built and stored.
     """
     distinct = terms.select("term").distinct()
     if cfg.method == "scan":
         return scan_hits(index, distinct, whole)
     tokens = stored(build_token_index(index), "tokens") if tokens is None else tokens
-    return indexed_hits(index, tokens, stored(distinct, "terms"), whole)
+    return indexed_hits(index, tokens, stored(distinct, "terms"), whole, pieces)
 
 
 def with_stem_probes(terms: DataFrame) -> DataFrame:
@@ -180,6 +208,11 @@ def with_stem_probes(terms: DataFrame) -> DataFrame:
     return terms.withColumn("probe", F.col("term")).unionByName(stemmed)
 
 
+def folded(index: DataFrame) -> DataFrame:
+    """The texts that searches run on without accents; the stored ones stay as they are."""
+    return index.withColumn("data_lc", tx.without_accents(F.col("data_lc")))
+
+
 def match_terms(
     index: DataFrame,
     terms: DataFrame,
@@ -187,18 +220,23 @@ def match_terms(
     cfg: SearchConfig,
     mode: str = "like",
     tokens: DataFrame | None = None,
+    pieces: DataFrame | None = None,
 ) -> DataFrame:
     """Entries that hold every included term and no excluded one, in the query's sections.
 
     ``keywords_matched`` counts the included terms found, ``occurrences`` sums how often
     they occur; both are 1 for queries that only exclude. Queries without terms match
-    nothing.
+    nothing. With ``fold_accents`` texts and terms are compared without accents; ``tokens`` and
+    ``pieces`` must then come from ``folded`` texts.
     """
     check_choice("mode", mode, ("like", "regexp"))
     whole = mode == "regexp"
     index = in_sections(index, resolved)
+    if cfg.fold_accents:
+        index = folded(index)
+        terms = terms.withColumn("term", tx.without_accents(F.col("term"))).distinct()
     probes = with_stem_probes(terms) if cfg.match_stems else terms.withColumn("probe", F.col("term"))
-    hits = term_hits(index, probes.select(F.col("probe").alias("term")), cfg, whole, tokens)
+    hits = term_hits(index, probes.select(F.col("probe").alias("term")), cfg, whole, tokens, pieces)
     found = hits.withColumnRenamed("term", "probe").join(probes, "probe")
     located = F.col("probe") == F.col("term")
     rows = found.select(

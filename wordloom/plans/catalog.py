@@ -430,9 +430,25 @@ def match_like_batch(spark, sf_dir):
     words = src.load_user_words(spark, sf_dir).withColumn("sections", F.lit(""))
     parsed = stored(querytext.classify(words, CFG, "keywords"), "queries")
     resolved = stored(querytext.resolve_sections(words, tables.sections, CFG), "query-sections")
+    tokens = stored(indexing.build_token_index(tables.doc_index), "tokens")
+    pieces = stored(matching.build_pieces(tokens), "pieces")
     hits = matching.match_terms(
-        tables.doc_index, querytext.query_terms(parsed), resolved, BATCH, "like"
+        tables.doc_index, querytext.query_terms(parsed), resolved, BATCH, "like", tokens, pieces
+    )
+    return hits.groupBy("qid").agg(
+        F.count(F.lit(1)).alias("hits"), F.sum("occurrences").cast("long").alias("occurrences")
     )
+
+
+@query
+def match_like_folded(spark, sf_dir):
+    """The words of the user turns, matched without regard to accents."""
+    tables = search_tables(spark, sf_dir)
+    words = src.load_user_words(spark, sf_dir).withColumn("sections", F.lit(""))
+    parsed = stored(querytext.classify(words, CFG, "keywords"), "queries")
+    resolved = stored(querytext.resolve_sections(words, tables.sections, CFG), "query-sections")
+    cfg = replace(BATCH, fold_accents=True)
+    hits = matching.match_terms(tables.doc_index, querytext.query_terms(parsed), resolved, cfg, "like")
     return hits.groupBy("qid").agg(
         F.count(F.lit(1)).alias("hits"), F.sum("occurrences").cast("long").alias("occurrences")
     )
@@ -451,9 +467,9 @@ def match_phrases(spark, sf_dir):
     return hits.select("qid", "entry_id")
 
 
-REGEXP = SearchConfig(default_sections=src.ALL_SECTIONS, mode="regexp")
+REGEXP = SearchConfig(default_sections=src.ALL_SECTIONS, mode="regexp", method="scan")
 FULLTEXT = SearchConfig(default_sections=src.ALL_SECTIONS, mode="fulltext")
-STEMMED = SearchConfig(default_sections=src.ALL_SECTIONS, match_stems=True)
+STEMMED = SearchConfig(default_sections=src.ALL_SECTIONS, match_stems=True, method="scan")
 
 
 @query

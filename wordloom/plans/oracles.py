@@ -498,6 +498,14 @@ add("match_like_batch", *INDEX, TURNS, USER_WORDS, """words AS (SELECT word,
   CAST(sum(CASE WHEN excluded THEN 1 ELSE {count_in('i.data_lc', 'w.term')} END) AS BIGINT) AS occurrences
   FROM words w JOIN idx i ON contains(i.data_lc, w.term) <> w.excluded
   WHERE length(term) > 0 AND (excluded OR length(term) BETWEEN 3 AND 29) GROUP BY w.word""")
+add("match_like_folded", *INDEX, TURNS, USER_WORDS, """words AS (SELECT word,
+  strip_accents(CASE WHEN word LIKE '-%' THEN substr(word, 2) WHEN word LIKE '+%' THEN substr(word, 2) ELSE word END) AS term,
+  length(ltrim(word, '+')) BETWEEN 3 AND 29 AS sized, word LIKE '-%' AS excluded FROM user_words)""",
+    "folded AS (SELECT entry_id, strip_accents(data_lc) AS plain FROM idx)",
+    select=f"""SELECT w.word AS qid, count(*) AS hits,
+  CAST(sum(CASE WHEN excluded THEN 1 ELSE {count_in('i.plain', 'w.term')} END) AS BIGINT) AS occurrences
+  FROM words w JOIN folded i ON contains(i.plain, w.term) <> w.excluded
+  WHERE length(term) > 0 AND (excluded OR sized) GROUP BY w.word""")
 add("match_phrases", *INDEX, select="""SELECT CAST(b.item_id AS INTEGER) AS qid, i.entry_id FROM benchmark b
   JOIN idx i ON contains(i.data_lc, lower(b.text))""")
 add("match_regexp", *SEARCH, WHOLE, select="SELECT qid, entry_id FROM hits")

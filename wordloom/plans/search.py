@@ -29,8 +29,8 @@ class Tables:
     """What a search reads.
 
     Of ``entries`` only id and creation date are used. ``postings``, ``dictionary`` and
-    ``positions`` are needed in full-text mode, ``tokens`` spares large batches the splitting of
-    the texts.
+    ``positions`` are needed in full-text mode, ``tokens`` and ``pieces`` spare large batches the
+    splitting of the texts and of their words.
     """
 
     doc_index: DataFrame
@@ -42,6 +42,7 @@ class Tables:
     dictionary: DataFrame | None = None
     tokens: DataFrame | None = None
     positions: DataFrame | None = None
+    pieces: DataFrame | None = None
 
 
 @dataclass(frozen=True)
@@ -97,7 +98,7 @@ def scored_hits(prepared: Prepared, tables: Tables, cfg: SearchConfig, as_of: Co
             hits, prepared.settings, tables.index_config, tables.entries, as_of, "relevance"
         )
     hits = matching.match_terms(
-        tables.doc_index, prepared.terms, prepared.resolved, cfg, cfg.mode, tables.tokens
+        tables.doc_index, prepared.terms, prepared.resolved, cfg, cfg.mode, tables.tokens, tables.pieces
     )
     return ranking.add_scores(
         hits, prepared.settings, tables.index_config, tables.entries, as_of
@@ -207,7 +208,7 @@ def filter_section(
         )
         return hits.select("qid", "entry_id")
     hits = matching.match_terms(
-        tables.doc_index, prepared.terms, prepared.resolved, cfg, cfg.mode, tables.tokens
+        tables.doc_index, prepared.terms, prepared.resolved, cfg, cfg.mode, tables.tokens, tables.pieces
     )
     open_scope = scope.join(prepared.terms.select("qid").distinct(), "qid", "left_anti")
     kept = entries.select("entry_id", "section_id").join(open_scope, "section_id")

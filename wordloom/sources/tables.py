@@ -199,7 +199,8 @@ FIELDS_CONFIG = [
     SectionIndex(i, ("lang", "text") if i <= 10 else ("text", "n_chars"), None) for i in SECTION_IDS
 ]
 
-CONFIG = SearchConfig(default_sections=ALL_SECTIONS)
+# The inline queries are few.
+CONFIG = SearchConfig(default_sections=ALL_SECTIONS, method="scan")
 
 SYNONYMS = [
     ("United Kingdom", "uk, great britain, GB"),
