@@ -513,7 +513,8 @@ def test_accents_can_be_left_out_of_account(spark, method):
 
 def test_pieces_grow_with_changes(spark):
     tokens = lambda *words: local_table(spark, [(w,) for w in words], "token STRING")
-    grown = matching.extend_pieces(matching.build_pieces(tokens("abc", "ab")), tokens("ab", "xabc", "é"))
+    old = matching.build_pieces(tokens("abc", "ab"))
+    grown = old.unionByName(matching.fresh_pieces(old, tokens("ab", "xabc", "é")))
     whole = matching.build_pieces(tokens("abc", "ab", "xabc", "é"))
     as_rows = lambda df: sorted(tuple(r) for r in df.collect())
     assert as_rows(grown) == as_rows(whole)

@@ -6,11 +6,12 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
+from wordloom.config import SectionIndex
 from wordloom.operators import indexing, logs, maintenance, matching, querytext, ranking
 from wordloom.plans import catalog, search
 from wordloom import session
-from wordloom.session import local_table, shared_folder
-from wordloom.sources import index_store
+from wordloom.session import local_table, shared_folder, stored
+from wordloom.sources import index_tables
 from wordloom.sources import tables as src
 from wordloom.streaming import index_feed, log_feed
 
@@ -112,29 +113,32 @@ def split_events(spark, sf_dir, parts):
     return spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
+def index_of(spark, name):
+    return index_tables.IndexTables(spark, shared_folder(spark, name), CFG)
+
+
 def test_index_stream_equals_batch(spark, sf_dir):
-    store = index_store.IndexStore(spark, shared_folder(spark, "index"), CFG)
-    store.build(catalog.doc_rows(spark, sf_dir))
+    index = index_of(spark, "index")
+    index.build(catalog.doc_rows(spark, sf_dir))
     note = lambda last: catalog.changed_entries(spark, sf_dir, last)
     stream = src.change_rows(split_events(spark, sf_dir, 3))
-    index_feed.stream_index(stream, store, note, src.SECTION_CONFIG, shared_folder(spark, "c")).awaitTermination()
+    index_feed.stream_index(stream, index, note, src.SECTION_CONFIG, shared_folder(spark, "c")).awaitTermination()
     want = rows(catalog.upsert_entries(spark, sf_dir))
     columns = ("entry_id", "section_id", "data")
-    assert rows(store.live("doc_index"), *columns) == want
-    want_postings = rows(indexing.build_postings(store.live("doc_index"), CFG))
-    assert rows(store.live("postings").select("entry_id", "section_id", "keyword", "frequency", "tf")) == want_postings
-    # The dictionary holds exactly the words in use, once each.
-    words = [r["keyword"] for r in store.dictionary().collect()]
-    assert sorted(words) == sorted({r[2] for r in want_postings})
-
-    # Repeating a batch changes nothing, and neither does compaction.
-    changes = src.change_rows(src.read(spark, sf_dir, "events"))
-    for _ in range(2):
-        index_feed.index_batch(store, changes, 9, note, src.SECTION_CONFIG)
-    assert rows(store.live("doc_index"), *columns) == want
-    small = store.compact(shared_folder(spark, "compact"))
-    assert rows(small.live("doc_index"), *columns) == want
-    assert sorted(r["keyword"] for r in small.dictionary().collect()) == sorted(set(words))
+    assert rows(index.table("doc_index"), *columns) == want
+    live = stored(index.table("doc_index"), "live")
+    want_postings = rows(indexing.build_postings(live, CFG))
+    assert rows(index.table("postings").select("entry_id", "section_id", "keyword", "frequency", "tf")) == want_postings
+    assert rows(index.table("tokens").select("entry_id", "token", "times")) == rows(
+        indexing.build_token_index(live).select("entry_id", "token", "times")
+    )
+    # Each token has its pieces once; those of tokens that are gone may stay.
+    pieces, needed = rows(index.read("pieces")), rows(matching.build_pieces(index.table("tokens")))
+    assert len(pieces) == len(set(pieces)) and set(needed) <= set(pieces)
+
+    # Repeating a batch changes nothing.
+    index.apply(src.change_rows(src.read(spark, sf_dir, "events")), note, src.SECTION_CONFIG)
+    assert rows(index.table("doc_index"), *columns) == want
 
 
 def test_log_stream_equals_batch(spark, sf_dir):
@@ -144,6 +148,10 @@ def test_log_stream_equals_batch(spark, sf_dir):
     columns = ("keywords", "session_id", "date", "keywords_manipulated", "sections", "results", "depth")
     want = rows(logs.log_groups(src.load_search_logs(spark, sf_dir)), *columns)
     assert rows(log_feed.stored_log_groups(spark, path), *columns) == want
+    # A repeated batch changes nothing, and each group is stored once.
+    log_feed.fold_log_groups(src.load_search_logs(spark, sf_dir).filter("page > 1"), path)
+    assert rows(log_feed.stored_log_groups(spark, path), *columns) == want
+    assert spark.read.parquet(path).count() == len(want)
 
 
 class Cluster:
@@ -174,60 +182,46 @@ def test_every_section_counts_however_many(spark):
     assert kept.agg(F.count("*"), F.max(F.col("section_id") % 2)).first()[:] == (15_000, 0)
 
 
-def store_of(spark, rows_, name):
-    store = index_store.IndexStore(spark, shared_folder(spark, name), CFG)
-    store.build(local_table(spark, rows_, "entry_id LONG, section_id INT, data STRING, data_lc STRING"))
-    return store
-
-
-def change(spark, entry_id, day, op):
-    stamp = F.to_timestamp(F.lit(f"2024-01-{day:02d}"))
-    return spark.range(1).select(
-        F.lit(entry_id).cast("long").alias("entry_id"), stamp.alias("changed_at"),
-        F.lit(day).cast("long").alias("change_id"), F.lit(op).alias("op"),
-    )
-
-
 def index_rows(spark, rows_):
     return local_table(spark, rows_, "entry_id LONG, section_id INT, data STRING, data_lc STRING")
 
 
-def test_replayed_batch_after_a_move_between_sections(spark):
-    store = store_of(spark, [(1, 1, "old text", "old text")], "moved")
-    for section in (2, 3):
-        fresh = index_rows(spark, [(1, section, "new text", "new text")])
-        store.add_generation(5, fresh, change(spark, 1, 5, "edit"))
-    assert rows(store.live("doc_index"), "entry_id", "section_id") == [(1, 3)]
-    assert {r["section_id"] for r in store.live("postings").collect()} == {3}
-
+def changes(spark, *rows_):
+    made = local_table(spark, rows_, "entry_id LONG, day STRING, change_id LONG, op STRING")
+    return made.select("entry_id", F.to_timestamp("day").alias("changed_at"), "change_id", "op")
 
-def test_an_older_change_loses_after_compaction(spark):
-    store = store_of(spark, [(1, 1, "old", "old"), (2, 1, "other", "other")], "older")
-    store.add_generation(7, index_rows(spark, [(1, 1, "newer", "newer")]), change(spark, 1, 9, "edit"))
-    store.add_generation(8, index_rows(spark, []), change(spark, 2, 9, "delete"))
-    small = store.compact(shared_folder(spark, "compacted"))
-    small.add_generation(3, index_rows(spark, []), change(spark, 1, 2, "delete"))
-    small.add_generation(4, index_rows(spark, [(2, 1, "late", "late")]), change(spark, 2, 2, "edit"))
-    assert rows(small.live("doc_index"), "entry_id", "data") == [(1, "newer")]
 
-
-def test_generations_of_another_checkpoint_are_other_ones():
-    names = {index_feed.generation_of(c, b) for c in ("a", "b", "a/x") for b in range(50)}
-    assert len(names) == 150 and min(names) > 0
-    assert index_feed.generation_of("a/", 1) == index_feed.generation_of("a", 1)
+def test_sections_that_entries_leave(spark):
+    index = index_of(spark, "moved")
+    index.build(index_rows(spark, [(1, 1, "old text", "old text"), (2, 2, "other", "other")]))
+    config = [SectionIndex(i, ("text",)) for i in (1, 2, 3)]
+    moved = local_table(spark, [(1, 3, "new text")], "entry_id LONG, section_id INT, text STRING")
+    for _ in range(2):
+        index.apply(changes(spark, (1, "2024-01-05", 5, "edit")), lambda _: moved, config)
+        assert rows(index.table("doc_index"), "entry_id", "section_id", "data") == [(1, 3, "new text"), (2, 2, "other")]
+        assert {(r["section_id"], r["keyword"]) for r in index.table("postings").collect()} == {
+            (3, "new"), (3, "text"), (2, "other")
+        }
+    # The last entry of a section goes; an older change loses, also against a delete.
+    index.delete_entries(local_table(spark, [(2,)], "entry_id LONG"), F.to_timestamp(F.lit("2024-01-09")))
+    late = local_table(spark, [(2, 2, "late"), (1, 2, "late")], "entry_id LONG, section_id INT, text STRING")
+    older = changes(spark, (2, "2024-01-08", 9, "edit"), (1, "2024-01-05", 4, "edit"))
+    index.apply(older, lambda last: late.join(last, "entry_id", "left_semi"), config)
+    assert rows(index.table("doc_index"), "entry_id", "section_id", "data") == [(1, 3, "new text")]
+    assert rows(index.table("tokens"), "entry_id", "token") == [(1, "new"), (1, "text")]
 
 
 def test_stored_maintenance(spark, sf_dir):
-    store = index_store.IndexStore(spark, shared_folder(spark, "index"), CFG)
-    store.build(catalog.doc_rows(spark, sf_dir))
-    at = lambda day: F.to_timestamp(F.lit(f"2024-03-{day:02d}"))
-    store.delete_section(3, 1, at(1))
-    assert rows(store.live("doc_index"), "entry_id", "section_id", "data") == rows(catalog.delete_section(spark, sf_dir))
+    index = index_of(spark, "index")
+    index.build(catalog.doc_rows(spark, sf_dir))
+    columns = ("entry_id", "section_id", "data")
+    index.delete_section(3)
+    assert rows(index.table("doc_index"), *columns) == rows(catalog.delete_section(spark, sf_dir))
     entries = src.load_contents(spark, sf_dir).withColumn("text", F.concat_ws(" ", "text", "lang"))
     entries = entries.filter("entry_id % 7 <> 0")
-    store.reindex_sections(entries, src.SECTION_CONFIG, [2, 3, 5], 2, at(2))
+    index.reindex_sections(entries, src.SECTION_CONFIG, [2, 3, 5])
     want = maintenance.reindex_sections(catalog.doc_rows(spark, sf_dir), entries, src.SECTION_CONFIG, [2, 3, 5])
-    assert rows(store.live("doc_index"), "entry_id", "section_id", "data") == rows(want, "entry_id", "section_id", "data")
+    assert rows(index.table("doc_index"), *columns) == rows(want, *columns)
 
 
 @pytest.mark.parametrize("folder", [False, True])

@@ -76,11 +76,10 @@ def build_pieces(tokens: DataFrame) -> DataFrame:
     return tokens.select("token").distinct().select(F.explode(pieces).alias("gram"), "token")
 
 
-def extend_pieces(pieces: DataFrame, tokens: DataFrame) -> DataFrame:
-    """The pieces with those of tokens that changes have brought; known tokens stay as they are."""
+def fresh_pieces(pieces: DataFrame, tokens: DataFrame) -> DataFrame:
+    """The pieces of those tokens that the stored ones don't have yet, to be added to them."""
     known = pieces.filter(F.col("gram") == F.left("token", F.lit(1))).select("token").distinct()
-    fresh = tokens.select("token").distinct().join(known, "token", "left_anti")
-    return pieces.unionByName(build_pieces(fresh))
+    return build_pieces(tokens.select("token").distinct().join(known, "token", "left_anti"))
 
 
 def vocabulary_matches(pieces: DataFrame, terms: DataFrame, whole: bool) -> DataFrame:

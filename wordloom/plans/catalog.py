@@ -25,7 +25,7 @@ from wordloom.operators import (
 )
 from wordloom.plans import search as plans
 from wordloom.session import local_table, shared_folder, stored
-from wordloom.sources import index_store
+from wordloom.sources import index_tables
 from wordloom.sources import logs as log_files
 from wordloom.sources import tables as src
 from wordloom.streaming import index_feed, log_feed
@@ -317,17 +317,17 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def stream_index_changes(spark, sf_dir):
-    store = index_store.IndexStore(spark, shared_folder(spark, "index"), CFG)
-    store.build(doc_rows(spark, sf_dir))
+    index = index_tables.IndexTables(spark, shared_folder(spark, "index"), CFG)
+    index.build(doc_rows(spark, sf_dir))
     feed = index_feed.stream_index(
         src.change_rows(event_stream(spark, sf_dir)),
-        store,
+        index,
         lambda last: changed_entries(spark, sf_dir, last),
         src.SECTION_CONFIG,
         shared_folder(spark, "index-feed"),
     )
     feed.awaitTermination()
-    return store.live("doc_index").select("entry_id", "section_id", "data")
+    return index.table("doc_index").select("entry_id", "section_id", "data")
 
 
 # Query text
@@ -613,11 +613,11 @@ def search_fulltext(spark, sf_dir):
 
 
 def stored_tables(spark: SparkSession, sf_dir: str) -> plans.Tables:
-    """The tables of a stored index, after one generation of changes."""
-    store = index_store.IndexStore(spark, shared_folder(spark, "index"), CFG)
-    store.build(doc_rows(spark, sf_dir))
-    store.delete_entries(deleted_ids(spark, sf_dir), 1, as_of())
-    return store.tables(
+    """The tables of a stored index, after one batch of changes."""
+    index = index_tables.IndexTables(spark, shared_folder(spark, "index"), CFG)
+    index.build(doc_rows(spark, sf_dir))
+    index.delete_entries(deleted_ids(spark, sf_dir), as_of())
+    return index.search_tables(
         sections=stored(src.load_sections(spark, sf_dir), "sections"),
         index_config=indexing.config_frame(spark, src.SECTION_CONFIG),
         synonyms=src.load_synonyms(spark),

@@ -3,31 +3,53 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from wordloom.operators.logs import log_states, merge_states, present_states
+from wordloom.session import stored
+
+# Partitions of the stored groups; a batch rewrites those that it has groups of.
+PARTS = 32
+
+
+def fold_log_groups(batch: DataFrame, path: str) -> None:
+    """Merge a batch into the stored groups: one row per (keywords, session), however many batches.
+
+    First date and depth merge exactly in any order and any number of times, so late rows need no
+    state and a repeated batch changes nothing.
+    """
+    part = F.pmod(F.xxhash64("keywords", "session_id"), F.lit(PARTS)).cast("int")
+    rows = stored(log_states(batch).withColumn("part", part), "batch-groups")
+    spark = batch.sparkSession
+    try:
+        old = spark.read.schema(rows.schema).parquet(path)
+    except Exception as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        old = rows.limit(0)
+    old = old.join(rows.select("part").distinct(), "part", "left_semi").select(*rows.columns)
+    merged = merge_states(rows.unionByName(old).drop("part")).withColumn("part", part)
+    # Written aside first, since it is read from the folder that it replaces.
+    (
+        stored(merged, "merged-groups")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("part")
+        .parquet(path)
+    )
 
 
 def stream_log_groups(
     logs: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
-    """Append each micro-batch's partial groups, one folder per batch id.
+    """Fold each micro-batch into the stored groups.
 
-    First date and depth merge exactly in any order, so late rows need no state and a
-    repeated batch only rewrites its own folder. ``trigger`` holds the arguments of Spark's
-    trigger; without it the feed takes what there is and ends.
+    ``trigger`` holds the arguments of Spark's trigger; without it the feed takes what there is and
+    ends.
     """
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        (
-            log_states(batch)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "static")
-            .parquet(f"{path}/batch={batch_id}")
-        )
-
     return (
-        logs.writeStream.foreachBatch(sink)
+        logs.writeStream.foreachBatch(lambda batch, _: fold_log_groups(batch, path))
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
@@ -35,4 +57,4 @@ def stream_log_groups(
 
 
 def stored_log_groups(spark: SparkSession, path: str) -> DataFrame:
-    return present_states(merge_states(spark.read.parquet(path)))
+    return present_states(spark.read.parquet(path).drop("part"))
