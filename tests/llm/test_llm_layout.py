@@ -250,6 +250,48 @@ def test_links_without_a_scheme_and_far_parents(spark):
     html = {1: '<a href="//Bad.net/es/">b</a><img src=//cdn.org/x><a href="/local//x.org">l</a>'}
     edges = url_filter.link_edges(pages(spark, [(1, "http://spam.org/")], html)).collect()
     assert {(r.source, r.target) for r in edges} == {("spam.org", "bad.net"), ("spam.org", "cdn.org")}
-    deep = "a." * 70 + "bad.net"
-    edges = url_filter.family_edges(spark.createDataFrame([(deep,), ("bad.net",)], "host string")).collect()
-    assert {(r.source, r.target) for r in edges} == {(deep, "bad.net"), ("bad.net", deep)}
+
+
+def test_domains_are_nodes(spark):
+    hosts = spark.createDataFrame([("www.a.ex.org",), ("b.ex.org",), ("ex.org",), ("10.0.0.1:80",), ("",)], "host string")
+    edges = {(r.source, r.target) for r in url_filter.family_edges(hosts).collect()}
+    up = {("www.a.ex.org", "a.ex.org"), ("a.ex.org", "ex.org"), ("b.ex.org", "ex.org")}
+    assert edges == up | {(b, a) for a, b in up}
+
+
+def test_hubs_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(url_filter, "ENDS_PER_COPY", 3)
+    seeds = [(f"s{i}", float(i % 2), float(i % 2 == 0)) for i in range(10)]
+    edges = [(f"s{i}", "hub", 1.0) for i in range(10)] + [("hub", f"s{i}", 1.0) for i in range(8)]
+    got = url_filter.propagate(
+        spark.createDataFrame(seeds, "host string, trusted double, blocked double"),
+        spark.createDataFrame(edges, "source string, target string, weight double"),
+        tolerance=1e-2,
+    )
+    want = brute_ranks(seeds, edges, url_filter.DAMPING, url_filter.ROUNDS)
+    for r in got.collect():
+        for kind in ("trust", "distrust"):
+            assert getattr(r, kind) == pytest.approx(want[kind][r.host], abs=1e-2)
+
+
+def test_given_pages_are_judged_by_their_graph(spark, sf_dir):
+    given = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    judged = url_filter.judge(given).collect()
+    nothing = spark.createDataFrame([], "source string, target string, weight double")
+    alone = {r.page_id: r.verdict for r in url_filter.judge(given, edges=nothing).collect()}
+    assert any(alone[r.page_id] != r.verdict for r in judged)
+    seeds, edges = {}, set()
+    for r in judged:
+        kind = next((v for h, p, v in url_filter.RULES if h + p == r.rule), None)
+        good, bad = seeds.get(r.host, (0.0, 0.0))
+        seeds[r.host] = (good + (kind == "allow"), bad + (kind == "block"))
+        labels = r.host.split(".")
+        for i in range(len(labels) - 2):
+            pair = ".".join(labels[i:]), ".".join(labels[i + 1 :])
+            edges |= {pair, pair[::-1]}
+    want = brute_ranks([(h, *s) for h, s in seeds.items()], [(a, b, 1.0) for a, b in edges], url_filter.DAMPING, 200)
+    for r in judged:
+        trust, distrust = (want[k].get(r.host, 0.0) for k in ("trust", "distrust"))
+        assert (r.trust, r.distrust) == (pytest.approx(trust, abs=1e-8), pytest.approx(distrust, abs=1e-8))
+        if r.rule is None:
+            assert r.verdict == ("block" if distrust > trust else "allow")

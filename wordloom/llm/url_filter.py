@@ -39,6 +39,8 @@ TOLERANCE = 1e-9
 ROUNDS = math.ceil(math.log(TOLERANCE / 4) / math.log(DAMPING))
 # A host without a rule is blocked when its distrust exceeds so many times its trust.
 THRESHOLD = 1.0
+# Edges of a host that meet one copy of its ranks.
+ENDS_PER_COPY = 10_000
 # Ways in which the pages of one host are spread in a join.
 SALTS = 16
 
@@ -117,23 +119,34 @@ def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
 
 
 def family_edges(hosts: DataFrame) -> DataFrame:
-    """Edges both ways between a host and the closest domain above it that is a host as well."""
-    named = hosts.filter("host <> ''").select("host")
+    """Edges both ways between each host and the domain around it, up to domains of two labels.
+
+    Domains are nodes of the graph whether they have pages or not, so that sister hosts meet in
+    them. Numeric addresses have no domains.
+    """
+    named = hosts.filter("host <> ''").filter(~F.rlike("host", F.lit(r"(^|\.)[0-9]+(:[0-9]*)?$")))
     domains = suffixes(F.col("host"))
-    above = named.select(
-        F.col("host").alias("source"), F.posexplode(F.slice(domains, 2, F.size(domains))).alias("far", "target")
+    around = F.transform(
+        F.sequence(F.lit(1), F.size("domains") - 2),
+        lambda i: F.struct(F.get("domains", i - 1).alias("source"), F.get("domains", i).alias("target")),
     )
-    known = above.join(named.withColumnRenamed("host", "target"), "target", "left_semi")
-    nearest = known.groupBy("source").agg(F.min_by("target", "far").alias("target"))
-    back = nearest.select(F.col("target").alias("source"), F.col("source").alias("target"))
-    return nearest.unionByName(back).withColumn("weight", F.lit(1.0))
+    chains = named.select(F.explode(F.array(domains)).alias("domains")).filter(F.size("domains") > 2)
+    up = chains.select(F.inline(around)).distinct()
+    down = up.select(F.col("target").alias("source"), F.col("source").alias("target"))
+    return up.unionByName(down).withColumn("weight", F.lit(1.0))
 
 
 def shares(edges: DataFrame, start: str, end: str) -> DataFrame:
-    """Each start's weight spread over its ends: ``here, there, share``."""
-    total = edges.groupBy(F.col(start).alias("here")).agg(F.sum("weight").alias("total"))
+    """Each start's weight spread over its ends: ``here, copies, copy, there, share``.
+
+    A start with many ends has several copies, so that no join gets all its ends at once.
+    """
+    total = edges.groupBy(F.col(start).alias("here")).agg(
+        F.sum("weight").alias("total"), F.ceil(F.count(F.lit(1)) / ENDS_PER_COPY).cast("int").alias("copies")
+    )
+    copy = F.pmod(F.xxhash64(F.col(end)), F.col("copies")).cast("int")
     return edges.withColumnRenamed(start, "here").join(total, "here").select(
-        "here", F.col(end).alias("there"), (F.col("weight") / F.col("total")).alias("share")
+        "here", "copies", copy.alias("copy"), F.col(end).alias("there"), (F.col("weight") / F.col("total")).alias("share")
     )
 
 
@@ -173,6 +186,10 @@ def propagate(
     forward = shares(edges, "source", "target").withColumn("kind", F.lit("trust"))
     backward = shares(edges, "target", "source").withColumn("kind", F.lit("distrust"))
     steps = stored(forward.unionByName(backward), "host-edges")
+    # Hosts with several copies; all others have one.
+    hubs = steps.filter("copies > 1").groupBy(F.col("here").alias("host")).agg(F.max("copies").alias("copies"))
+    hubs = stored(hubs, "host-hubs")
+    every = F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)).alias("copy")
     kept = own.select(
         "host",
         (F.col("trust") * (1 - damping) / damping).alias("trust"),
@@ -182,7 +199,8 @@ def propagate(
     while True:
         before = ranks
         for _ in range(ROUNDS_STORED):
-            handed = steps.join(ranks.withColumnRenamed("host", "here"), "here").select(
+            copied = ranks.join(hubs, "host", "left").select(F.col("host").alias("here"), "trust", "distrust", every)
+            handed = steps.join(copied, ["here", "copy"]).select(
                 F.col("there").alias("host"),
                 F.when(F.col("kind") == "trust", F.col("trust") * F.col("share")).alias("trust"),
                 F.when(F.col("kind") == "distrust", F.col("distrust") * F.col("share")).alias("distrust"),
@@ -211,7 +229,8 @@ def judge(
     The longest rule that fits decides; without one the host's scores do, and a host without
     scores is allowed. Null urls and urls without ``://`` have an empty host and path, fit no rule
     and are allowed. Repeated rows and null keys get a row each; other columns play no part. The
-    edges are those of the pages' links and of domains above each other, unless they are given.
+    edges are those of the pages' links and those between hosts and the domains around them, unless
+    they are given.
     """
     spark = pages.sparkSession
     rules = rules_table(spark) if rules is None else rules
