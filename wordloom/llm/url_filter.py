@@ -30,7 +30,7 @@ RULES = (
 DAMPING = 0.85
 # Rounds between two written tables, so that a lost executor never repeats all of them; after each
 # of these tables the ranks are compared with the table before.
-ROUNDS_STORED = 5
+ROUNDS_STORED = 6
 # The ranks have converged when both together have changed by less from table to table, summed over
 # all hosts; what is still to come is less than that. Scores are given to as many places.
 TOLERANCE = 1e-9
@@ -163,6 +163,19 @@ def moved(ranks: DataFrame, before: DataFrame) -> tuple[float, int]:
     return row[0] or 0.0, row[1] or 0
 
 
+def extrapolated(ranks: DataFrame, before: DataFrame, factor: float) -> DataFrame:
+    """Ranks without the part that shrinks by exactly this factor from ``before`` to ``ranks``.
+
+    Groups of hosts that no edge leaves keep what they have, so that their share of all rank comes
+    right by the damping alone, the slowest part there is, forwards as well as, where hosts and
+    domains take turns, back and forth. Over an even number of rounds both have the same factor.
+    """
+    parts = ranks.withColumn("weight", F.lit(1.0)).unionByName(before.withColumn("weight", F.lit(-factor)))
+    return parts.groupBy("host").agg(
+        *[(F.sum(F.col(c) * F.col("weight")) / (1 - factor)).alias(c) for c in ("trust", "distrust")]
+    )
+
+
 def propagate(
     seeds: DataFrame, edges: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE
 ) -> DataFrame:
@@ -170,7 +183,9 @@ def propagate(
 
     Each round a host keeps its part of the seeds and hands the rest on along its edges, trust
     forward, distrust backward. What a host without edges would hand on is lost, for both alike.
-    Rounds go on until the ranks change by less than the tolerance and reach no further host.
+    Rounds go on until the ranks change by less than the tolerance and reach no further host. After
+    the first table the slowest part of the error is taken out by extrapolation; from any start the
+    rounds lead to the same ranks.
     Hosts that nothing reaches are not in the result.
     """
     sums = seeds.agg(F.sum("trusted").alias("t"), F.sum("blocked").alias("b"))
@@ -195,7 +210,7 @@ def propagate(
         (F.col("trust") * (1 - damping) / damping).alias("trust"),
         (F.col("distrust") * (1 - damping) / damping).alias("distrust"),
     )
-    ranks = own
+    ranks, first = own, True
     while True:
         before = ranks
         for _ in range(ROUNDS_STORED):
@@ -213,6 +228,8 @@ def propagate(
         change, reached = moved(ranks, before)
         if change < tolerance and reached <= 0:
             return ranks
+        if first:
+            ranks, first = stored(extrapolated(ranks, before, damping**ROUNDS_STORED), "host-ranks"), False
 
 
 def judge(
