@@ -11,6 +11,7 @@ from wordloom.functions import text as tx
 from wordloom.functions.scoring import weight_factor
 from wordloom.functions.stem import stem_vocabulary
 from wordloom.operators import (
+    completions,
     excerpts,
     indexing,
     logs,
@@ -518,3 +519,44 @@ def test_pieces_grow_with_changes(spark):
     whole = matching.build_pieces(tokens("abc", "ab", "xabc", "é"))
     as_rows = lambda df: sorted(tuple(r) for r in df.collect())
     assert as_rows(grown) == as_rows(whole)
+
+
+@pytest.mark.parametrize("sort", completions.SORTS)
+@pytest.mark.parametrize("limit", [1, 2, 5])
+def test_completion_lists_give_what_counting_gives(spark, sort, limit):
+    """Many ties, keywords that are first only in the sum of sections, and lists that don't settle it."""
+    made = random.Random(limit)
+    letters = [a + b + c for a in "ab" for b in "ab" for c in "abé中"]
+    totals = local_table(
+        spark,
+        [(w, s, made.randint(1, 4), 1) for w in letters + ["a", "b'c"] for s in (1, 2, 3) if made.random() < 0.8],
+        "keyword STRING, section_id INT, frequency LONG, entries LONG",
+    )
+    typed = local_table(
+        spark, [(i, w) for i, w in enumerate(["aaa", " aB中", "ab", "a", None, "", "bbbb", "aaé", "b'c"])], "qid INT, keywords STRING"
+    )
+    resolved = local_table(spark, [(0, 1), (1, 1), (1, 2), (1, 2), (7, 3)], "qid INT, section_id INT")
+    cfg = SearchConfig(suggest_limit=limit)
+    lists = stored(completions.build_completions(totals, limit), "lists")
+    counted = suggest.suggest_frequency(suggest.suggest_prefix(typed, totals.select("keyword").distinct()), totals, resolved)
+    columns = ("qid", "rank", "keyword", "frequency", "handle")
+    as_rows = lambda df: sorted(tuple(r) for r in df.select(*columns).collect())
+    want = as_rows(suggest.suggest_topk(counted, cfg, sort))
+    assert want and as_rows(completions.complete(typed, lists, totals, resolved, cfg, sort)) == want
+    # Short beginnings, which a query can't ask for, show that sums are met by the exact way.
+    short = completions.asked_sections(typed, resolved).limit(0).unionByName(
+        local_table(spark, [(i, w, None) for i, w in enumerate(["a", "b", "ab", "ba"])], "qid INT, typed STRING, section_id INT")
+    )
+    found = completions.look_up(short, lists, totals, limit, limit, sort).collect()
+    whole = {}
+    for r in totals.collect():
+        for i, w in enumerate(["a", "b", "ab", "ba"]):
+            if r["keyword"].startswith(w):
+                whole.setdefault(i, {}).setdefault(r["keyword"], 0)
+                whole[i][r["keyword"]] += r["frequency"]
+    for i, sums in whole.items():
+        order = sorted(sums.items(), key=lambda x: x[0] if sort == "alphabetical" else (-x[1], x[0]))[:limit]
+        rows_ = sorted((r["rank"], r["keyword"], r["frequency"]) for r in found if r["qid"] == i and r["sure"])
+        assert not rows_ or [r[1:] for r in rows_] == order
+    with pytest.raises(ValueError):
+        completions.complete(typed, lists, totals, resolved, cfg, sort, depth=limit - 1 or -1)

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wordloom.config import SectionIndex
-from wordloom.operators import indexing, logs, maintenance, matching, querytext, ranking
+from wordloom.operators import completions, indexing, logs, maintenance, matching, querytext, ranking, suggest
 from wordloom.plans import catalog, search
 from wordloom import session
 from wordloom.session import local_table, shared_folder, stored
@@ -222,6 +222,17 @@ def test_stored_maintenance(spark, sf_dir):
     index.reindex_sections(entries, src.SECTION_CONFIG, [2, 3, 5])
     want = maintenance.reindex_sections(catalog.doc_rows(spark, sf_dir), entries, src.SECTION_CONFIG, [2, 3, 5])
     assert rows(index.table("doc_index"), *columns) == rows(want, *columns)
+    # The lists of suggestions follow the sections that have changed.
+    totals = indexing.keyword_totals(index.table("postings"))
+    assert rows(index.table("totals"), *totals.columns) == rows(totals)
+    lists = completions.build_completions(totals, CFG.suggest_limit)
+    held = index.table("completions").select(*lists.columns)
+    assert held.count() == lists.count() and held.exceptAll(lists).isEmpty()
+    words = catalog.typed_words(spark, sf_dir)
+    resolved = querytext.resolve_sections(words, src.load_sections(spark, sf_dir), CFG)
+    found = suggest.suggest_prefix(words, totals.select("keyword").distinct())
+    want = suggest.suggest_topk(suggest.suggest_frequency(found, totals, resolved), CFG, "frequency")
+    assert rows(index.complete(words, resolved, "frequency"), *want.columns) == rows(want)
 
 
 @pytest.mark.parametrize("folder", [False, True])

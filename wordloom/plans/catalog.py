@@ -12,6 +12,7 @@ from wordloom.functions import text as tx
 from wordloom.functions.scoring import recency_divisor
 from wordloom.functions.stem import stem_vocabulary
 from wordloom.operators import (
+    completions,
     excerpts,
     indexing,
     logs,
@@ -768,6 +769,20 @@ def suggest_topk(spark, sf_dir):
     return suggest.suggest_topk(counted, CFG, "frequency").drop("handle")
 
 
+@query
+def suggest_stored(spark, sf_dir):
+    """The most frequent suggestions, and the first ones by letters, from stored completion lists."""
+    totals = stored(indexing.keyword_totals(posting_rows(spark, sf_dir)), "keyword-totals")
+    lists = stored(completions.build_completions(totals, CFG.suggest_limit), "completions")
+    words = typed_words(spark, sf_dir)
+    resolved = querytext.resolve_sections(words, src.load_sections(spark, sf_dir), SearchConfig())
+    found = [
+        completions.complete(words, lists, totals, resolved, CFG, sort).withColumn("sort", F.lit(sort))
+        for sort in completions.SORTS
+    ]
+    return found[0].unionByName(found[1]).drop("handle")
+
+
 @query
 def keyword_handle(spark, sf_dir):
     counted = suggested(spark, sf_dir, typed_words(spark, sf_dir))

@@ -664,6 +664,11 @@ add("suggest_frequency", *WORDS, *TYPED, SUGGESTED, select="SELECT qid, keyword,
 add("suggest_topk", *WORDS, *TYPED, SUGGESTED, select="""SELECT qid, keyword, frequency,
   CAST(row_number() OVER (PARTITION BY qid ORDER BY frequency DESC, keyword) AS INTEGER) AS rank FROM suggested
   QUALIFY rank <= 50""")
+add("suggest_stored", *WORDS, *TYPED, SUGGESTED, select="""SELECT 'frequency' AS sort, qid, keyword, frequency,
+  CAST(row_number() OVER (PARTITION BY qid ORDER BY frequency DESC, keyword) AS INTEGER) AS rank FROM suggested
+  QUALIFY rank <= 50
+  UNION ALL SELECT 'alphabetical', qid, keyword, frequency,
+  CAST(row_number() OVER (PARTITION BY qid ORDER BY keyword) AS INTEGER) AS rank FROM suggested QUALIFY rank <= 50""")
 add("keyword_handle", *WORDS, *TYPED, SUGGESTED, select="""SELECT qid,
   CAST(row_number() OVER (PARTITION BY qid ORDER BY keyword) AS INTEGER) AS rank, keyword,
   trim(regexp_replace(lower(keyword), '[^a-z0-9]+', '-', 'g'), '-') AS handle FROM suggested QUALIFY rank <= 50""")
