@@ -19,10 +19,12 @@ from wordloom.operators import (
     matching,
     querytext,
     ranking,
+    spans,
     suggest,
     topk,
 )
 from wordloom.session import local_table, stored
+from wordloom.streaming import log_feed
 
 CFG = SearchConfig()
 
@@ -560,3 +562,38 @@ def test_completion_lists_give_what_counting_gives(spark, sort, limit):
         assert not rows_ or [r[1:] for r in rows_] == order
     with pytest.raises(ValueError):
         completions.complete(typed, lists, totals, resolved, cfg, sort, depth=limit - 1 or -1)
+
+
+def test_spans_of_days_against_distinct_counts(spark, tmp_path):
+    """Every span of days; nulls, a batch met twice and a late one change what they should."""
+    day = lambda d, h: datetime.datetime(2024, 1, d, h) if d else None
+    made = random.Random(5)
+    log = [
+        (day(made.choice([1, 2, 4, 5, 0]), made.randint(0, 23)), made.choice(["a", "b", "ab", "", None]), made.choice(["s", "t", "u", None]))
+        for _ in range(60)
+    ]
+    path = str(tmp_path / "days")
+    for part in (log[:20], log[20:], log[:20]):
+        log_feed.fold_log_days(spark.createDataFrame(part, "date TIMESTAMP, keywords STRING, session_id STRING"), path)
+    days = log_feed.stored_log_days(spark, path)
+    assert days.count() == days.select("kind", "block", "day").distinct().count()
+    numbers = spark.read.parquet(path + "/numbers")
+    assert numbers.count() == numbers.select("kind", "value").distinct().count() == numbers.select("kind", "number").distinct().count()
+    spans_ = [(datetime.date(2024, 1, a), datetime.date(2024, 1, b)) for a in range(1, 7) for b in range(1, 7)]
+    asked = spark.createDataFrame(spans_ + spans_[:1], "first_day DATE, last_day DATE")
+    for got in spans.count_spans(asked, days).collect():
+        inside = [r[1:] for r in log if r[0] and got["first_day"] <= r[0].date() <= got["last_day"]]
+        want = (len({s for _, s in inside} - {None}), len(set(inside)), len({k for k, _ in inside} - {None}))
+        assert (got["unique_users"], got["unique_searches"], got["unique_terms"]) == want
+        spans_.remove((got["first_day"], got["last_day"]))
+    assert not spans_
+
+
+def test_numbers_fill_more_than_one_block(spark):
+    values = spark.range(100_000).select(F.lit("term").alias("kind"), F.col("id").cast("string").alias("value"))
+    none = spark.createDataFrame([], spans.NUMBERS_SCHEMA)
+    numbers = stored(spans.new_numbers(values, none, 2), "numbers")
+    days = spans.day_bitmaps(values.withColumn("day", F.lit("2024-01-01").cast("date")), numbers)
+    asked = spark.sql("SELECT DATE '2024-01-01' AS first_day, DATE '2024-01-02' AS last_day")
+    assert days.count() == 4
+    assert spans.count_spans(asked, days).first()["unique_terms"] == 100_000

@@ -21,6 +21,7 @@ from wordloom.operators import (
     querytext,
     ranking,
     reports,
+    spans,
     suggest,
     topk,
 )
@@ -871,6 +872,27 @@ def stream_log_groups(spark, sf_dir):
     return log_feed.stored_log_groups(spark, path).withColumn("date", stamp("date"))
 
 
+@query
+def unique_by_span(spark, sf_dir):
+    """Users, searches and terms of the seven days up to each day, from the days that a feed has stored."""
+    path = shared_folder(spark, "log-days")
+    feed = log_feed.stream_log_days(
+        src.log_rows(event_stream(spark, sf_dir)), path, shared_folder(spark, "days-feed")
+    )
+    feed.awaitTermination()
+    days = log_feed.stored_log_days(spark, path)
+    last = days.select(F.col("day").alias("last_day")).distinct()
+    counts = spans.count_spans(last.withColumn("first_day", F.date_sub("last_day", 6)), days)
+    return counts.withColumns({c: F.col(c).cast("string") for c in ("first_day", "last_day")})
+
+
+@query
+def log_stats_filtered(spark, sf_dir):
+    """The four statistics under one keyword filter."""
+    rows = logs.filter_logs(src.load_search_logs(spark, sf_dir), "LI")
+    return logs.log_stats(logs.log_groups(rows))
+
+
 # Index reports
 
 

@@ -689,6 +689,14 @@ AVERAGE = "CAST(trunc(avg(results)) AS INTEGER) AS average_results"
 add("average_results", LOGS, GROUPS, select=f"SELECT {AVERAGE} FROM groups")
 add("log_stats", LOGS, GROUPS, select=f"""SELECT count(DISTINCT session_id) AS unique_users, count(*) AS unique_searches,
   count(DISTINCT keywords) AS unique_terms, {AVERAGE} FROM groups""")
+add("unique_by_span", LOGS, """days AS (SELECT DISTINCT CAST(date AS DATE) AS day FROM logs)""",
+    select="""SELECT CAST(d.day - 6 AS VARCHAR) AS first_day, CAST(d.day AS VARCHAR) AS last_day,
+  count(DISTINCT l.session_id) AS unique_users, count(DISTINCT (l.keywords, l.session_id)) AS unique_searches,
+  count(DISTINCT l.keywords) AS unique_terms
+  FROM days d JOIN logs l ON CAST(l.date AS DATE) BETWEEN d.day - 6 AND d.day GROUP BY d.day""")
+add("log_stats_filtered", """all_logs AS (SELECT * FROM events WHERE event_type ILIKE '%li%')""",
+    LOGS.replace("FROM events", "FROM all_logs"), GROUPS, select=f"""SELECT count(DISTINCT session_id) AS unique_users,
+  count(*) AS unique_searches, count(DISTINCT keywords) AS unique_terms, {AVERAGE} FROM groups""")
 add("adjusted_keywords", LOGS, GROUPS, select="""SELECT keywords, session_id,
   CASE WHEN keywords = 'view' THEN 'look' END AS adjusted FROM groups""")
 add("recent_searches", LOGS, GROUPS, select=f"""SELECT {stamp('date')} AS date, keywords, results FROM
