@@ -11,6 +11,8 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from wordloom.llm import elias_fano, fingerprints, license_scan, ngram_lm, toxicity
 
 
@@ -115,6 +117,30 @@ def test_every_line_over_the_threshold_is_found(spark, containment):
         assert row.labels == ",".join(want)
 
 
+def test_wrapped_notices_are_found(spark):
+    """However a notice is wrapped, with comment signs and blank lines; words far apart are none."""
+    notice = "Permission is hereby granted, free of charge, to any person obtaining a copy".split()
+    made = random.Random(9)
+    texts = ["\n".join(notice), "\r\n * ".join(["Some words"] + notice), "x " * 50 + " ".join(notice[:5]) + "\n\n" + " ".join(notice[5:]) + " y" * 50]
+    for _ in range(20):
+        texts.append("// " + "".join(w + made.choice([" ", " ", "\n", "\n// ", "\n\n"]) for w in ["a", *notice, "b"]))
+    apart = ["\n".join([" ".join(notice[:6]) + " x" * 20, " ".join(notice[6:])]), "\n".join(["x " * 20 + w + " x" * 20 for w in notice])]
+    out = {r.doc_id: r.labels for r in license_scan.scan(odd.documents(spark, list(enumerate(texts + apart)))).collect()}
+    assert all(out[i] == "mit" for i in range(len(texts)))
+    assert all(out[len(texts) + i] == "" for i in range(len(apart)))
+
+
+@pytest.mark.parametrize("reach", [1, 3, 14])
+def test_words_around_breaks(spark, reach):
+    made = random.Random(reach)
+    cases = [[["w%d" % made.randint(0, 99) for _ in range(made.choice([0, 1, 2, 20]))] for _ in range(made.randint(0, 6))] for _ in range(40)]
+    table = spark.createDataFrame([(i, c) for i, c in enumerate(cases)], "id INT, lines ARRAY<ARRAY<STRING>>")
+    for r in table.select("id", license_scan.around_breaks(F.col("lines"), reach).alias("got")).collect():
+        lines = [line for line in cases[r.id] if line]
+        want = [line[-reach:] + [w for later in lines[i + 1 :] for w in later][:reach] for i, line in enumerate(lines[:-1])]
+        assert r.got == want
+
+
 # Elias-Fano and the language model.
 
 

@@ -6,8 +6,8 @@ too short for a template drop out (length filter), and so do pairs whose common
 back (positional filter). What is left is counted exactly. Templates are a parameter of a few
 lines, so the index of their prefixes is a small fixed table.
 
-Two kinds of blocks are joined: the lines of a text against notice templates by containment, and
-whole texts against phrases, whose words must all occur; the places where a phrase's words then
+Two kinds of blocks are joined: the lines of a text, and the words around each line break, against
+notice templates by containment, and whole texts against phrases, whose words must all occur; the places where a phrase's words then
 really stand next to each other are read off the marked words of the text.
 """
 
@@ -83,10 +83,26 @@ def literals(values) -> Column:
     return F.array(*[F.lit(v) for v in sorted(values)])
 
 
+def around_breaks(lines: Column, reach: int) -> Column:
+    """The words around each break between two lines with words: the last ``reach`` words before it
+    and the next ``reach`` after it, however many more lines these take.
+
+    A notice of up to ``reach`` words that does not lie within a line lies around the first break in it.
+    """
+    filled = F.filter(lines, lambda line: F.size(line) > 0)
+    heads = F.transform(filled, lambda line: F.slice(line, 1, reach))
+    # Each of the following lines has a word at least, so this many of them hold enough.
+    after = lambda i: F.slice(F.flatten(F.slice(heads, i + 2, reach)), 1, reach)
+    tail = lambda line: F.slice(line, F.greatest(F.size(line) - reach, F.lit(0)) + 1, F.lit(reach))
+    breaks = F.transform(filled, lambda line, i: F.concat(tail(line), after(i)))
+    return F.slice(breaks, 1, F.greatest(F.size(filled) - 1, F.lit(0)))
+
+
 def blocks_of(docs: DataFrame, wanted: list[Template]) -> DataFrame:
     """``row, doc_id, n_words, blocks, marks``, written once.
 
-    Blocks keep only words of some template; a block too short for every template is left out.
+    Blocks keep only words of some template; a block too short for every template is left out. Blocks
+    of notices are the lines and the words around line breaks.
     Marks are the places of a phrase's first word, with as many words from there as the longest
     phrase has.
     """
@@ -97,6 +113,7 @@ def blocks_of(docs: DataFrame, wanted: list[Template]) -> DataFrame:
     starts = literals({t.words[0] for t in phrases})
     longest = max(len(t.words) for t in phrases)
     shortest = min(t.need for t in lines)
+    reach = max(len(t.words) for t in lines)
 
     # An exploded array of one is computed once, whatever reads it.
     split = F.transform(F.split("text", "\n"), lambda line: words_of(line))
@@ -106,7 +123,7 @@ def blocks_of(docs: DataFrame, wanted: list[Template]) -> DataFrame:
     rows = rows.select("*", F.explode(F.array(F.flatten("split"))).alias("words"))
     cut = F.filter(
         F.transform(
-            "split",
+            F.concat("split", around_breaks(F.col("split"), reach)),
             lambda words, i: F.struct(
                 F.lit(LINE).alias("kind"), i.alias("no"), F.array_intersect(words, line_words).alias("tokens")
             ),
@@ -241,8 +258,9 @@ def scan(
 
 
 def scan_sql(templates=TEMPLATES, phrases=PHRASES, containment: float = CONTAINMENT) -> str:
-    """The same by comparing every line with every template, in DuckDB's SQL."""
+    """The same by comparing every line and line break with every template, in DuckDB's SQL."""
     wanted = templates_of(templates, phrases, containment)
+    reach = max(len(t.words) for t in wanted if t.kind == LINE)
     word = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
     def listed(words) -> str:
@@ -262,9 +280,16 @@ WITH d AS (
   SELECT row, doc_id, regexp_extract_all(text, '{word}') AS words FROM d
 ), template(words, label, need) AS (VALUES {lines}
 ), phrase(words, label, n) AS (VALUES {places}
+), split AS (
+  SELECT row, list_transform(string_split(text, chr(10)), lambda x: regexp_extract_all(x, '{word}')) AS lines FROM d
+), filled AS (
+  SELECT row, list_filter(lines, lambda x: len(x) > 0) AS lines FROM split
 ), line AS (
-  SELECT row, list_distinct(regexp_extract_all(line, '{word}')) AS words
-  FROM (SELECT row, unnest(string_split(text, chr(10))) AS line FROM d)
+  SELECT row, list_distinct(words) AS words FROM (SELECT row, unnest(lines) AS words FROM split
+  UNION ALL
+  SELECT row, list_concat(lines[i][greatest(len(lines[i]) - {reach}, 0) + 1 :],
+                          flatten(lines[i + 1 : i + {reach}])[1 : {reach}])
+  FROM (SELECT row, lines, unnest(generate_series(1, len(lines) - 1)) AS i FROM filled))
 ), notice AS (
   SELECT l.row, t.label, len(list_intersect(l.words, t.words)) / len(t.words) AS containment
   FROM line l JOIN template t ON len(list_intersect(l.words, t.words)) >= t.need
