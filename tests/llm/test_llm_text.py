@@ -2,18 +2,21 @@ import hashlib
 import math
 import os
 import random
+import re
+import struct
 import zlib
 from collections import Counter
 
 import numpy as np
 import odd
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from pyspark.sql import functions as F
 
-from wordloom.llm import elias_fano, fingerprints, license_scan, ngram_lm, toxicity
+from wordloom.llm import elias_fano, fingerprints, license_scan, ngram_lm, queries, toxicity
 
 
 # Fingerprints.
@@ -226,32 +229,65 @@ def test_scores_without_training_rows(spark):
 # Toxicity.
 
 
-def naive(symbols):
-    """Factors of the machine, written as loops over the clause."""
-    out = []
-    for i, symbol in enumerate(symbols):
-        start = max((j + 1 for j in range(i) if symbols[j] == toxicity.STOP), default=0)
-        clause = symbols[start:i]
+def naive(clause):
+    """Factors of the machine, by looking around each word of a clause."""
+    t, out = toxicity, []
+    for i, symbol in enumerate(clause):
+        before, others = clause[:i], clause[:i] + clause[i + 1 :]
+        near = clause[max(0, i - t.NEAR) : i] + clause[i + 1 : i + 1 + t.NEAR]
         factor = 1.0
-        if symbol in (toxicity.INSULT, toxicity.THREAT):
-            if toxicity.NEGATION in clause[-toxicity.REACH :]:
-                factor *= toxicity.NEGATED
-            if toxicity.REPORT in clause:
-                factor *= toxicity.REPORTED
-            if toxicity.TARGET in clause:
-                factor *= toxicity.TARGETED
+        if symbol in (t.INSULT, t.THREAT):
+            factor *= t.NEGATED if t.NEGATION in before[-t.REACH :] else 1.0
+            factor *= t.REPORTED if t.REPORT in before else 1.0
+            factor *= t.TARGETED if t.TARGET in others else 1.0
+        if symbol == t.INSULT and t.INSULT in before[-t.HEAP :]:
+            factor *= t.HEAPED
+        if symbol == t.THREAT and t.TARGET not in near and t.SELF not in near:
+            factor *= t.UNAIMED
         out.append(factor)
     return out
 
 
 @given(st.lists(st.integers(0, 6), max_size=30))
-def test_composed_machine(symbols):
-    after, factor = toxicity.machine()
-    state, got = 0, []
-    for symbol in symbols:
-        got.append(factor[state][symbol])
-        state = after[state][symbol]
-    assert got == pytest.approx(naive(symbols))
+def test_composed_machine(clause):
+    onward, back, factor = toxicity.machine()
+    before, behind = [0], [0]
+    for symbol in clause:
+        before.append(onward[before[-1]][symbol])
+    for symbol in reversed(clause):
+        behind.append(back[behind[-1]][symbol])
+    got = [factor(before[i], symbol, behind[len(clause) - 1 - i]) for i, symbol in enumerate(clause)]
+    assert got == pytest.approx(naive(clause))
+
+
+def test_insults_and_threats_differ():
+    given = dict.fromkeys((*toxicity.INSULTS, *toxicity.THREATS), toxicity.GIVEN)
+    score = toxicity.clause_scorer(toxicity.Model(words=given))
+    one = toxicity.GIVEN
+    assert score("kill the process")[0] == one * toxicity.UNAIMED
+    assert score("i will kill the process")[0] == one
+    assert score("i will kill you")[0] == pytest.approx(one * toxicity.TARGETED)
+    assert score("kill it, and much later in this clause you rest")[0] == pytest.approx(
+        one * toxicity.UNAIMED * toxicity.TARGETED
+    )
+    assert score("stupid old clown")[0] == pytest.approx(one * (1 + toxicity.HEAPED))
+
+
+@pytest.mark.parametrize(
+    ("negated", "threat"),
+    [
+        ("this isn't an idiot", "we shoot"),
+        ("das ist kein idiot", "ich werde töten"),
+        ("ce n\u2019est guère un imbécile", "j'aime tuer"),
+        ("este no es un imbécil", "yo quiero matar"),
+    ],
+)
+def test_four_languages(negated, threat):
+    given = dict.fromkeys((*toxicity.INSULTS, *toxicity.THREATS), toxicity.GIVEN)
+    score = toxicity.clause_scorer(toxicity.Model(words=given))
+    assert score(negated)[0] == toxicity.GIVEN * toxicity.NEGATED
+    assert score(threat)[0] == toxicity.GIVEN
+    assert score(threat.split()[-1])[0] == toxicity.GIVEN * toxicity.UNAIMED
 
 
 def test_clauses():
@@ -262,7 +298,7 @@ def test_clauses():
     assert score("not this. idiot")[0] == 4.0
     assert score("he said idiot")[0] == pytest.approx(4.0 * toxicity.REPORTED * toxicity.TARGETED)
     assert score("Idiot, you!")[0] == pytest.approx(4.0 * toxicity.TARGETED)
-    assert score("morons!\nkill") == (5.0, 2)
+    assert score("morons!\nkill") == (2.0 + 3.0 * toxicity.UNAIMED, 2)
     assert score("idiot. idiot. idiot.") == (4.0, 1)
 
 
@@ -304,6 +340,104 @@ def test_beginnings_with_the_counts_of_a_longer_entry_go(spark):
     assert sorted(r.feature for r in left.collect()) == ["bloopa$", "bloops$", "tram", "tramp"]
 
 
+def words_of(text):
+    return [toxicity.EDGES.sub("", token) for token in text.lower().split()]
+
+
+def naive_lexicon(sample):
+    """Weights of words and beginnings, from ``(text, toxic)``."""
+    sides = (Counter(), Counter())
+    for text, toxic in sample:
+        held = {w for w in words_of(text) if w}
+        sides[toxic].update({w + "$" for w in held} | {w[:n] for w in held for n in (4, 5, 6) if len(w) > n})
+    clean, toxic = (sum(1 for _, label in sample if label == side) for side in (0, 1))
+    every, strong = set(sides[0]) | set(sides[1]), {}
+    for name in every:
+        n, p = sides[0][name], sides[1][name]
+        want = (p + n) * toxic / (toxic + clean)
+        if p > want:
+            gain = p * math.log(p / want) + (n * math.log(n / (p + n - want)) if n else 0)
+            if gain >= toxicity.CAUTION * math.log(len(every)):
+                strong[name] = (p, n)
+    given = {w + "$" for w in (*toxicity.INSULTS, *toxicity.THREATS)}
+    twins = {long[:n] for long in strong for n in (4, 5, 6) if n < len(long) and strong.get(long[:n]) == strong[long]}
+    weights = dict.fromkeys(given, toxicity.GIVEN)
+    for name in (set(strong) - twins) | {w for w in given & every if sides[0][w] + sides[1][w] >= 5}:
+        n, p = sides[0][name], sides[1][name]
+        weights[name] = max(0.0, math.log((p + 0.5) / (toxic + 1) / ((n + 0.5) / (clean + 1))))
+    return weights
+
+
+def naive_evidence(text, weights):
+    found, clause = {}, []
+    for token in [*text.lower().replace("\n", " . ").split(), "."]:
+        word = toxicity.EDGES.sub("", token)
+        weight = max([weights.get(word + "$", 0.0), *[weights.get(word[:n], 0.0) for n in (4, 5, 6) if len(word) >= n]])
+        plain = word.replace("\u2019", "'")
+        kinds = [
+            (weight > 0 and word in toxicity.THREATS, toxicity.THREAT),
+            (weight > 0, toxicity.INSULT),
+            (plain in toxicity.TARGETS, toxicity.TARGET),
+            (plain in toxicity.SELVES or plain[:2] == "j'", toxicity.SELF),
+            (plain in toxicity.NEGATIONS or plain[-3:] == "n't" or plain[:2] == "n'", toxicity.NEGATION),
+            (plain in toxicity.SPEECH, toxicity.REPORT),
+            (True, toxicity.OTHER),
+        ]
+        clause.append((word, weight, next(symbol for holds, symbol in kinds if holds)))
+        if toxicity.CLAUSE_END.search(token):
+            factors = naive([symbol for _, _, symbol in clause])
+            name = tuple(w for w, weight, _ in clause if weight)
+            total = sum(weight * f for (_, weight, _), f in zip(clause, factors))
+            found[name] = max(total, found.get(name, 0.0))
+            clause = []
+    return sum(found.values())
+
+
+def loss(curve, pairs):
+    (a, b), out = curve, 0.0
+    for evidence, toxic in pairs:
+        z = a + b * math.log1p(evidence)
+        out += max(z, 0.0) + math.log1p(math.exp(-abs(z))) - toxic * z
+    return out + 0.05 * ((a - toxicity.Model.offset) ** 2 + (b - toxicity.Model.slope) ** 2)
+
+
+def test_whole_query_against_brute_force(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{folder}/documents.parquet").collect()}
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    held = {i: zlib.crc32(str(i).encode()) % 5 == 0 for i in docs}
+
+    def number(data):
+        value = xxhash.xxh64(data, seed=42).intdigest()
+        return value - (1 << 64 if value >> 63 else 0)
+
+    first = {}
+    for i in sorted(labels):
+        if i in docs and labels[i] is not None and not held[i]:
+            hashes = {number(w.encode()) for w in re.split(r"[ \t\n\x0b\f\r]+", docs[i])}
+            sketch = (min(hashes), min(number(struct.pack("<q", h)) for h in hashes), labels[i])
+            first.setdefault(sketch, (docs[i], labels[i]))
+    sample = list(first.values())
+    weights = naive_lexicon(sample)
+    evidence = {i: naive_evidence(text, weights) for i, text in docs.items()}
+    model = toxicity.train(spark.createDataFrame(list(docs.items()), "doc_id long, text string"),
+                           spark.createDataFrame(list(labels.items()), "doc_id long, toxic int"))
+    entries = {w + "$": x for w, x in model.words.items()} | model.beginnings
+    assert entries == pytest.approx(weights)
+    pairs = [(naive_evidence(text, weights), toxic) for text, toxic in sample]
+    curve, step = (model.offset, model.slope), 1e-3
+    # The loss is convex: no neighbour is better than the curve that was fitted.
+    best = loss(curve, pairs)
+    for da, db in [(step, 0), (-step, 0), (0, step), (0, -step), (step, -step), (-step, step)]:
+        assert loss((curve[0] + da, curve[1] + db), pairs) >= best
+    got = {r.doc_id: r for r in queries.op6_toxicity(spark, folder).collect()}
+    assert got.keys() == docs.keys()
+    for i, row in got.items():
+        score = 1 / (1 + math.exp(-(curve[0] + curve[1] * math.log1p(evidence[i]))))
+        assert (row.held_out, row.predicted) == (held[i], int(row.score >= 0.5))
+        assert row.score == pytest.approx(score, abs=1e-9)
+
+
 def test_toxicity_of_odd_texts(spark):
     rows = [*odd.TEXTS, (3, "word"), (None, "you idiot, you pathetic moron")]
     docs = odd.documents(spark, rows, **odd.CLASHES)

@@ -1,13 +1,19 @@
 """Toxicity by a weighted finite-state grammar over the words of a clause.
 
-A lexicon transducer turns words into symbols: insults, threats, targets, negations, verbs of
-speech, others, clause ends. Three small transducers read these symbols: negation lowers the weight
-of what follows within a few words, reported speech that of the rest of the clause, a target raises
-what stands in the same clause. Their composition is one machine with one state; it adds up a
-weight for each clause, and a document's evidence is the sum over its clauses.
-
-Insults of a language are learned: whole words and beginnings of words that stand in labelled toxic
-documents far more often than chance allows. A logistic curve turns evidence into a score.
+A lexicon transducer turns words into symbols: insults, threats, targets, first persons, negations,
+verbs of speech, others; it also ends clauses. Five small transducers read the symbols of a clause.
+Insult: one that follows another closely weighs more. Threat: it weighs little unless somebody, a
+target or a first person, stands near it. Target: what stands in a clause with one weighs more.
+Negation lowers the weight of what follows within a few words, reported speech that of the rest of
+the clause. Each has a part that reads onward and one that reads back, and a factor for a word by
+its symbol and the states of both parts next to it. They are composed with each other, and the
+lexicon with the result, into one machine; it adds up a weight for each clause, and a document's
+evidence is the sum over its clauses.
+
+The lists hold words of English, German, French and Spanish together, since the language of a text
+is no input: what is a target in one language is read as one in all. Insults beyond them are
+learned: whole words and beginnings of words that stand in labelled toxic documents far more often
+than chance allows. A logistic curve turns evidence into a score.
 """
 
 from __future__ import annotations
@@ -18,6 +24,8 @@ import sys
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from functools import reduce
+from typing import Any
 
 import numpy as np
 import pandas as pd
@@ -38,9 +46,10 @@ SAMPLE = 20_000
 CAUTION = 1.5
 # Lengths of the beginnings of words that are counted, beside whole words.
 BEGINNINGS = (4, 5, 6)
-# Words in which a negation reaches, and the factors of the three modifiers.
-REACH = 3
-NEGATED, REPORTED, TARGETED = 0.5, 0.7, 1.3
+# Words in which a negation, an insult and somebody near a threat reach.
+REACH, HEAP, NEAR = 3, 2, 4
+# Factors of negation, reported speech, a target, a further insult, and a threat to nobody.
+NEGATED, REPORTED, TARGETED, HEAPED, UNAIMED = 0.5, 0.7, 1.3, 1.2, 0.25
 # Weight of a word of the lists below until labels say more.
 GIVEN = 3.0
 # Words of the worker's symbol memory.
@@ -48,70 +57,154 @@ REMEMBERED = 150_000
 # Features that a worker counts before it hands them on.
 COUNTED = 200_000
 
+# Word lists.
 INSULTS = (
     "idiot", "moron", "stupid", "loser", "scum", "trash", "pathetic", "worthless", "disgusting",
     "clown", "imbecile", "dumb", "filthy", "vermin", "pig", "bastard", "bitch", "asshole",
+    "dummkopf", "vollidiot", "trottel", "arschloch", "abschaum", "versager", "hurensohn", "wichser",
+    "imbécile", "crétin", "connard", "salaud", "ordure", "abruti", "salope", "débile",
+    "imbécil", "estúpido", "estúpida", "escoria", "cabrón", "gilipollas", "idiota", "asqueroso",
+)
+THREATS = (
+    "kill", "murder", "hurt", "destroy", "strangle", "shoot", "stab", "beat",
+    "töten", "töte", "umbringen", "erschießen", "erstechen", "erwürgen", "verprügeln",
+    "tuer", "tuerai", "frapper", "étrangler", "poignarder", "massacrer",
+    "matar", "mataré", "golpear", "estrangular", "apuñalar", "disparar",
+)
+TARGETS = (
+    "you", "your", "u", "they", "them", "people", "he", "she", "him", "her", "yourself", "you're",
+    "du", "dich", "dir", "dein", "deine", "ihr", "euch", "er", "sie", "ihn", "ihm", "ihnen", "leute",
+    "tu", "te", "toi", "ton", "vous", "votre", "il", "elle", "ils", "elles", "lui", "leur", "gens",
+    "tú", "ti", "usted", "ustedes", "vosotros", "él", "ella", "ellos", "ellas", "eres", "gente",
+)
+# A word that begins with "j'" is a first person too.
+SELVES = (
+    "i", "i'll", "i'm", "we", "we'll", "ich", "wir", "je", "nous", "yo", "nosotros", "voy", "vamos",
+)
+# A word that ends with "n't" or begins with "n'" is a negation too.
+NEGATIONS = (
+    "not", "no", "never", "neither", "nor", "cannot", "without",
+    "nicht", "kein", "keine", "keinen", "keiner", "niemals", "nie", "weder", "ohne",
+    "ne", "pas", "jamais", "aucun", "aucune", "ni", "sans", "nunca", "jamás", "tampoco", "ningún",
+)
+SPEECH = (
+    "said", "says", "wrote", "claimed", "quoted", "called", "reported", "told",
+    "sagte", "sagt", "schrieb", "behauptete", "nannte", "meinte", "zitierte", "berichtete",
+    "dit", "disait", "écrit", "affirme", "prétend", "appelait", "raconta", "déclare",
+    "dijo", "decía", "escribió", "afirmó", "llamó", "contó", "citó", "declaró",
 )
-THREATS = ("kill", "murder", "hurt", "destroy", "strangle", "shoot", "stab", "beat")
-TARGETS = ("you", "your", "u", "they", "them", "people", "he", "she", "him", "her")
-NEGATIONS = ("not", "no", "never", "neither", "nor", "don't", "isn't", "aren't", "won't")
-SPEECH = ("said", "says", "wrote", "claimed", "quoted", "called", "reported", "told")
 
 # Symbols.
-OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, STOP = range(7)
+OTHER, INSULT, THREAT, TARGET, SELF, NEGATION, REPORT = range(7)
+SYMBOLS = range(7)
 EDGES = re.compile(r"^\W+|\W+$")
 CLAUSE_END = re.compile(r"[.!?;:]\W*$")
 
+Steps = dict[tuple, Any]
 
-def negation() -> dict:
-    """(state, symbol) -> (state, factor): the state counts the words a negation still reaches."""
-    rules = {}
-    for left in range(REACH + 1):
-        for symbol in range(7):
-            after = REACH if symbol == NEGATION else 0 if symbol == STOP else max(0, left - 1)
-            hit = symbol in (INSULT, THREAT) and left > 0
-            rules[left, symbol] = (after, NEGATED if hit else 1.0)
-    return rules
 
+@dataclass
+class Transducer:
+    """Two automata over a clause, one reading onward and one back, both from state 0, and the
+    factor of a word: (state before it, its symbol, state behind it). A step is
+    (state, symbol) -> state."""
 
-def reported_speech() -> dict:
-    rules = {}
-    for reported in (0, 1):
-        for symbol in range(7):
-            after = 1 if symbol == REPORT else 0 if symbol == STOP else reported
-            hit = symbol in (INSULT, THREAT) and reported
-            rules[reported, symbol] = (after, REPORTED if hit else 1.0)
-    return rules
+    onward: Steps
+    back: Steps
+    factor: Callable[[Any, int, Any], float]
 
 
-def target() -> dict:
-    rules = {}
-    for seen in (0, 1):
-        for symbol in range(7):
-            after = 1 if symbol == TARGET else 0 if symbol == STOP else seen
-            hit = symbol in (INSULT, THREAT) and seen
-            rules[seen, symbol] = (after, TARGETED if hit else 1.0)
-    return rules
+STAY: Steps = {(0, symbol): 0 for symbol in SYMBOLS}
 
 
-def compose(left: dict, right: dict) -> dict:
-    """The machine that runs both side by side; factors multiply. States are pairs."""
+def within(reach: int, *marks: int) -> Steps:
+    """The state counts the words that the last of the marks still reaches."""
     return {
-        ((a, b), symbol): ((to_a, to_b), x * y)
-        for (a, symbol), (to_a, x) in left.items()
-        for (b, other), (to_b, y) in right.items()
-        if symbol == other
+        (left, symbol): reach if symbol in marks else max(0, left - 1)
+        for left in range(reach + 1)
+        for symbol in SYMBOLS
     }
 
 
-def machine() -> tuple[list[list[int]], list[list[float]]]:
-    """The composition as tables ``state x symbol`` of the next state and of the factor."""
-    rules = compose(compose(negation(), reported_speech()), target())
-    states = sorted({state for state, _ in rules})
-    number = {state: i for i, state in enumerate(states)}
-    after = [[number[rules[s, x][0]] for x in range(7)] for s in states]
-    factor = [[rules[s, x][1] for x in range(7)] for s in states]
-    return after, factor
+def seen(mark: int) -> Steps:
+    """The state is 1 once the mark has been read."""
+    return {(state, symbol): int(state or symbol == mark) for state in (0, 1) for symbol in SYMBOLS}
+
+
+def weighs(symbol: int) -> bool:
+    return symbol in (INSULT, THREAT)
+
+
+def insult() -> Transducer:
+    return Transducer(
+        within(HEAP, INSULT), STAY, lambda before, x, behind: HEAPED if x == INSULT and before else 1.0
+    )
+
+
+def threat() -> Transducer:
+    near = within(NEAR, TARGET, SELF)
+    return Transducer(
+        near, near, lambda before, x, behind: UNAIMED if x == THREAT and not (before or behind) else 1.0
+    )
+
+
+def target() -> Transducer:
+    return Transducer(
+        seen(TARGET),
+        seen(TARGET),
+        lambda before, x, behind: TARGETED if weighs(x) and (before or behind) else 1.0,
+    )
+
+
+def negation() -> Transducer:
+    return Transducer(
+        within(REACH, NEGATION), STAY, lambda before, x, behind: NEGATED if weighs(x) and before else 1.0
+    )
+
+
+def reported_speech() -> Transducer:
+    return Transducer(
+        seen(REPORT), STAY, lambda before, x, behind: REPORTED if weighs(x) and before else 1.0
+    )
+
+
+def side_by_side(left: Steps, right: Steps) -> Steps:
+    """Both automata on the same symbols; states are pairs, numbered from the pair of both starts."""
+    pairs = sorted({(a, b) for a, _ in left for b, _ in right})
+    number = {pair: i for i, pair in enumerate(pairs)}
+    return {
+        (number[a, b], symbol): number[left[a, symbol], right[b, symbol]]
+        for a, b in pairs
+        for symbol in SYMBOLS
+    }
+
+
+def compose(left: Transducer, right: Transducer) -> Transducer:
+    """The transducer that runs both; factors multiply."""
+    before = sorted({(a, b) for a, _ in left.onward for b, _ in right.onward})
+    behind = sorted({(a, b) for a, _ in left.back for b, _ in right.back})
+    factor = {
+        (i, symbol, j): left.factor(a, symbol, c) * right.factor(b, symbol, d)
+        for i, (a, b) in enumerate(before)
+        for j, (c, d) in enumerate(behind)
+        for symbol in SYMBOLS
+    }
+    return Transducer(
+        side_by_side(left.onward, right.onward),
+        side_by_side(left.back, right.back),
+        lambda before, symbol, behind: factor[before, symbol, behind],
+    )
+
+
+def table(steps: Steps) -> list[list[int]]:
+    return [[steps[state, x] for x in SYMBOLS] for state in range(len(steps) // len(SYMBOLS))]
+
+
+def machine() -> tuple[list[list[int]], list[list[int]], Callable[[int, int, int], float]]:
+    """The composition of all five: tables ``state x symbol`` onward and back, and the factor."""
+    parts = [insult(), threat(), target(), negation(), reported_speech()]
+    whole = reduce(compose, parts)
+    return table(whole.onward), table(whole.back), whole.factor
 
 
 @dataclass
@@ -137,13 +230,16 @@ class Symbols(dict):
         symbol, weight = OTHER, 0.0
         weights = [self.model.words.get(word, 0.0)]
         weights += [self.model.beginnings.get(word[:n], 0.0) for n in BEGINNINGS if len(word) >= n]
+        plain = word.replace("\u2019", "'")
         if max(weights) > 0:
             symbol, weight = THREAT if word in THREATS else INSULT, max(weights)
-        elif word in TARGETS:
+        elif plain in TARGETS:
             symbol = TARGET
-        elif word in NEGATIONS:
+        elif plain in SELVES or plain.startswith("j'"):
+            symbol = SELF
+        elif plain in NEGATIONS or plain.endswith("n't") or plain.startswith("n'"):
             symbol = NEGATION
-        elif word in SPEECH:
+        elif plain in SPEECH:
             symbol = REPORT
         entry = (symbol, weight, bool(CLAUSE_END.search(token)), word if weight else "")
         entry = self.shared.setdefault(entry, entry)
@@ -157,28 +253,34 @@ class Symbols(dict):
 def clause_scorer(model: Model) -> Callable[[str], tuple[float, int]]:
     """Text -> the sum of its distinct matching clauses' weights, and their number."""
     symbols = Symbols(model)
-    after, factor = machine()
+    onward, back, factor = machine()
+
+    def weigh(clause: list[tuple]) -> float:
+        behind, state = [], 0
+        for symbol, _, _, _ in reversed(clause):
+            behind.append(state)
+            state = back[state][symbol]
+        total, state = 0.0, 0
+        for symbol, weight, _, _ in clause:
+            after = behind.pop()
+            if weight:
+                total += weight * factor(state, symbol, after)
+            state = onward[state][symbol]
+        return total
 
     def score(text: str) -> tuple[float, int]:
         tokens = list(map(symbols.__getitem__, text.lower().replace("\n", " . ").split()))
         if not any([weight for _, weight, _, _ in tokens]):
             return 0.0, 0
         matched: dict[tuple, float] = {}
-        state, clause, targets, words = 0, 0.0, False, []
-        for symbol, weight, ends, word in [*tokens, (STOP, 0.0, True, "")]:
-            if weight:
-                clause += weight * factor[state][symbol]
-                words.append(word)
-            elif symbol == TARGET:
-                # A target after the words that it suffers raises them as one before does.
-                targets = targets or clause > 0
-            state = after[state][symbol]
-            if ends:
-                if clause:
+        begin, last = 0, len(tokens) - 1
+        for end, (_, _, ends, _) in enumerate(tokens):
+            if ends or end == last:
+                clause = tokens[begin : end + 1]
+                begin = end + 1
+                if words := tuple([word for _, weight, _, word in clause if weight]):
                     # Clauses that match with the same words count once, however often repeated.
-                    clause *= TARGETED if targets else 1.0
-                    matched[tuple(words)] = max(clause, matched.get(tuple(words), 0.0))
-                state, clause, targets, words = after[state][STOP], 0.0, False, []
+                    matched[words] = max(weigh(clause), matched.get(words, 0.0))
         return sum(matched.values()), len(matched)
 
     return score
@@ -304,13 +406,14 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     known = known.filter(fold(F.col("doc_id"), FOLDS) != 0)
     known = known.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
     chosen = stored(known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE), "toxic-sample")
-    sample = docs.join(F.broadcast(chosen), "doc_id").select("text", "toxic")
-    # Near copies would count a rare word several times; of those with the same sketch one stays.
+    sample = docs.join(F.broadcast(chosen), "doc_id")
+    # Near copies would count a rare word several times; of those with the same sketch the first stays.
     words = F.transform(F.split("text", r"\s+"), lambda word: F.xxhash64(word))
     turned = F.transform(words, lambda word: F.xxhash64(word))
     sketch = F.struct(F.array_min(words), F.array_min(turned), "toxic")
-    sample = sample.withColumn("sketch", F.xxhash64(sketch)).dropDuplicates(["sketch"])
-    sample = stored(sample.select("text", "toxic"), "toxic-texts")
+    first = F.min(F.struct("doc_id", "text", "toxic")).alias("first")
+    sample = sample.groupBy(F.xxhash64(sketch).alias("sketch")).agg(first)
+    sample = stored(sample.select("first.text", "first.toxic"), "toxic-texts")
     model = learn_lexicon(sample)
     pairs = sample.select(evidence_of(model)("text").alias("evidence"), "toxic").toPandas()
     model.offset, model.slope = fit_curve(
