@@ -101,6 +101,24 @@ def test_decode_entities(spark, raw, decoded):
     assert one(spark, raw, tx.decode_entities) == decoded
 
 
+@pytest.mark.parametrize(
+    "raw, decoded",
+    [
+        ("&#38;#65;&#65;", "&#65;A"), ("&#35;&#65;&#x41;", "#AA"), ("&#6&#53;;&#65;", "&#65;A"),
+        ("&#65;&#0;&#65;", "A&#0;A"), ("&#&#65;;", "&#A;"), ("&#x41;&#X41;&#65", "AA&#65"),
+        ("".join(f"&#{i};" for i in range(200, 400)), "".join(map(chr, range(200, 400)))),
+    ],
+)
+def test_decoded_characters_make_no_references(spark, raw, decoded):
+    assert one(spark, raw, tx.decode_entities) == decoded
+
+
+def test_digits_of_a_reference_are_read_once(spark):
+    texts = local_table(spark, [("&#65;",)], "v STRING").repartition(1)
+    plan = texts.select(tx.decode_entities(F.col("v")))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract(") == 1
+
+
 def test_repair_utf8(spark):
     df = spark.createDataFrame([(bytearray(b"\xc3\xa9"),), (bytearray(b"\xe9"),)], "v BINARY")
     assert [r["r"] for r in df.select(tx.repair_utf8(F.col("v")).alias("r")).collect()] == ["é", "é"]
