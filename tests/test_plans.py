@@ -5,9 +5,13 @@ import re
 
 import pytest
 
-from wordloom.operators import indexing, logs, matching
+from pyspark.sql import functions as F
+
+from wordloom.operators import indexing, logs, matching, querytext
+from wordloom.operators.maintenance import delete_entries
 from wordloom.plans import catalog
-from wordloom.session import TEXT_PARTITIONS
+from wordloom.session import TEXT_PARTITIONS, joinable, run_folder, shared_folder, stored
+from wordloom.sources import index_tables
 from wordloom.sources import tables as src
 
 
@@ -100,3 +104,49 @@ def test_only_postings_use_python(spark, sf_dir):
     for name in ("search", "classify_keywords", "log_groups", "stem_words", "match_like_batch"):
         plan = catalog.QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         assert not re.search(r"Python|InPandas|InArrow", plan), name
+
+
+def test_many_rows_are_not_broadcast(spark):
+    few, many = spark.range(1000), spark.range(300_000).select((F.col("id") % 10).alias("id"))
+    rows = spark.range(10_000_000).select("id")
+    assert "BroadcastHashJoin" in final_plan(rows.join(joinable(stored(few, "few")), "id"))
+    assert "BroadcastHashJoin" not in final_plan(few.join(joinable(stored(many, "many")), "id", "left_semi"))
+
+
+def test_hits_do_not_meet_queries_times_sections(spark, sf_dir):
+    words = src.load_user_words(spark, sf_dir).withColumn("sections", F.lit(""))
+    sections = stored(src.load_sections(spark, sf_dir), "sections")
+    resolved = stored(querytext.resolve_sections(words, sections, catalog.FULLTEXT), "every-section")
+    terms = words.select("qid", F.col("qid").alias("term"), F.lit(False).alias("excluded"))
+    index = catalog.doc_rows(spark, sf_dir)
+    postings = stored(catalog.posting_rows(spark, sf_dir), "postings")
+    free = matching.boolean_terms(words, catalog.FULLTEXT, "keywords")
+    results = [
+        matching.match_terms(index, terms, resolved, catalog.BATCH),
+        matching.fulltext_relevance(postings, indexing.build_dictionary(postings), free, resolved),
+    ]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        for result in results:
+            plan = result._jdf.queryExecution().executedPlan().toString()
+            assert not [line for line in plan.splitlines() if "every-section" in line and "qid" in line]
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_index_is_not_written_aside(spark, sf_dir):
+    def folders():
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+        files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(path)
+        return {f.getPath().getName() for f in files}
+
+    index = index_tables.IndexTables(spark, shared_folder(spark, "written-once"), catalog.CFG)
+    stored(spark.range(1), "first")
+    before = folders()
+    index.build(catalog.doc_rows(spark, sf_dir))
+    index.delete_entries(spark.range(20).select(F.col("id").alias("entry_id")), catalog.as_of())
+    new = {name.rsplit("-", 1)[0] for name in folders() - before}
+    assert "written-once" in new and not new & {"postings", "tokens", "doc_index"}
+    left = delete_entries(catalog.posting_rows(spark, sf_dir), spark.range(20).select(F.col("id").alias("entry_id")))
+    columns = ("entry_id", "section_id", "keyword", "frequency", "tf")
+    assert sorted(index.table("postings").select(*columns).collect()) == sorted(left.select(*columns).collect())
