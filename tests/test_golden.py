@@ -147,6 +147,34 @@ def test_token_rules(spark):
     assert kept == ["abc", "x" * 29, "ééé", "a/b"]
 
 
+# The seven passes that the cleaner is defined by, one after another.
+SIGN_PASSES = (
+    r"[\p{Z}\p{Cc}\p{Cf}\p{Cs}\p{Pi}\p{Pf}]",
+    rf"\p{{Po}}(?<![{tx.SPECIAL_QUOTES}{tx.NUMBER_SEPARATORS}{tx.URL_ANY}{tx.NUMBER_MODIFIERS}])",
+    rf"[\p{{Ps}}\p{{Pe}}](?<![{tx.URL_BRACKETS}])",
+    rf"[{tx.SPECIAL_QUOTES}{tx.NUMBER_SEPARATORS}{tx.URL_AFTER_SPACE}\p{{Pd}}\p{{Pc}}]+((?= )|$)",
+    rf"((?<= )|^)[{tx.SPECIAL_QUOTES}{tx.URL_BEFORE_SPACE}\p{{Pc}}]+",
+    r"((?<= )|^)\p{Pd}+(?![\p{N}\p{Sc}])",
+    r" +",
+)
+
+
+def test_few_punctuation_passes_do_what_seven_did(spark):
+    assert len(tx.PUNCTUATION_PASSES) <= 4
+    rng = random.Random(3)
+    signs = list("!\"#%&'()*,-./:;?@[\\]_{}<>$+=|~`^") * 2 + list("–—―‿﹍“”‘’»…、％٫′€²½\u00a0\u0085\u2028\t\n\U00010ead\U0001f600\U0001d7ce")
+    pool = signs + [" "] * 40 + list("ab5é") * 8
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 14))) for _ in range(20000)]
+    texts += ["".join(rng.choice(" -%*.'a5$—") for _ in range(rng.randint(0, 9))) for _ in range(20000)]
+    texts += [f"a{c}b {c}b a{c} {c}" for c in map(chr, range(0x3100)) if c not in "\0"]
+    rows = local_table(spark, [(t,) for t in texts], "t STRING")
+    wanted = F.col("t")
+    for pattern in SIGN_PASSES:
+        wanted = F.regexp_replace(wanted, pattern, " ")
+    both = rows.select("t", wanted.alias("wanted"), tx.strip_punctuation(F.col("t")).alias("got"))
+    assert both.filter("wanted != got").collect() == []
+
+
 def test_postings_count_substrings_and_tokens(spark):
     index = local_table(
         spark,
