@@ -3,10 +3,12 @@
 import datetime
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from wordloom.config import SearchConfig, SectionIndex
+from wordloom.functions import counting
 from wordloom.functions import text as tx
 from wordloom.functions.scoring import weight_factor
 from wordloom.functions.stem import stem_vocabulary
@@ -185,6 +187,24 @@ def test_postings_count_substrings_and_tokens(spark):
     assert got == {(1, "the"): (3, 2), (1, "other"): (1, 1), (2, "aaaa"): (1, 1), (2, "aaa"): (2, 1)}
 
 
+def test_keywords_come_joined_to_the_counting():
+    rng = random.Random(4)
+    texts = [" ".join("".join(rng.choice("abé") for _ in range(rng.randint(1, 7))) for _ in range(12)) for _ in range(300)]
+    keywords = [[w for w in dict.fromkeys(t.split(" ")) if len(w) > 1] for t in texts]
+    batch = pa.RecordBatch.from_pydict(
+        {
+            "entry_id": pa.array(range(301), pa.int64()),
+            "section_id": pa.array([1] * 301, pa.int32()),
+            "text": [*texts, "a"],
+            "keywords": [*(" ".join(k) for k in keywords), None],
+        }
+    )
+    got = [tuple(row.values()) for part in counting.count_batches([batch]) for row in part.to_pylist()]
+    assert got == [
+        (i, 1, k, t.count(k), t.split(" ").count(k)) for i, (t, ks) in enumerate(zip(texts, keywords)) for k in ks
+    ]
+
+
 def test_parse_filter():
     assert indexing.parse_filter(r"a, b\,c,, ") == (False, ["a", "b,c"])
     assert indexing.parse_filter("a+ b") == (True, ["a", "b"])
