@@ -150,3 +150,17 @@ def test_index_is_not_written_aside(spark, sf_dir):
     left = delete_entries(catalog.posting_rows(spark, sf_dir), spark.range(20).select(F.col("id").alias("entry_id")))
     columns = ("entry_id", "section_id", "keyword", "frequency", "tf")
     assert sorted(index.table("postings").select(*columns).collect()) == sorted(left.select(*columns).collect())
+
+
+def test_full_text_tables_are_made_from_texts_cleaned_once(spark, sf_dir, monkeypatch):
+    made = []
+    cleaned = indexing.cleaned
+    monkeypatch.setattr(indexing, "cleaned", lambda index: made.append(1) or cleaned(index))
+    catalog.search_tables(spark, sf_dir, catalog.FULLTEXT)
+    assert len(made) == 1
+
+
+def test_phrases_move_only_the_places_of_their_words(spark, sf_dir):
+    positions = stored(indexing.build_positions(catalog.doc_rows(spark, sf_dir)), "every-place")
+    hits = matching.phrase_hits(positions, spark.createDataFrame([("of the",)], "phrase STRING"))
+    assert hits.inputFiles() and not [f for f in hits.inputFiles() if "every-place" in f]
