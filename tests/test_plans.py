@@ -7,7 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from wordloom.operators import indexing, logs, matching, querytext
+from wordloom.operators import indexing, logs, matching, querytext, suggest
 from wordloom.operators.maintenance import delete_entries
 from wordloom.plans import catalog
 from wordloom.session import TEXT_PARTITIONS, joinable, run_folder, shared_folder, stored
@@ -164,3 +164,20 @@ def test_phrases_move_only_the_places_of_their_words(spark, sf_dir):
     positions = stored(indexing.build_positions(catalog.doc_rows(spark, sf_dir)), "every-place")
     hits = matching.phrase_hits(positions, spark.createDataFrame([("of the",)], "phrase STRING"))
     assert hits.inputFiles() and not [f for f in hits.inputFiles() if "every-place" in f]
+
+
+def test_nearest_keywords_are_combined_without_a_sort(spark, sf_dir, monkeypatch):
+    rings = []
+
+    def kept(df, purpose):
+        if purpose == "ring":
+            rings.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, purpose)
+
+    monkeypatch.setattr(suggest, "stored", kept)
+    words, known = catalog.turn_words(spark, sf_dir), catalog.dictionary(spark, sf_dir)
+    nearest = suggest.nearest_by_rings(words, known).drop("compared")
+    assert rings and not [plan for plan in rings if "SortAggregate" in plan]
+    least = F.min(F.struct("distance", "alternative")).alias("best")
+    want = suggest.soundalikes(words, known).groupBy("word").agg(least).select("word", "best.alternative", "best.distance")
+    assert sorted(nearest.collect()) == sorted(want.collect())
