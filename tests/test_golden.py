@@ -205,6 +205,28 @@ def test_keywords_come_joined_to_the_counting():
     ]
 
 
+def test_keywords_are_told_where_they_are_counted(spark):
+    """By the same rule as the column expression; only the texts go to Python."""
+    made = random.Random(8)
+    signs = ["lt;", "$", "/", "&gt", "&lt;", "&gt;", "=", "->", "::", "-", ">", ":", "&", ";", "lt", "gt"]
+    word = lambda: "".join(made.choice(signs + list("abé中\U0001f600") * 6) for _ in range(made.randint(1, 6)))
+    texts = [" ".join(word() for _ in range(made.randint(1, 9))) for _ in range(400)]
+    texts += [c * n for c in "aé中\U0001f600" for n in range(1, 33)] + ["", "lt;abc", "abc/ /abc", "abc&gt &gtabc", "lt;", "&gt"]
+    rows = local_table(
+        spark, [(i, 1, t) for i, t in enumerate(texts)], "entry_id LONG, section_id INT, text STRING"
+    )
+    for cfg in (CFG, SearchConfig(min_word_length=1, max_word_length=9)):
+        tokens = rows.select("entry_id", F.explode(F.array_distinct(F.split("text", " "))).alias("keyword"))
+        wanted = tokens.filter((F.col("keyword") != "") & indexing.is_keyword(F.col("keyword"), cfg))
+        found = indexing.postings_of(rows, cfg)
+        got = {(r["entry_id"], r["keyword"]): (r["frequency"], r["tf"]) for r in found.collect()}
+        assert got == {
+            (i, k): (texts[i].count(k), texts[i].split(" ").count(k)) for i, k in wanted.collect()
+        }
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_distinct" not in plan
+
+
 def test_parse_filter():
     assert indexing.parse_filter(r"a, b\,c,, ") == (False, ["a", "b,c"])
     assert indexing.parse_filter("a+ b") == (True, ["a", "b"])
