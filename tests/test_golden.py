@@ -652,6 +652,23 @@ def test_completion_lists_give_what_counting_gives(spark, sort, limit):
         completions.complete(typed, lists, totals, resolved, cfg, sort, depth=limit - 1 or -1)
 
 
+def test_suggestions_are_found_once(spark):
+    """Limited and unlimited queries, sections given twice, null sections, and a sign that gets shorter in lower case."""
+    totals = local_table(
+        spark,
+        [("abc", 1, 2, 1), ("abc", 2, 3, 1), ("abc", None, 7, 1), ("abcd", 2, 5, 1), ("k", 1, 1, 1), ("", 1, 9, 1), (None, 1, 9, 1)],
+        "keyword STRING, section_id INT, frequency LONG, entries LONG",
+    )
+    asked = [(1, "abc"), (2, " ABC"), (3, "abcd"), (4, "abc"), (5, "ab"), (6, "\u212a"), (7, None), (None, "abcd")]
+    typed = local_table(spark, asked, "qid INT, keywords STRING")
+    resolved = local_table(spark, [(1, 1), (1, 1), (1, 2), (3, 1), (4, None), (None, 1)], "qid INT, section_id INT")
+    counted = suggest.suggest_frequency(suggest.suggest_prefix(typed, totals.select("keyword").distinct()), totals, resolved)
+    assert {(r["qid"], r["keyword"], r["frequency"]) for r in counted.collect()} == {
+        (1, "abc", 5), (1, "abcd", 5), (2, "abc", 12), (2, "abcd", 5), (6, "k", 1), (None, "abcd", 5),
+    }
+    assert counted._jdf.queryExecution().optimizedPlan().toString().count("Generate explode") == 1
+
+
 def test_spans_of_days_against_distinct_counts(spark, tmp_path):
     """Every span of days; nulls, a batch met twice and a late one change what they should."""
     day = lambda d, h: datetime.datetime(2024, 1, d, h) if d else None
