@@ -115,6 +115,42 @@ def test_every_row_of_an_affected_block_is_written(spark):
     assert sorted(((r.doc_id, r.text) for r in spark.read.parquet(folder).collect()), key=str) == sorted(rows, key=str)
 
 
+@given(
+    st.lists(st.tuples(st.integers(0, 3), st.integers(0, 9), st.integers(1, 50)), unique_by=lambda b: b[:2]),
+    st.integers(1, 100),
+)
+def test_bundles_hold_the_losing_blocks_of_one_shard(blocks, most):
+    plan = sharding.targets_of_blocks(blocks, sharding.capacities(sum(b[2] for b in blocks), 3))
+    out = sharding.bundles(blocks, plan, most)
+    sizes, last = {b[:2]: b[2] for b in blocks}, {(o, b): here[-1][1] for o, b, here in plan}
+    assert out.keys() == {(o, b) for o, b, here in plan if {shard for _, shard in here} != {o}}
+    held = defaultdict(list)
+    for at, number in out.items():
+        held[number].append(at)
+    assert sorted(held) == list(range(len(held)))
+    for own in held.values():
+        assert len({last[at] for at in own}) == 1
+        assert len(own) == 1 or sum(sizes[at] for at in own) <= most
+
+
+def test_a_shard_is_written_in_few_files(spark):
+    rows = [(i, "x" * (i % 50)) for i in range(2000)] + [(None, "y" * 20)] * 40
+    docs = odd.documents(spark, rows)
+    folder, merge = shared_folder(spark, "test-shards"), "spark.sql.adaptive.coalescePartitions.enabled"
+    kept = spark.conf.get(merge)
+    spark.conf.set(merge, "false")
+    try:
+        out = sharding.reshard_and_rewrite(docs, F.lit(0), folder, 4)
+        files = out.inputFiles()
+        bytes_ = check_shards(rows, out.collect(), 4)
+    finally:
+        spark.conf.set(merge, kept)
+    assert max(bytes_) - min(bytes_) <= 2 * 50
+    written = [name for name in files if "/test-shards-" in name]
+    # One file for each shard, and one more for each of the three cuts.
+    assert written and len(written) <= 4 + 3
+
+
 def test_the_query_writes_its_shards(spark, sf_dir):
     out = QUERIES["op4_sharding"](spark, sf_dir)
     assert any("/new-shards-" in name for name in out.inputFiles())

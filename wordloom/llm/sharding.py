@@ -5,8 +5,9 @@ large documents first, and a hash of the id. Sums for each block, a table of bou
 the driver, which solves the flow between the shards that have too much and those that have too
 little, and gives every block its targets. A shard keeps its first blocks, so that cuts fall among
 smaller documents. At the two ends of a transfer a block is cut between documents. Rows are then
-numbered within their new shards, and the documents of blocks that lose rows are written anew; the
-files of all other blocks stay.
+numbered within their new shards, and the documents of blocks that lose rows are written anew, a
+bundle of blocks for the same shard by each task, so that a shard gets few files; the files of all
+other blocks stay.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ SHARDS = 16
 # Magnitudes of sizes, from 2**23 bytes and more to 1, and blocks of one magnitude in a shard.
 MAGNITUDES = 24
 BLOCKS = 64
+# Bytes of documents that a task writes anew, unless a single block has more.
+BUNDLE_BYTES = 16 << 20
 
 
 def capacities(total: int, shards: int, shares: Sequence[int] | None = None) -> list[int]:
@@ -134,6 +137,29 @@ def targets_of_blocks(
     return out
 
 
+def bundles(
+    blocks: list[tuple[int, int, int]],
+    plan: list[tuple[int, int, list[tuple[int, int]]]],
+    most: int = BUNDLE_BYTES,
+) -> dict[tuple[int, int], int]:
+    """The bundle, numbered from 0, of each ``(old, block)`` that may lose rows.
+
+    The blocks of a bundle go to the same shard, a cut one by its last rows, and have at most
+    ``most`` bytes together, unless it is one block.
+    """
+    sizes = {(old, block): size for old, block, size in blocks}
+    bound = sorted(
+        (here[-1][1], old, block) for old, block, here in plan if any(shard != old for _, shard in here)
+    )
+    out, at, filled, before = {}, -1, 0, None
+    for shard, old, block in bound:
+        size = sizes[old, block]
+        if shard != before or filled + size > most:
+            at, filled, before = at + 1, 0, shard
+        out[old, block], filled = at, filled + size
+    return out
+
+
 def measured(docs: DataFrame, old: Column, blocks: int, key: str, text: str, *carried: Column) -> DataFrame:
     """``doc_id, size, text_crc32, old_shard, block`` of every document, and what is carried."""
     data = F.coalesce(F.col(f"`{text}`").cast("string"), F.lit("")).cast("binary")
@@ -149,13 +175,14 @@ def measured(docs: DataFrame, old: Column, blocks: int, key: str, text: str, *ca
     return rows.withColumn("block", (magnitude * blocks + way).cast("int"))
 
 
-def positioned(rows: DataFrame, plan: DataFrame) -> DataFrame:
+def positioned(rows: DataFrame, plan: DataFrame, *dealt: str) -> DataFrame:
     """The rows with their number in the old block, ``place``, and their new ``shard``.
 
     Rows that tie are the same in id, size and checksum, so that every run over the same rows
-    places as many of them alike.
+    places as many of them alike. ``dealt`` names columns, equal within a block, by which the rows
+    have been dealt out before.
     """
-    inside = Window.partitionBy("old_shard", "block").orderBy("doc_id", "text_crc32", "size")
+    inside = Window.partitionBy(*dealt, "old_shard", "block").orderBy("doc_id", "text_crc32", "size")
     begins = F.sum("size").over(inside.rowsBetween(Window.unboundedPreceding, -1))
     placed = rows.withColumns(
         {"begin": F.coalesce(begins, F.lit(0)), "place": F.row_number().over(inside)}
@@ -174,20 +201,26 @@ def placement(
     key: str,
     text: str,
     shares: Sequence[int] | None,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The positioned rows, without texts; the plan of blocks; the first slot of every piece."""
+    most: int = BUNDLE_BYTES,
+) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame, int]:
+    """The positioned rows, without texts; the plan of blocks; the first slot of every piece; the
+    bundles of blocks that may lose rows, and their number."""
     rows = stored(measured(docs, old, blocks, key, text), "shard-sizes")
     sums = rows.groupBy("old_shard", "block").agg(F.sum("size").alias("size")).collect()
     sized = [(r["old_shard"], r["block"], r["size"]) for r in sums]
     total = sum(size for _, _, size in sized)
+    targets = targets_of_blocks(sized, capacities(total, shards, shares))
     plan = local_table(
         docs.sparkSession,
-        [
-            (o, b, [{"from": at, "shard": shard} for at, shard in here])
-            for o, b, here in targets_of_blocks(sized, capacities(total, shards, shares))
-        ],
+        [(o, b, [{"from": at, "shard": shard} for at, shard in here]) for o, b, here in targets],
         "old_shard int, block int, stretches array<struct<`from`: long, shard: int>>",
     )
+    bundled = bundles(sized, targets, most)
+    bundle = local_table(
+        docs.sparkSession,
+        [(o, b, number) for (o, b), number in bundled.items()],
+        "old_shard int, block int, bundle int",
+    )
     placed = stored(positioned(rows, plan), "shard-places")
     pieces = placed.groupBy("shard", "old_shard", "block").agg(
         F.count("*").alias("n"), F.min("place").alias("lowest")
@@ -196,7 +229,7 @@ def placement(
     earlier = earlier.rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("n").over(earlier), F.lit(0))
     first = pieces.select("shard", "old_shard", "block", (before - F.col("lowest")).alias("first"))
-    return placed, plan, stored(first, "shard-pieces")
+    return placed, plan, stored(first, "shard-pieces"), bundle, len(set(bundled.values()))
 
 
 def slotted(placed: DataFrame, first: DataFrame, *columns: str) -> DataFrame:
@@ -225,7 +258,7 @@ def reshard(
     1; null texts count as empty. Rows that repeat get a slot each; null ids come first in their
     block; other columns play no part; an empty table gives no rows.
     """
-    placed, _, first = placement(docs, old, shards, blocks, key, text, shares)
+    placed, _, first, _, _ = placement(docs, old, shards, blocks, key, text, shares)
     return slotted(placed, first, *PLACE)
 
 
@@ -238,20 +271,25 @@ def reshard_and_rewrite(
     key: str = "doc_id",
     text: str = "text",
     shares: Sequence[int] | None = None,
+    most: int = BUNDLE_BYTES,
 ) -> DataFrame:
     """What ``reshard`` gives, with the documents of the blocks that lose rows written anew.
 
     Their rows go to ``folder/shard=N`` as ``document`` (all columns), ``old_shard``, ``block``,
     ``slot``; their sizes and checksums in the result are those of the written texts. A document
     takes its columns along to its place, so that null and repeated ids are written once a row.
-    Blocks that lose nothing are neither moved nor written.
+    Blocks that lose nothing are neither moved nor written. A task writes a bundle of blocks for one
+    shard, ``most`` bytes unless a block has more: one file, and another for each cut in it.
     """
-    placed, plan, first = placement(docs, old, shards, blocks, key, text, shares)
+    placed, plan, first, bundle, number = placement(docs, old, shards, blocks, key, text, shares, most)
     losing = first.filter("shard <> old_shard").select("old_shard", "block").distinct()
+    bundle = bundle.join(F.broadcast(losing), ["old_shard", "block"], "left_semi")
     whole = F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("document")
     moving = measured(docs, old, blocks, key, text, whole)
-    moving = moving.join(F.broadcast(losing), ["old_shard", "block"], "left_semi")
-    written = slotted(positioned(moving, plan), first, "document", "old_shard", "block", "shard")
+    moving = moving.join(F.broadcast(bundle), ["old_shard", "block"])
+    moving = moving.repartitionById(max(1, number), "bundle")
+    moving = positioned(moving, plan, "bundle")
+    written = slotted(moving, first, "document", "old_shard", "block", "shard")
     written.write.partitionBy("shard").parquet(folder)
     found = docs.sparkSession.read.schema(written.schema).parquet(folder)
     data = F.coalesce(F.col("document")[text].cast("string"), F.lit("")).cast("binary")
