@@ -702,3 +702,25 @@ def test_numbers_fill_more_than_one_block(spark):
     asked = spark.sql("SELECT DATE '2024-01-01' AS first_day, DATE '2024-01-02' AS last_day")
     assert days.count() == 4
     assert spans.count_spans(asked, days).first()["unique_terms"] == 100_000
+
+
+@pytest.mark.parametrize("method", ["tokens", "scan"])
+def test_queries_of_many_terms_and_repeated_ones(spark, method, monkeypatch):
+    """Terms are counted as bits, queries of a word in parts, settings go with the hits."""
+    monkeypatch.setattr(matching, "TOGETHER", 2)
+    texts = [" ".join(f"w{i:03}x" for i in range(130)), " ".join(f"w{i:03}x" for i in range(129)), "w000x w001x w000x"]
+    rows = [(i, 1 + i % 2, t, t) for i, t in enumerate(texts)]
+    index = spark.createDataFrame(rows, "entry_id LONG, section_id INT, data STRING, data_lc STRING")
+    every = [(1, f"w{i:03}x", False) for i in range(130)]
+    rows = every + [(q, "w000", False) for q in range(2, 8)] + [(8, "w000x", False), (8, "w000x", False)]
+    rows += [(9, "w128x", True), (10, "w000x", False), (10, "w129x", True), (11, "nosuch", False)]
+    terms = spark.createDataFrame(rows, "qid INT, term STRING, excluded BOOLEAN")
+    scope = spark.createDataFrame([(q, s) for q in range(1, 12) for s in (1, 2) if (q, s) != (7, 1)], "qid INT, section_id INT")
+    settings = spark.createDataFrame([(q, "score" if q < 5 else "id") for q in range(1, 12)] + [(2, "date")], "qid INT, sort STRING")
+    got = matching.match_terms(index, terms, scope, SearchConfig(method=method), settings=settings).collect()
+    want = [(1, 0, 130, 130, "score")]
+    want += [(q, e, 1, 1 + (e == 2), s) for q in range(2, 7) for e in range(3) for s in (["score", "date"] if q == 2 else ["score"] if q < 5 else ["id"])]
+    want += [(7, 1, 1, 1, "id")] + [(8, e, 2, 2 + 2 * (e == 2), "id") for e in range(3)]
+    want += [(9, 2, 1, 1, "id"), (10, 1, 1, 1, "id"), (10, 2, 1, 2, "id")]
+    found = [(r["qid"], r["entry_id"], r["keywords_matched"], int(r["occurrences"]), r["sort"]) for r in got]
+    assert sorted(found) == sorted(want)

@@ -181,3 +181,14 @@ def test_nearest_keywords_are_combined_without_a_sort(spark, sf_dir, monkeypatch
     least = F.min(F.struct("distance", "alternative")).alias("best")
     want = suggest.soundalikes(words, known).groupBy("word").agg(least).select("word", "best.alternative", "best.distance")
     assert sorted(nearest.collect()) == sorted(want.collect())
+
+
+def test_hits_of_a_batch_are_moved_once_by_entry(spark, sf_dir):
+    words = src.load_user_words(spark, sf_dir).withColumn("sections", F.lit(""))
+    sections = stored(src.load_sections(spark, sf_dir), "sections")
+    resolved = stored(querytext.resolve_sections(words, sections, catalog.BATCH), "query-sections")
+    terms = stored(words.select("qid", F.col("qid").alias("term"), F.lit(False).alias("excluded")), "word-terms")
+    hits = matching.match_terms(catalog.doc_rows(spark, sf_dir), terms, resolved, catalog.BATCH)
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning(entry_id") == 1
+    assert "hashpartitioning(qid" not in plan
