@@ -7,7 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from wordloom.operators import indexing, logs, matching, querytext, suggest
+from wordloom.operators import indexing, logs, matching, querytext, ranking, suggest
 from wordloom.operators.maintenance import delete_entries
 from wordloom.plans import catalog
 from wordloom.session import TEXT_PARTITIONS, joinable, run_folder, shared_folder, stored
@@ -192,3 +192,24 @@ def test_hits_of_a_batch_are_moved_once_by_entry(spark, sf_dir):
     plan = hits._jdf.queryExecution().executedPlan().toString()
     assert plan.count("hashpartitioning(entry_id") == 1
     assert "hashpartitioning(qid" not in plan
+
+
+def test_scored_hits_of_a_batch_meet_no_table_of_all_queries(spark, sf_dir):
+    tables = catalog.search_tables(spark, sf_dir)
+    words = src.load_user_words(spark, sf_dir).select(
+        "qid", "keywords", F.lit("").alias("sections"), F.lit("score").alias("sort"), F.lit("desc").alias("direction"),
+        F.lit(1).alias("page"), F.lit(5).alias("per_page"),
+    )
+    ready = catalog.plans.prepare(words, tables, catalog.BATCH)
+    hits = catalog.plans.scored_hits(ready, tables, catalog.BATCH, catalog.as_of())
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(qid" not in plan
+    assert not [line for line in plan.splitlines() if "FileScan" in line and "per_page" in line and "qid" in line]
+    # Hits that lie by entry have each slot of a page in one task.
+    width = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(1000).select(F.col("id").alias("entry_id"), F.lit(1).alias("qid"), F.lit("id").alias("sort"))
+    rows = rows.withColumns({"direction": F.lit("asc"), "page": F.lit(1), "per_page": F.lit(3), "creation_date": F.current_timestamp()})
+    lies = rows.repartition(width, "entry_id").withColumn("task", F.spark_partition_id())
+    slot = F.pmod(F.hash("entry_id"), F.lit(width))
+    assert lies.filter(slot != F.col("task")).count() == 0
+    assert "pmod(hash(entry_id" in ranking.paginate(rows, F.lit(0.0), 3)._jdf.queryExecution().analyzed().toString()
