@@ -724,3 +724,18 @@ def test_queries_of_many_terms_and_repeated_ones(spark, method, monkeypatch):
     want += [(9, 2, 1, 1, "id"), (10, 1, 1, 1, "id"), (10, 2, 1, 2, "id")]
     found = [(r["qid"], r["entry_id"], r["keywords_matched"], int(r["occurrences"]), r["sort"]) for r in got]
     assert sorted(found) == sorted(want)
+
+
+def test_texts_that_come_twice_count_as_two_hits_of_a_text_and_one_of_tokens(spark):
+    texts = [(1, 1, "ab cd"), (1, 1, "ab cd"), (2, 1, "ab cd")]
+    index = spark.createDataFrame([(*r, r[2]) for r in texts], "entry_id LONG, section_id INT, data STRING, data_lc STRING")
+    terms = spark.createDataFrame([(1, "ab", False), (2, "ab cd", False)], "qid INT, term STRING, excluded BOOLEAN")
+    scope = spark.createDataFrame([(1, 1), (2, 1)], "qid INT, section_id INT")
+
+    def found(cfg):
+        rows = matching.match_terms(index, terms, scope, cfg).collect()
+        return sorted((r["qid"], r["entry_id"], int(r["occurrences"])) for r in rows)
+
+    assert found(SearchConfig(method="scan")) == [(1, 2, 1), (2, 2, 1)]
+    assert found(SearchConfig(method="tokens")) == [(1, 1, 2), (1, 2, 1), (2, 2, 1)]
+    assert found(SearchConfig(method="scan", match_stems=True)) == [(1, 1, 1), (1, 2, 1), (2, 1, 1), (2, 2, 1)]
